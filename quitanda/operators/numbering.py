@@ -7,7 +7,8 @@ of the table alone.  ``number_within`` splits such keys:
 1. count rows per key (partial aggregation, only key + count shuffled);
    keys above ``hot_threshold`` rows are "hot".  There are at most
    ``rows / hot_threshold`` of them, so the hot-key set has a proven size
-   bound and is broadcast;
+   bound and is broadcast.  When there is none (checked with one small job
+   while the plan is built) the result is the plain window;
 2. ordinary keys get the plain window (each group < ``hot_threshold`` rows);
 3. hot keys' rows are range-partitioned on (key, *order cols) — Spark samples
    bounds, so one key is cut into ordered slices — numbered inside each
@@ -32,17 +33,20 @@ def number_within(df: DataFrame, key: str, order_cols: list[str], out_col: str,
     the same as the plain window; ``hot_threshold=None`` forces that window.
     """
     order = [F.col(c).asc_nulls_first() for c in order_cols]
+    w = Window.partitionBy(key).orderBy(*order)
     if hot_threshold is None:
-        w = Window.partitionBy(key).orderBy(*order)
         return df.withColumn(out_col, F.row_number().over(w).cast("bigint"))
 
     hot_keys = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
                 .where(F.col("_rows") > F.lit(hot_threshold)).select(key))
+    if hot_keys.isEmpty():
+        # No key is too big for one task: the plain window (which Catalyst
+        # drops entirely when a consumer never reads the number).
+        return df.withColumn(out_col, F.row_number().over(w).cast("bigint"))
     # bounded: at most (row count / hot_threshold) keys
     hot_keys = F.broadcast(hot_keys)
 
     cold = df.join(hot_keys, key, "left_anti")
-    w = Window.partitionBy(key).orderBy(*order)
     cold = cold.withColumn(out_col, F.row_number().over(w).cast("bigint"))
 
     n_slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
