@@ -137,3 +137,4 @@ def _suite_sql() -> str:
 register("dq_suite_summary", _suite_summary, _suite_sql())
 
 import quitanda.catalog_ops  # noqa: E402,F401  (registers the single-operator queries)
+import quitanda.catalog_io  # noqa: E402,F401  (registers the source/sink round trips)

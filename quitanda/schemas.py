@@ -66,7 +66,8 @@ RAW_SORT_KEYS: dict[str, list[str]] = {
 RAW_TABLES = list(RAW_SCHEMAS)
 
 
-def ddl_of(table: str) -> str:
+def ddl_of(table: str, name: str | None = None, location: str | None = None) -> str:
     """``CREATE TABLE IF NOT EXISTS`` text for a raw table (Spark SQL, Parquet)."""
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in RAW_SCHEMAS[table].fields)
-    return f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet"
+    where = f" LOCATION '{location}'" if location else ""
+    return f"CREATE TABLE IF NOT EXISTS {name or table} ({cols}) USING parquet{where}"
