@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quitanda.functions import month_key
 from quitanda.plans.models import ModelSpec
@@ -57,8 +58,15 @@ def write_table(df: DataFrame, path: str, sort_by: tuple[str, ...] | list[str] =
     w.parquet(path)
 
 
-def read_table(spark: SparkSession, path: str, spec: ModelSpec | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, spec: ModelSpec | None = None,
+               schema: T.StructType | None = None) -> DataFrame:
+    """Read a written table back; with ``schema`` an empty table reads as empty."""
+    reader = spark.read
+    if schema is not None:
+        if spec is not None and spec.partition_month_of:
+            schema = T.StructType(list(schema.fields) + [T.StructField(MONTH_COLUMN, T.IntegerType())])
+        reader = reader.schema(schema)
+    df = reader.parquet(path)
     if spec is not None and spec.partition_month_of and MONTH_COLUMN in df.columns:
         df = df.drop(MONTH_COLUMN)
     return df
@@ -73,7 +81,7 @@ def materialize(spark: SparkSession, spec: ModelSpec, df: DataFrame, base_path:
         return df
     path = f"{base_path.rstrip('/')}/{name}"
     write_table(df, path, spec.sort_by, spec.partition_month_of)
-    return read_table(spark, path, spec)
+    return read_table(spark, path, spec, df.schema)
 
 
 def month_slice(spark: SparkSession, path: str, yyyymm: int) -> DataFrame:
