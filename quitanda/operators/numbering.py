@@ -39,7 +39,9 @@ def number_within(df: DataFrame, key: str, order_cols: list[str], out_col: str,
 
     hot_keys = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
                 .where(F.col("_rows") > F.lit(hot_threshold)).select(key))
-    if hot_keys.isEmpty():
+    # a table no bigger than the threshold cannot have a hot key (the row count
+    # of a Parquet scan comes from file metadata)
+    if df.count() <= hot_threshold or hot_keys.isEmpty():
         # No key is too big for one task: the plain window (which Catalyst
         # drops entirely when a consumer never reads the number).
         return df.withColumn(out_col, F.row_number().over(w).cast("bigint"))

@@ -29,12 +29,24 @@ LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extende
               "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of one driver table; the scan (file listing, footer schema) is reused
+    within a session — the driver tables are immutable inputs."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
+
+
+_STATE_ARRAY = "array(" + ", ".join(f"'{s}'" for s in STATE_BY_NATION) + ")"
 
 
 def _state(nationkey: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(s) for s in STATE_BY_NATION]), nationkey + 1)
+    return F.element_at(F.expr(_STATE_ARRAY), nationkey + 1)
 
 
 def _city(nationkey: Column, trailing: bool = True) -> Column:
