@@ -31,8 +31,14 @@ def left_join_fill(left: DataFrame, right: DataFrame, on: str | list[str],
 
 
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Child rows whose non-NULL key has no parent (``left_anti``)."""
-    parent_keys = parent.select(F.col(parent_key).alias(child_key)).where(F.col(child_key).isNotNull())
+    """Child rows whose non-NULL key has no parent (``left_anti``).
+
+    Parent keys are de-duplicated first (partial aggregation, map-side), so a
+    parent key repeated on a third of the parent rows never reaches one task
+    whole; a hot key on the child side is split by AQE's skew-join handling.
+    """
+    parent_keys = (parent.select(F.col(parent_key).alias(child_key))
+                   .where(F.col(child_key).isNotNull()).distinct())
     return child.where(F.col(child_key).isNotNull()).join(parent_keys, child_key, "left_anti")
 
 

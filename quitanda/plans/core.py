@@ -128,7 +128,7 @@ ITEM_ORDER_ATTRS = ["customer_id", "order_status", "order_purchase_timestamp",
 def items_with_context(stg_order_items: DataFrame, fct_orders_df: DataFrame,
                        dim_products_df: DataFrame, dim_sellers_df: DataFrame,
                        extra_order_attrs: list[str] | None = None) -> DataFrame:
-    """Item lines ⟕ order facts ⟕ product ⟕ seller, all on unique right keys.
+    """Item lines ⟕ seller ⟕ product ⟕ order facts, all on unique right keys.
 
     ``extra_order_attrs`` lets a mart take more order attributes from the
     same order join instead of joining the order facts a second time.
@@ -138,10 +138,14 @@ def items_with_context(stg_order_items: DataFrame, fct_orders_df: DataFrame,
     p = dim_products_df.select("product_id", "product_category_name",
                                "product_category_name_english", "product_weight_class")
     s = dim_sellers_df.select("seller_id", "seller_city", "seller_state", "seller_region")
+    # Each join re-shuffles the item stream on a new key unless AQE broadcasts
+    # the (runtime-measured) dimension; joining the narrow seller and product
+    # attributes first keeps the earlier shuffles narrow, the wide order
+    # attributes come last.
     return (stg_order_items
-            .join(o, "order_id", "left")
+            .join(s, "seller_id", "left")
             .join(p, "product_id", "left")
-            .join(s, "seller_id", "left"))
+            .join(o, "order_id", "left"))
 
 
 def fct_order_items(stg_order_items: DataFrame, fct_orders_df: DataFrame,
