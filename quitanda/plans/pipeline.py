@@ -11,6 +11,7 @@ number of declarations), so collecting it to decide the gate is cheap.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,18 +54,43 @@ def test_layer(wh: Warehouse, layer: str, suite: Declarations = SUITE) -> DataFr
     return out
 
 
+def _waves(names: list[str]) -> list[list[str]]:
+    """Split a layer's models into waves; a model waits for its in-layer parents."""
+    pending, done, waves = list(names), set(), []
+    while pending:
+        ready = [n for n in pending if all(p in done or p not in names for p in MODELS[n].parents)]
+        waves.append(ready)
+        done.update(ready)
+        pending = [n for n in pending if n not in done]
+    return waves
+
+
+def materialize_layer(spark: SparkSession, wh: Warehouse, layer: str, base_path: str,
+                      result: BuildResult, parallel_models: int = 3) -> None:
+    """Write a layer's models, independent ones concurrently (Spark jobs from
+    several driver threads share the cluster; each job is itself parallel)."""
+    def build(name: str) -> tuple[str, DataFrame]:
+        return name, materialize(spark, MODELS[name], wh.model(name), base_path)
+
+    for wave in _waves(models_in(layer)):
+        # plans are built on this thread (the warehouse memo is not shared);
+        # only the writes run concurrently
+        for name in wave:
+            wh.model(name)
+        with ThreadPoolExecutor(max_workers=max(1, parallel_models)) as pool:
+            for name, df in pool.map(build, wave):
+                wh.overrides[name] = df
+                result.tables[name] = df
+
+
 def run_pipeline(spark: SparkSession, wh: Warehouse, base_path: str,
                  layers: list[str] | None = None, suite: Declarations = SUITE,
-                 gate: bool = True) -> BuildResult:
+                 gate: bool = True, parallel_models: int = 3) -> BuildResult:
     result = BuildResult()
     results_path = f"{base_path.rstrip('/')}/_test_results"
     first = True
     for layer in layers or LAYERS:
-        for name in models_in(layer):
-            spec = MODELS[name]
-            df = materialize(spark, spec, wh.model(name), base_path)
-            wh.overrides[name] = df
-            result.tables[name] = df
+        materialize_layer(spark, wh, layer, base_path, result, parallel_models)
         tests = test_layer(wh, layer, suite)
         if tests is not None:
             tests = tests.withColumn("layer", F.lit(layer))
