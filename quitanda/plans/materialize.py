@@ -39,8 +39,12 @@ def with_month_key(df: DataFrame, date_col: str) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, sort_by: tuple[str, ...] | list[str] = (),
                 month_of: str | None = None, max_records_per_file: int | None = None,
-                mode: str = "overwrite") -> None:
-    """Write ``df`` as a Parquet table (full rebuild, or replace touched months)."""
+                mode: str = "overwrite", replace_months_only: bool = False) -> None:
+    """Write ``df`` as a Parquet table.
+
+    A model table is a full rebuild (every old file replaced); with
+    ``replace_months_only`` only the months present in ``df`` are rewritten.
+    """
     sort_cols = list(sort_by)
     writer_df = df
     if month_of:
@@ -54,6 +58,7 @@ def write_table(df: DataFrame, path: str, sort_by: tuple[str, ...] | list[str] =
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
     if month_of:
+        w = w.option("partitionOverwriteMode", "dynamic" if replace_months_only else "static")
         w = w.partitionBy(MONTH_COLUMN)
     w.parquet(path)
 

@@ -55,7 +55,8 @@ def write_landing(df: DataFrame, base: str, table: str, load_date: dt.date | str
     path = landing_path(base, table, env)
     (df.withColumn("year", F.lit(y)).withColumn("month", F.lit(f"{m:02d}"))
      .withColumn("day", F.lit(f"{d:02d}"))
-     .write.mode("overwrite").option("maxRecordsPerFile", str(batch_rows))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", str(batch_rows))
      .partitionBy(*PARTITION_COLS).parquet(path))
     return path
 
@@ -122,7 +123,8 @@ def load_raw(df: DataFrame, raw_path: str, table: str, load_date: dt.date | str,
     d = dt.date.fromisoformat(load_date) if isinstance(load_date, str) else load_date
     out = typed.withColumn(LOAD_DATE_COL, F.lit(d))
     write_mode = "append" if mode == "append" else "overwrite"
-    out.write.mode(write_mode).partitionBy(LOAD_DATE_COL).parquet(raw_path)
+    (out.write.mode(write_mode).option("partitionOverwriteMode", "dynamic")
+     .partitionBy(LOAD_DATE_COL).parquet(raw_path))
     return out.sparkSession.read.parquet(raw_path)
 
 
