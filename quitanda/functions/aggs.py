@@ -90,5 +90,10 @@ def latest_by(values: list[Column | str], order: Column, tiebreak: Column | str)
 
 
 def distinct_list(x: Column | str, sep: str = ", ") -> Column:
-    """Sorted distinct values joined into one string (NULLs dropped)."""
+    """Sorted distinct values joined into one string (NULLs dropped).
+
+    Meant for attributes with a small closed domain (payment types): the set
+    a group holds is bounded by that domain however many rows the group has.
+    Partial aggregation builds the sets map-side.
+    """
     return F.array_join(F.array_sort(F.collect_set(_col(x))), sep)

@@ -123,6 +123,8 @@ def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = F.col("payment_sequential")
     digit = F.substring(F.col("o_orderpriority"), 1, 1).cast("int")
     types = F.array(*[F.lit(t) for t in RAW_PAYMENT_TYPES])
+    # Mapping rule, not sampling: every order is read; orders whose key is a
+    # multiple of 41 are given no payment so the left-join misses are exercised.
     df = (o.where(k % 41 != 0)
           .select("o_orderkey", "o_orderpriority", "o_totalprice",
                   F.explode(F.sequence(F.lit(1).cast("bigint"), 1 + k % 3)).alias("payment_sequential"))
@@ -198,6 +200,8 @@ def raw_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_driver(spark, sf_dir, "customer")
     n = F.col("c_nationkey")
     lat = F.col("c_acctbal") / F.lit(100.0)
+    # Mapping rule, not sampling: nations with key % 6 == 0 get no geolocation
+    # rows so customers and sellers of those zips miss the join.
     df = c.where(n % 6 != 0).select(
         n.alias("geolocation_zip_code_prefix"),
         lat.alias("geolocation_lat"),
