@@ -30,6 +30,25 @@ def left_join_fill(left: DataFrame, right: DataFrame, on: str | list[str],
     return joined.select(*out)
 
 
+def left_join_fill_many(left: DataFrame, on: str | list[str],
+                        rights: list[tuple[DataFrame, dict[str, Column | None]]]) -> DataFrame:
+    """Several ``left_join_fill`` on the same key, with one final projection.
+
+    All right sides must be unique on ``on``.  Building the joins first and
+    applying every fill in a single ``select`` keeps the plan (and its
+    analysis) small.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    joined = left
+    fills: dict[str, Column | None] = {}
+    for right, right_fills in rights:
+        joined = joined.join(right.select(*keys, *right_fills), keys, "left")
+        fills.update(right_fills)
+    out = [F.col(c) for c in left.columns]
+    out += [F.coalesce(F.col(c), f).alias(c) if f is not None else F.col(c) for c, f in fills.items()]
+    return joined.select(*out)
+
+
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows whose non-NULL key has no parent (``left_anti``).
 

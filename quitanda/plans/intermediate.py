@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quitanda.functions import (any_value, days_between, distinct_list, exact_avg, flag,
                                 latest_by, money_sum, money_sum_if, month_start)
-from quitanda.operators.joins import left_join_fill
+from quitanda.operators.joins import left_join_fill_many
 
 PAYMENT_KINDS = ["credit_card", "boleto", "voucher", "debit_card"]
 
@@ -94,20 +94,18 @@ def int_orders_enriched(stg_orders: DataFrame, items_by_order: DataFrame,
          .alias("is_late_delivery"),
     )
     zero_bigint, zero_money = F.lit(0).cast("bigint"), F.lit(0.0)
-    enriched = left_join_fill(spine, items_by_order, "order_id", {
-        "item_count": zero_bigint, "unique_product_count": zero_bigint,
-        "unique_seller_count": zero_bigint, "order_item_value": zero_money,
-        "order_freight_value": zero_money, "order_total_value": zero_money,
-    }, drop_other=True)
-    enriched = left_join_fill(enriched, payments_by_order, "order_id", {
-        "payment_count": zero_bigint, "payment_types": F.lit("unknown"),
-        "max_payment_installments": zero_bigint, "payment_value": zero_money,
-        "credit_card_value": zero_money, "boleto_value": zero_money,
-        "voucher_value": zero_money, "debit_card_value": zero_money,
-    }, drop_other=True)
-    enriched = left_join_fill(enriched, reviews_by_order, "order_id", {
-        "review_count": zero_bigint, "avg_review_score": None, "latest_review_id": None,
-        "latest_review_score": None, "latest_review_creation_date": None,
-        "latest_review_answer_timestamp": None, "has_review_comment": F.lit(0),
-    }, drop_other=True)
-    return enriched
+    return left_join_fill_many(spine, "order_id", [
+        (items_by_order, {
+            "item_count": zero_bigint, "unique_product_count": zero_bigint,
+            "unique_seller_count": zero_bigint, "order_item_value": zero_money,
+            "order_freight_value": zero_money, "order_total_value": zero_money}),
+        (payments_by_order, {
+            "payment_count": zero_bigint, "payment_types": F.lit("unknown"),
+            "max_payment_installments": zero_bigint, "payment_value": zero_money,
+            "credit_card_value": zero_money, "boleto_value": zero_money,
+            "voucher_value": zero_money, "debit_card_value": zero_money}),
+        (reviews_by_order, {
+            "review_count": zero_bigint, "avg_review_score": None, "latest_review_id": None,
+            "latest_review_score": None, "latest_review_creation_date": None,
+            "latest_review_answer_timestamp": None, "has_review_comment": F.lit(0)}),
+    ])

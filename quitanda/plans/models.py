@@ -130,8 +130,18 @@ class Warehouse:
 
     @classmethod
     def from_tables(cls, spark: SparkSession, paths: dict[str, str]) -> "Warehouse":
-        """Raw tables read from Parquet folders (e.g. a loaded raw layer)."""
-        return cls(spark, {name: (lambda p=p: spark.read.parquet(p)) for name, p in paths.items()})
+        """Raw tables read from Parquet folders (e.g. a loaded raw layer).
+
+        The registry schema is given to the reader, so no file footer is read
+        to infer it; load-date partition columns are still discovered.
+        """
+        from quitanda.schemas import RAW_SCHEMAS
+
+        def reader(name: str, path: str):
+            schema = RAW_SCHEMAS.get(name)
+            r = spark.read.schema(schema) if schema is not None else spark.read
+            return lambda: r.parquet(path)
+        return cls(spark, {name: reader(name, p) for name, p in paths.items()})
 
     def table(self, ref: str) -> DataFrame:
         if ref.startswith("raw."):
