@@ -5,8 +5,9 @@ and reported separately as ``setup.load_raw_sec``) lands the nine raw tables
 derived from the driver tables as Parquet in 30 000-row files — the
 reference's extract chunk size — below the shared scratch folder.  Each
 headline model then runs from those raw tables to completion through the
-``noop`` sink (full execution, nothing collected): one warm-up pass, then
-the median of $BENCH_RUNS timed passes, plan construction included.
+``noop`` sink (full execution, nothing collected): one warm-up pass over
+all queries, then $BENCH_RUNS interleaved timed passes; each query's median,
+plan construction included.
 Prints one JSON line.
 """
 
@@ -61,10 +62,13 @@ def main() -> None:
         Warehouse.from_tables(spark, paths).model(name).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t
 
-    timings: dict[str, float] = {}
     for name in names:
-        run_once(name)  # warm-up: JIT, file listing, plan caches
-        timings[name] = round(statistics.median(run_once(name) for _ in range(runs)), 3)
+        run_once(name)  # one warm-up pass over all queries: JIT, file listing, plan caches
+    samples: dict[str, list[float]] = {name: [] for name in names}
+    for _ in range(runs):  # interleaved timed passes
+        for name in names:
+            samples[name].append(run_once(name))
+    timings = {name: round(statistics.median(v), 3) for name, v in samples.items()}
 
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_models_total_median", "value": round(sum(timings.values()), 3),

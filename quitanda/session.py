@@ -25,6 +25,14 @@ SESSION_DEFAULTS = {
 }
 
 
+# Static settings (fixed when the session starts).  A pipeline runs dozens of
+# distinct plans; the default cache of 100 generated classes would evict and
+# recompile them between models.
+STATIC_DEFAULTS = {
+    "spark.sql.codegen.cache.maxEntries": "2000",
+}
+
+
 def get_session(master: str | None = None, app: str = "quitanda",
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:
@@ -39,7 +47,7 @@ def get_session(master: str | None = None, app: str = "quitanda",
     if master:
         builder = builder.master(master)
         builder = builder.config("spark.ui.enabled", "false")
-    for key, value in SESSION_DEFAULTS.items():
+    for key, value in {**STATIC_DEFAULTS, **SESSION_DEFAULTS}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
