@@ -48,11 +48,13 @@ def number_within(df: DataFrame, key: str, order_cols: list[str], out_col: str,
     # bounded: at most (row count / hot_threshold) keys
     hot_keys = F.broadcast(hot_keys)
 
-    cold = df.join(hot_keys, key, "left_anti")
+    hk = hot_keys.withColumnRenamed(key, "_hot_key")
+    is_hot = F.col(key).eqNullSafe(F.col("_hot_key"))   # a NULL key can be hot too
+    cold = df.join(hk, is_hot, "left_anti")
     cold = cold.withColumn(out_col, F.row_number().over(w).cast("bigint"))
 
     n_slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = (df.join(hot_keys, key, "left_semi")
+    hot = (df.join(hk, is_hot, "left_semi")
            .repartitionByRange(n_slices, F.col(key), *order)
            .withColumn("_slice", F.spark_partition_id()))
     ws = Window.partitionBy(key, "_slice").orderBy(*order)
@@ -62,7 +64,9 @@ def number_within(df: DataFrame, key: str, order_cols: list[str], out_col: str,
     offsets = slice_rows.select(key, "_slice",
                                 F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     # bounded: at most hot keys × slices rows
-    hot = (local.join(F.broadcast(offsets), [key, "_slice"], "inner")
+    offsets = offsets.withColumnRenamed(key, "_off_key").withColumnRenamed("_slice", "_off_slice")
+    same_slice = F.col(key).eqNullSafe(F.col("_off_key")) & (F.col("_slice") == F.col("_off_slice"))
+    hot = (local.join(F.broadcast(offsets), same_slice, "inner")
            .withColumn(out_col, (F.col("_local") + F.col("_offset")).cast("bigint"))
-           .drop("_slice", "_local", "_offset"))
+           .drop("_slice", "_local", "_offset", "_off_key", "_off_slice"))
     return cold.unionByName(hot)

@@ -37,3 +37,12 @@ def test_hot_key_is_split_across_slices(spark, skewed):
     hot = (skewed.where("k = 0").repartitionByRange(5, "k", "a", "b")
            .select(F.spark_partition_id().alias("p")).distinct().count())
     assert hot > 1
+
+
+def test_hot_null_key_is_numbered_once(spark):
+    rows = [(None, i % 7, float(i)) for i in range(40)] + [(1, 0, 0.5), (1, 1, 0.5)]
+    df = spark.createDataFrame(rows, "k long, a int, b double")
+    got = number_within(df, "k", ["a", "b"], "n", hot_threshold=5, slices=4)
+    want = number_within(df, "k", ["a", "b"], "n", hot_threshold=None)
+    assert got.count() == 42
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
