@@ -143,6 +143,12 @@ class Warehouse:
             return lambda: r.parquet(path)
         return cls(spark, {name: reader(name, p) for name, p in paths.items()})
 
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, database: str) -> "Warehouse":
+        """Raw tables from the catalog (created by ``sources.landing.create_raw_tables``)."""
+        from quitanda.schemas import RAW_SCHEMAS
+        return cls(spark, {t: (lambda t=t: spark.table(f"{database}.{t}")) for t in RAW_SCHEMAS})
+
     def table(self, ref: str) -> DataFrame:
         if ref.startswith("raw."):
             key = ref
