@@ -11,6 +11,7 @@ number of declarations), so collecting it to decide the gate is cheap.
 
 from __future__ import annotations
 
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -36,6 +37,7 @@ class BuildResult:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     test_results: DataFrame | None = None
     layers_done: list[str] = field(default_factory=list)
+    seconds: dict[str, dict[str, float]] = field(default_factory=dict)   # layer → build / test
 
 
 def test_layer(wh: Warehouse, layer: str, suite: Declarations = SUITE) -> DataFrame | None:
@@ -90,7 +92,9 @@ def run_pipeline(spark: SparkSession, wh: Warehouse, base_path: str,
     results_path = f"{base_path.rstrip('/')}/_test_results"
     first = True
     for layer in layers or LAYERS:
+        t0 = time.perf_counter()
         materialize_layer(spark, wh, layer, base_path, result, parallel_models)
+        t1 = time.perf_counter()
         tests = test_layer(wh, layer, suite)
         if tests is not None:
             tests = tests.withColumn("layer", F.lit(layer))
@@ -101,6 +105,7 @@ def run_pipeline(spark: SparkSession, wh: Warehouse, base_path: str,
             failures = [r.asDict() for r in failed.collect()]
             if gate and failures:
                 raise QualityGateError(layer, failures)
+        result.seconds[layer] = {"build": round(t1 - t0, 3), "test": round(time.perf_counter() - t1, 3)}
         result.layers_done.append(layer)
     if not first:
         result.test_results = spark.read.parquet(results_path)
