@@ -98,7 +98,9 @@ def run_pipeline(spark: SparkSession, wh: Warehouse, base_path: str,
         tests = test_layer(wh, layer, suite)
         if tests is not None:
             tests = tests.withColumn("layer", F.lit(layer))
-            tests.coalesce(1).write.mode("overwrite" if first else "append").parquet(results_path)
+            # repartition, not coalesce: coalesce(1) would pull every check's final
+            # aggregation into one task; the shuffled result is one row per check
+            tests.repartition(1).write.mode("overwrite" if first else "append").parquet(results_path)
             first = False
             failed = (spark.read.parquet(results_path)
                       .where((F.col("layer") == layer) & (F.col("violations") > 0)))
