@@ -18,6 +18,9 @@ from quitanda.plans.models import ModelSpec
 
 PREFIX_FOLDERS = ("bronze", "silver", "gold")
 MONTH_COLUMN = "yyyymm"
+# Cap on rows per written file: file size stays bounded (~100-500 MB for these
+# row widths) however few write tasks a table ends up with.
+MODEL_ROWS_PER_FILE = 5_000_000
 
 
 def alias_name(model: str, folder: str | None = None, custom_alias: str | None = None) -> str:
@@ -85,7 +88,7 @@ def materialize(spark: SparkSession, spec: ModelSpec, df: DataFrame, base_path:
         df.createOrReplaceTempView(name)
         return df
     path = f"{base_path.rstrip('/')}/{name}"
-    write_table(df, path, spec.sort_by, spec.partition_month_of)
+    write_table(df, path, spec.sort_by, spec.partition_month_of, max_records_per_file=MODEL_ROWS_PER_FILE)
     return read_table(spark, path, spec, df.schema)
 
 

@@ -85,10 +85,11 @@ def write_csv(df: DataFrame, path: str, line_sep: str = "\n") -> None:
 def write_seed_csv(df: DataFrame, path: str) -> None:
     """Write a small lookup table the way spreadsheet tools save it: UTF-8 BOM, CRLF.
 
-    Seeds are bounded lookup tables, so one file (one task) is fine here.
+    Seeds are bounded lookup tables, so one file is fine; ``repartition(1)``
+    (not ``coalesce``) keeps whatever computed ``df`` parallel.
     """
     first = df.columns[0]
-    df.withColumnRenamed(first, BOM + first).coalesce(1).write.mode("overwrite") \
+    df.withColumnRenamed(first, BOM + first).repartition(1).write.mode("overwrite") \
         .options(header="true", lineSep="\r\n", **KEEP_SPACES).csv(path)
 
 
