@@ -36,7 +36,7 @@ def random_raw(seed: int) -> dict[str, list[tuple]]:
     t0 = dt.datetime(2018, 1, 1)
     n_orders = 60
     states = ["sp", "RJ", " mg ", "rs", "ba", "df", "am", "zz", None]
-    cities = ["sao paulo", "rio", "campinas"]
+    cities = ["são paulo", "rio", "Ribeirão Preto", "\tcampinas"]
     statuses = ["delivered", "shipped", "canceled", "unavailable", "processing", "lost", None]
     ptypes = ["credit_card", "boleto", "voucher", "debit_card", "not_defined", None]
     cats = ["casa", "esporte", "livros", "", "   ", None]
