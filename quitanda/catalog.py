@@ -1,9 +1,10 @@
 """The registered queries and their SQL oracles.
 
 * the 33 models, by name;
-* ``dq_*``: the data-quality operators applied to model columns;
-* ``op_*``: single operators the models use, isolated on the model data;
-* ``io_*``: sources and sinks, round-tripping model data through storage.
+* ``dq_*``: the data-quality operators applied to model columns, and the full suite;
+* ``join_*``, ``agg_*``, ``fn_*``, ``gen_*``, ``num_*``: single operators the models use,
+  isolated on the model data (``catalog_ops``);
+* ``io_*``: sources and sinks, round-tripping model data through storage (``catalog_io``).
 """
 
 from __future__ import annotations
@@ -13,7 +14,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quitanda import oracle
-from quitanda.plans.models import MODELS, Warehouse
+from quitanda.functions.classify import REGION_STATES
+from quitanda.operators import quality as dq
+from quitanda.plans.models import LAYERS, MODELS, Warehouse, models_in
+from quitanda.plans.suite import SUITE
+from quitanda.sources.star import read_driver
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -44,14 +49,6 @@ def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 # ------------------------------------------------------------------ data quality
-from pyspark.sql import functions as F  # noqa: E402
-
-from quitanda.functions.classify import REGION_STATES  # noqa: E402
-from quitanda.operators import quality as dq  # noqa: E402
-from quitanda.plans.models import LAYERS, models_in  # noqa: E402
-from quitanda.plans.suite import SUITE  # noqa: E402
-from quitanda.sources.star import read_driver  # noqa: E402
-
 ALL_STATES = [s for _, states in REGION_STATES for s in states]
 _W = oracle.with_ctes
 
@@ -136,5 +133,6 @@ def _suite_sql() -> str:
 
 register("dq_suite_summary", _suite_summary, _suite_sql())
 
+# these modules import ``register`` from here, so they come last
 import quitanda.catalog_ops  # noqa: E402,F401  (registers the single-operator queries)
 import quitanda.catalog_io  # noqa: E402,F401  (registers the source/sink round trips)
