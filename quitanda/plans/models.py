@@ -143,6 +143,17 @@ class Warehouse:
             return lambda: r.parquet(path)
         return cls(spark, {name: reader(name, p) for name, p in paths.items()})
 
+    @classmethod
+    def from_landing(cls, spark: SparkSession, landing_base: str, load_date: str,
+                     env: str | None = None) -> "Warehouse":
+        """Raw tables read straight from one load date of the landing zone
+        (typed by the registry schema, partition-pruned to that date)."""
+        from quitanda.schemas import RAW_SCHEMAS
+        from quitanda.sources.landing import read_landing
+        return cls(spark, {t: (lambda t=t: read_landing(spark, landing_base, t, load_date,
+                                                        RAW_SCHEMAS[t], env))
+                           for t in RAW_SCHEMAS})
+
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str) -> "Warehouse":
         """Raw tables from the catalog (created by ``sources.landing.create_raw_tables``)."""

@@ -16,3 +16,14 @@ def test_star_land_load_model(spark, capsys):
     kpi = spark.read.parquet(f"{base}/out/mart_executive_kpi").first()
     assert (kpi.orders_count, kpi.revenue) == (1500, 317364757.31)
     assert '"status": "success"' in capsys.readouterr().out
+
+
+
+def test_models_from_a_landing_date(spark):
+    from quitanda.plans.models import Warehouse
+    base = scratch_path(spark, "from-landing")
+    assert main(["star", "--sf-dir", SF_SMALL, "--raw-root", f"{base}/raw"]) == 0
+    assert main(["land", "--raw-root", f"{base}/raw", "--landing", f"{base}/landing", "--date", "2024-02-02"]) == 0
+    got = Warehouse.from_landing(spark, f"{base}/landing", "2024-02-02").model("mart_executive_kpi").first()
+    want = Warehouse.from_star(spark, SF_SMALL).model("mart_executive_kpi").first()
+    assert got == want
