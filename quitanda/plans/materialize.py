@@ -33,7 +33,7 @@ def alias_name(model: str, folder: str | None = None, custom_alias: str | None =
 
 def database_for(env: str) -> str:
     """Environment → database (prod gets its own, everything else dev)."""
-    return "olist_prod" if env == "prod" else "olist_dev"
+    return "retail_prod" if env == "prod" else "retail_dev"
 
 
 def with_month_key(df: DataFrame, date_col: str) -> DataFrame:

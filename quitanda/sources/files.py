@@ -30,7 +30,7 @@ def list_files(spark: SparkSession, folder: str) -> list[str]:
 
 
 def table_name_of(file_path: str) -> str:
-    """``olist_orders_dataset.csv`` → ``olist_orders``: no extension, no ``_dataset``."""
+    """``shop_orders_dataset.csv`` → ``shop_orders``: no extension, no ``_dataset``."""
     base = posixpath.basename(file_path.rstrip("/"))
     stem = base[:-4] if base.lower().endswith(".csv") else base
     return stem.replace("_dataset", "")

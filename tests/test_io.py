@@ -12,7 +12,7 @@ from quitanda.sources.landing import DdlError, extract_to_landing, run_ddl_folde
 
 
 def test_csv_table_name_rule():
-    assert table_name_of("/x/olist_orders_dataset.csv") == "olist_orders"
+    assert table_name_of("/x/shop_orders_dataset.csv") == "shop_orders"
     assert table_name_of("/x/product_category_name_translation.csv") == "product_category_name_translation"
 
 
@@ -20,7 +20,7 @@ def test_alias_and_environment_rules():
     assert alias_name("fct_orders") == "fct_orders"
     assert alias_name("fct_orders", "gold") == "gold_fct_orders"
     assert alias_name("x", "marts", custom_alias=" y ") == "y"
-    assert (database_for("prod"), database_for("dev"), database_for("staging")) == ("olist_prod", "olist_dev", "olist_dev")
+    assert (database_for("prod"), database_for("dev"), database_for("staging")) == ("retail_prod", "retail_dev", "retail_dev")
     assert source_query("orders") == '(select * from staging."orders") q'
 
 
