@@ -1,9 +1,10 @@
 """Layered build with test gating: staging → intermediate → core → analytics.
 
-Per layer: materialise every model (views lazy, tables written under
-``base_path`` and read back so later layers start from files, not from a
-long lineage), then run the layer's declared tests.  A layer whose tests
-report violations stops the build before the next layer is written.
+Per layer, in dependency waves: materialise the wave's models (views lazy,
+tables written under ``base_path`` and read back so later models start from
+files, not from a long lineage), then run their declared tests.  A model
+starts only after its in-layer parents' tests passed; violations stop the
+build before anything downstream is written.
 
 The per-layer test result is one row per declaration (tiny, bounded by the
 number of declarations), so collecting it to decide the gate is cheap.
@@ -40,9 +41,10 @@ class BuildResult:
     seconds: dict[str, dict[str, float]] = field(default_factory=dict)   # layer → build / test
 
 
-def test_layer(wh: Warehouse, layer: str, suite: Declarations = SUITE) -> DataFrame | None:
+def test_models(wh: Warehouse, names: list[str], suite: Declarations = SUITE) -> DataFrame | None:
+    """One row per declaration of the given models (None when none is declared)."""
     parts = []
-    for name in models_in(layer):
+    for name in names:
         checks = suite.by_model.get(name, [])
         if checks:
             r = check_model(name, wh.model(name), checks, wh.model)
@@ -56,6 +58,10 @@ def test_layer(wh: Warehouse, layer: str, suite: Declarations = SUITE) -> DataFr
     return out
 
 
+def test_layer(wh: Warehouse, layer: str, suite: Declarations = SUITE) -> DataFrame | None:
+    return test_models(wh, models_in(layer), suite)
+
+
 def _waves(names: list[str]) -> list[list[str]]:
     """Split a layer's models into waves; a model waits for its in-layer parents."""
     pending, done, waves = list(names), set(), []
@@ -67,47 +73,53 @@ def _waves(names: list[str]) -> list[list[str]]:
     return waves
 
 
-def materialize_layer(spark: SparkSession, wh: Warehouse, layer: str, base_path: str,
-                      result: BuildResult, parallel_models: int = 3) -> None:
-    """Write a layer's models, independent ones concurrently (Spark jobs from
-    several driver threads share the cluster; each job is itself parallel)."""
+def materialize_wave(spark: SparkSession, wh: Warehouse, wave: list[str], base_path: str,
+                     result: BuildResult, parallel_models: int = 3) -> None:
+    """Write independent models concurrently (Spark jobs from several driver
+    threads share the cluster; each job is itself parallel)."""
+    # plans are built on this thread (the warehouse memo is not shared);
+    # only the writes run concurrently
+    for name in wave:
+        wh.model(name)
+
     def build(name: str) -> tuple[str, DataFrame]:
         return name, materialize(spark, MODELS[name], wh.model(name), base_path)
 
-    for wave in _waves(models_in(layer)):
-        # plans are built on this thread (the warehouse memo is not shared);
-        # only the writes run concurrently
-        for name in wave:
-            wh.model(name)
-        with ThreadPoolExecutor(max_workers=max(1, parallel_models)) as pool:
-            for name, df in pool.map(build, wave):
-                wh.overrides[name] = df
-                result.tables[name] = df
+    with ThreadPoolExecutor(max_workers=max(1, parallel_models)) as pool:
+        for name, df in pool.map(build, wave):
+            wh.overrides[name] = df
+            result.tables[name] = df
 
 
 def run_pipeline(spark: SparkSession, wh: Warehouse, base_path: str,
                  layers: list[str] | None = None, suite: Declarations = SUITE,
                  gate: bool = True, parallel_models: int = 3) -> BuildResult:
+    """Build layer by layer; inside a layer, wave by wave (a model waits for its
+    in-layer parents), each wave's tests gating the next wave."""
     result = BuildResult()
     results_path = f"{base_path.rstrip('/')}/_test_results"
     first = True
     for layer in layers or LAYERS:
-        t0 = time.perf_counter()
-        materialize_layer(spark, wh, layer, base_path, result, parallel_models)
-        t1 = time.perf_counter()
-        tests = test_layer(wh, layer, suite)
-        if tests is not None:
-            tests = tests.withColumn("layer", F.lit(layer))
-            # repartition, not coalesce: coalesce(1) would pull every check's final
-            # aggregation into one task; the shuffled result is one row per check
-            tests.repartition(1).write.mode("overwrite" if first else "append").parquet(results_path)
-            first = False
-            failed = (spark.read.parquet(results_path)
-                      .where((F.col("layer") == layer) & (F.col("violations") > 0)))
-            failures = [r.asDict() for r in failed.collect()]
-            if gate and failures:
-                raise QualityGateError(layer, failures)
-        result.seconds[layer] = {"build": round(t1 - t0, 3), "test": round(time.perf_counter() - t1, 3)}
+        build_s = test_s = 0.0
+        for wave in _waves(models_in(layer)):
+            t0 = time.perf_counter()
+            materialize_wave(spark, wh, wave, base_path, result, parallel_models)
+            t1 = time.perf_counter()
+            tests = test_models(wh, wave, suite)
+            if tests is not None:
+                tests = tests.withColumn("layer", F.lit(layer))
+                # repartition, not coalesce: coalesce(1) would pull every check's final
+                # aggregation into one task; the shuffled result is one row per check
+                tests.repartition(1).write.mode("overwrite" if first else "append").parquet(results_path)
+                first = False
+                failed = (spark.read.parquet(results_path)
+                          .where(F.col("model").isin(*wave) & (F.col("violations") > 0)))
+                failures = [r.asDict() for r in failed.collect()]
+                if gate and failures:
+                    raise QualityGateError(layer, failures)
+            build_s += t1 - t0
+            test_s += time.perf_counter() - t1
+        result.seconds[layer] = {"build": round(build_s, 3), "test": round(test_s, 3)}
         result.layers_done.append(layer)
     if not first:
         result.test_results = spark.read.parquet(results_path)

@@ -74,3 +74,19 @@ def test_pipeline_builds_all_layers_when_clean(spark):
     assert res.layers_done == ["staging", "intermediate", "core", "analytics"]
     assert {r.violations for r in res.test_results.collect()} == {0}
     assert res.tables["mart_executive_kpi"].first().orders_count == 1
+
+
+def test_gate_stops_in_layer_children(spark):
+    # NULL prices make the item roll-up's value NULL; int_orders_enriched (same
+    # layer, next wave) must not be written
+    import datetime as dt
+    from quitanda.sources.files import list_files
+    wh = make_wh(spark, orders=[order("1")], customers=[("c1", "u", 1, "x", "sp")],
+                 order_items=[("1", 1, "p", "s", dt.datetime(2020, 1, 1), None, 1.0)])
+    suite = Declarations({"int_order_items_by_order": [Check("not_null", "order_item_value")]})
+    base = scratch_path(spark, "gate-wave")
+    with pytest.raises(QualityGateError) as err:
+        run_pipeline(spark, wh, base, suite=suite)
+    assert err.value.layer == "intermediate"
+    written = {p.rstrip("/").rsplit("/", 1)[-1] for p in list_files(spark, base)}
+    assert "int_order_items_by_order" in written and "int_orders_enriched" not in written
