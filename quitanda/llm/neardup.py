@@ -4,14 +4,19 @@ Method: every document's set of word shingles is hashed once (one permutation)
 into ``bands * rows`` bins; empty bins are filled by optimal densification (each
 empty bin follows its own universal probe sequence to a filled bin); each band
 of bins is a bucket key.  Inside a bucket only star edges to the smallest node
-are candidates, so pairs grow with the documents, not with the square of a
-group.  Links are confirmed on the full sets.
-
-Exact copies of a set fall into one node before any pairing.  A star can miss a
-link between two leaves, so a second pass looks at the buckets that still hold
-several components and checks, exactly, the members outside a bucket's largest
-component against all its members.  With 56 bands of 7 rows a pair at
-similarity 0.85 shares no bucket with probability 5e-10, one at 0.8 with 2e-6.
+are candidates, and each node takes the one it shares most buckets with, so
+pairs grow with the documents, not with the square of a group.  Links are
+confirmed on the full sets.
+
+Exact copies of a set fall into one node before any pairing.  A star can miss
+links between leaves.  So the nodes of buckets that still hold several
+components are joined exactly: shingles ordered by rarity, two similar sets
+share one among their rarest (prefix), and the length and positional filters
+hold; only nodes outside a shingle's largest component are paired.  A copy that
+is too far from all others has only rare shingles in its prefix, so it makes no
+pair although it shares buckets with the whole group.  With 56 bands of 7 rows a
+pair at similarity 0.85 shares no bucket with probability 5e-10, one at 0.8 with
+2e-6.
 
 Defined cases: null or word-less text has an empty set, is linked with nothing
 and is kept; rows that repeat a doc_id are separate rows; rows with a null
@@ -36,6 +41,7 @@ from quitanda.llm.components import components
 SHINGLE = 5
 THRESHOLD = 80
 BANDS, ROWS = 56, 7
+RARITY_BITS = 20
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -120,21 +126,20 @@ def _sets(shingle: int, text_col: str):
     return run
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, rows: DataFrame, shingle: int, threshold: int,
-               id_col: str, text_col: str) -> DataFrame:
-    """The pairs (u, v) of nodes whose whole sets are similar enough.
+def _sets_of(nodes: DataFrame, docs: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
+    """(node, items) of the nodes: the sets made anew from the texts of one doc_id each.
 
-    The sets of the nodes in question are made anew from the texts of one
-    document id each, instead of storing the sets of all documents.
+    The sets of all documents together would be larger than their texts.
     """
-    nodes = stored(pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node")))
-                   .distinct(), "neardup-nodes")
     want = rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("id")).select("id").distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     # null-safe: a node that only rows without doc_id hold is found among those
-    found = texts.join(want, texts["id"].eqNullSafe(want["id"]), "left_semi").select("text")
-    sets = found.mapInArrow(_sets(shingle, "text"), "node long, items array<long>")
-    sets = stored(sets.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "neardup-sets")
+    texts = docs.join(want, docs["doc_id"].eqNullSafe(want["id"]), "left_semi").select("text")
+    sets = texts.mapInArrow(_sets(shingle, "text"), "node long, items array<long>")
+    return stored(sets.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "neardup-sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (u, v) of nodes whose whole sets are similar enough."""
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("items").alias("a")), "u").join(
         sets.select(F.col("node").alias("v"), F.col("items").alias("b")), "v")
     shared = F.size(F.array_intersect("a", "b"))
@@ -142,6 +147,55 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, rows: DataFrame, shingle: int,
         f"100L * shared >= {threshold}L * either").select("u", "v")
 
 
+def _rarity(sets: DataFrame) -> np.ndarray:
+    """How many sets hold a shingle of each of ``2**RARITY_BITS`` hash buckets: a table of fixed size."""
+    table = np.zeros(1 << RARITY_BITS, np.uint32)
+    counts = sets.select(F.explode("items").alias("x")).groupBy(
+        F.pmod("x", F.lit(1 << RARITY_BITS)).cast("int").alias("b")).agg(F.count("*").alias("c")).toPandas()
+    table[counts["b"].to_numpy(np.int64)] = np.minimum(counts["c"].to_numpy(np.int64), 1 << 31)
+    return table
+
+
+def _prefixes(rarity, threshold: int):
+    """(node, comp, n, pos, word) of the rarest shingles that two similar sets must share one of."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                lists = part.column("items")
+                first, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+                words, size = [], np.diff(first)
+                for a, b in zip(first, first[1:]):
+                    own = flat[a:b]
+                    n = len(own) - -(-threshold * len(own) // 100) + 1
+                    words.append(own[np.lexsort((own, rarity.value[own % (1 << RARITY_BITS)]))[:n]])
+                count = np.array([len(w) for w in words], np.int64)
+                owner = np.repeat(np.arange(len(words)), count)
+                pos = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("node").take(pa.array(owner)), part.column("comp").take(pa.array(owner)),
+                     pa.array(size[owner], pa.int64()), pa.array(pos, pa.int64()), pa.array(np.concatenate(words))],
+                    names=["node", "comp", "n", "pos", "word"])
+    return run
+
+
+def _across(sets: DataFrame, comp: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (u, v) of nodes in different components that pass the prefix, length and positional filters."""
+    rarity = sets.sparkSession.sparkContext.broadcast(_rarity(sets))
+    placed = sets.join(comp, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"), "items")
+    rare = placed.mapInArrow(_prefixes(rarity, threshold), "node long, comp long, n long, pos long, word long")
+    counts = rare.groupBy("word", "comp").agg(F.count("*").alias("c")).groupBy("word").agg(
+        F.max(F.struct("c", "comp")).alias("b"), F.count("*").alias("k")).where("k > 1")
+    main = counts.select("word", F.col("b.comp").alias("main"))
+    outside = rare.join(main, "word").where("comp <> main").select(
+        "word", F.col("node").alias("x"), F.col("comp").alias("xc"), F.col("n").alias("xn"), F.col("pos").alias("xpos"))
+    need = f"ceil({threshold} * (xn + n) / {100 + threshold}d)"
+    return outside.join(rare, "word").where("xc <> comp").where(
+        f"100L * least(xn, n) >= {threshold}L * greatest(xn, n)").where(
+        f"least(xn - xpos, n - pos) >= {need}").select(
+        F.greatest("x", "node").alias("u"), F.least("x", "node").alias("v")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     threshold: int = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per row of ``docs``: doc_id, node, n_shingles, comp, component_id, kept.
@@ -152,37 +206,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketches = stored(base.mapInArrow(_sketch(shingle, bands, rows, "doc_id", "text"),
                                       "doc_id long, node long, n_shingles long, keys array<long>"), "neardup-sketch")
     member = sketches.select("doc_id", "node", "n_shingles")
-    classes = sketches.where("n_shingles > 0").groupBy("node").agg(
-        F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
-    in_band = classes.select("node", "n", F.explode("keys").alias("bucket"))
+    classes = sketches.where("n_shingles > 0").groupBy("node").agg(F.first("keys").alias("keys"))
+    in_band = classes.select("node", F.explode("keys").alias("bucket"))
     shared = in_band.groupBy("bucket").agg(F.count("*").alias("c"), F.min("node").alias("centre")).where("c > 1")
-    members = stored(in_band.join(shared, "bucket").select("bucket", "node", "n", "centre"), "neardup-buckets")
+    members = stored(in_band.join(shared, "bucket").select("bucket", "node", "centre"), "neardup-buckets")
+    sets = _sets_of(members.select("node").distinct(), base, member, shingle)
 
     # first pass: every node against the centre it shares most buckets with
     by_centre = members.where("node <> centre").groupBy("node", "centre").agg(F.count("*").alias("c"))
     best = by_centre.groupBy("node").agg(F.max(F.struct("c", "centre")).alias("b"))
-    first = stored(best.select(F.greatest("node", "b.centre").alias("u"), F.least("node", "b.centre").alias("v"))
-                   .distinct(), "neardup-stars")
-    links = stored(_confirmed(first, base, member, shingle, threshold, "doc_id", "text"), "neardup-links")
+    stars = best.select(F.greatest("node", "b.centre").alias("u"), F.least("node", "b.centre").alias("v")).distinct()
+    links = stored(_confirmed(stars, sets, threshold), "neardup-links")
     comp = components(links, "neardup-cc")
 
-    # second pass: buckets that still hold several components
-    placed = members.join(comp, "node", "left").select(
-        "bucket", "node", "n", F.coalesce("comp", "node").alias("comp"))
-    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(
-        "lo <> hi").select("bucket")
-    left = stored(placed.join(mixed, "bucket", "left_semi"), "neardup-mixed")
-    largest = left.groupBy("bucket", "comp").agg(F.count("*").alias("c")).groupBy("bucket").agg(
-        F.max(F.struct("c", "comp")).alias("b")).select("bucket", F.col("b.comp").alias("main"))
-    outside = left.join(largest, "bucket").where("comp <> main").select(
-        "bucket", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("comp").alias("xc"))
-    pairs = outside.join(left, "bucket").where("xc <> comp").where(
-        f"100L * least(xn, n) >= {threshold}L * greatest(xn, n)").select(
-        F.greatest("x", "node").alias("u"), F.least("x", "node").alias("v")).distinct()
-    second = stored(pairs.join(first, ["u", "v"], "left_anti"), "neardup-rest")
-    if not second.isEmpty():
-        more = _confirmed(second, base, member, shingle, threshold, "doc_id", "text")
-        comp = components(links.unionByName(more), "neardup-cc")
+    # second pass: nodes of buckets that still hold several components
+    placed = members.join(comp, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    left = placed.join(mixed, "bucket", "left_semi").select("node").distinct()
+    left = stored(sets.join(left, "node", "left_semi"), "neardup-left")
+    more = stored(_confirmed(_across(left, comp, threshold), left, threshold), "neardup-more")
+    if not more.isEmpty():
+        comp = components(comp.select(F.col("node").alias("u"), F.col("comp").alias("v")).unionByName(more), "neardup-cc")
 
     placed = member.join(comp, "node", "left").withColumn(
         "comp", F.when(F.col("n_shingles") > 0, F.coalesce("comp", "node")))
@@ -221,3 +265,25 @@ def with_node(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Data
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(K.signed(set_nodes(flat, first)))],
                                                  names=[*part.schema.names, "_node"])
     return docs.mapInArrow(run, schema)
+
+
+#: The contract in SQL: all pairs that share a shingle, then everything reachable.
+ORACLE = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 3
+      THEN list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words
+), shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS c
+  FROM shingles a JOIN shingles b USING (x) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (SELECT a, b FROM shared WHERE 100 * c >= 85 * (n + m - c)),
+reach(doc_id, r) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.r
+), comps AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(len(s), 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN comps USING (doc_id)
+"""
