@@ -134,3 +134,37 @@ def mixed_documents(docs: DataFrame, labels: DataFrame | None = None, id_col: st
                        & same(docs[source_col], F.col("_s")))
     return joined.withColumn("_c", F.explode(F.sequence(F.lit(1).cast("long"), "_c"))).select(
         *(docs[c] for c in docs.columns))
+
+
+#: The contract's columns in SQL, with one sort of each source.
+ORACLE = """
+WITH marks AS (SELECT doc_id, avg(quality) AS q FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+docs AS (
+  SELECT doc_id, text, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+    -ln((CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 13)
+         AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0)
+      / CASE WHEN q IS NULL THEN 0.75 ELSE 0.25 + 0.75 * q END AS key
+  FROM documents LEFT JOIN marks USING (doc_id)
+), per AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    CAST([3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS weight
+  FROM docs GROUP BY source
+), level AS (
+  SELECT *, 2.0 * source_size / weight AS ratio,
+    (1.5 * sum(source_size) OVER () - coalesce(sum(2.0 * source_size) OVER before, 0))
+      / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM per WINDOW before AS (ORDER BY 2.0 * source_size / weight, source NULLS LAST
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), targets AS (
+  SELECT source, source_size, CASE WHEN level >= ratio THEN 2.0 * source_size
+    ELSE weight * (SELECT arg_min(level, ratio) FROM level WHERE level < ratio) END AS target FROM level
+), epochs AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS n FROM targets
+), line AS (
+  SELECT docs.doc_id, docs.size, e.source_size, e.target, e.n, e.target - e.n * e.source_size AS rest,
+    sum(docs.size) OVER (PARTITION BY docs.source ORDER BY key, docs.doc_id, docs.text) AS until
+  FROM docs JOIN epochs e ON docs.source IS NOT DISTINCT FROM e.source
+)
+SELECT doc_id, size, source_size, target,
+  CAST(size * (n + CASE WHEN size > 0 AND until - size / 2.0 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM line
+"""
