@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def arrays(df: DataFrame) -> dict[str, np.ndarray]:
+    """A table of proven small size as numpy columns; Arrow keeps rows out of Python objects."""
+    table = df.toArrow()
+    return {name: table[name].to_numpy() for name in table.column_names}
+
+
 def text_key(text: Column) -> Column:
     """Hash that tells rows with one doc_id apart; null and empty texts differ."""
     return F.when(text.isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64(text))

@@ -35,13 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quitanda.llm import kernel as K
-from quitanda.llm.common import stored
+from quitanda.llm.common import arrays, stored
 from quitanda.llm.components import components
 
 SHINGLE = 5
 THRESHOLD = 80
 BANDS, ROWS = 56, 7
-RARITY_BITS = 20
+RARITY_BITS = 18
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -150,9 +150,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 def _rarity(sets: DataFrame) -> np.ndarray:
     """How many sets hold a shingle of each of ``2**RARITY_BITS`` hash buckets: a table of fixed size."""
     table = np.zeros(1 << RARITY_BITS, np.uint32)
-    counts = sets.select(F.explode("items").alias("x")).groupBy(
-        F.pmod("x", F.lit(1 << RARITY_BITS)).cast("int").alias("b")).agg(F.count("*").alias("c")).toPandas()
-    table[counts["b"].to_numpy(np.int64)] = np.minimum(counts["c"].to_numpy(np.int64), 1 << 31)
+    counts = arrays(sets.select(F.explode("items").alias("x")).groupBy(
+        F.pmod("x", F.lit(1 << RARITY_BITS)).cast("int").alias("b")).agg(F.count("*").alias("c")))
+    table[counts["b"]] = np.minimum(counts["c"], 1 << 31)
     return table
 
 
