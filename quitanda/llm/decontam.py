@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quitanda.llm import kernel as K
-from quitanda.llm.common import text_key
+from quitanda.llm.common import arrays, text_key
 
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5))
 WINDOW = 13
@@ -135,10 +135,10 @@ def _bloom(hashes: DataFrame, bloom_bits: int) -> np.ndarray:
     mask = (1 << bloom_bits) - 1
     bit = hashes.select(F.explode(F.array(F.shiftrightunsigned("h", 64 - bloom_bits),
                                           F.col("h").bitwiseAND(F.lit(mask)))).alias("bit"))
-    words = bit.groupBy((F.col("bit") / 32).cast("long").alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, int(bit % 32))")).alias("v")).toPandas()
+    words = arrays(bit.groupBy(F.expr("bit div 32").alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, int(bit % 32))")).alias("v")))
     table = np.zeros((1 << bloom_bits) // 32, np.uint32)
-    table[words["w"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64).astype(np.uint32)
+    table[words["w"]] = words["v"].astype(np.uint32)
     return table.view(np.uint8)
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from quitanda.llm import kernel as K
-from quitanda.llm.common import stored
+from quitanda.llm.common import arrays, stored
 
 ORDER = 4
 HASH_BITS = 20
@@ -220,13 +220,13 @@ def train(docs: DataFrame, order: int = ORDER, bits: int = HASH_BITS, hold: int
 
 def _sorted_arrays(rows: DataFrame, langs: list[str], values: list[str]) -> tuple[np.ndarray, ...]:
     """At most ``2**bits`` slots a language: the bound of what reaches the driver."""
-    got = rows.toPandas()
-    slots, inverse = np.unique(got["slot"].to_numpy(np.int64), return_inverse=True)
-    column = got["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(np.int64)
+    names = F.array(*map(F.lit, langs))
+    got = arrays(rows.select("slot", (F.array_position(names, F.col("lang")) - 1).alias("at"), *values))
+    slots, inverse = np.unique(got["slot"], return_inverse=True)
     out = []
     for v in values:
         table = np.zeros((len(slots), len(langs)), np.float32)
-        table[inverse, column] = got[v].to_numpy(np.float32)
+        table[inverse, got["at"]] = got[v]
         out.append(table)
     return slots, *out
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quitanda.llm import kernel as K
-from quitanda.llm.common import stored
+from quitanda.llm.common import arrays, stored
 
 COSINE = 0.6
 BLOCK = 3
@@ -160,8 +160,8 @@ def _directory(path: Column) -> Column:
 def own_licenses(files: DataFrame, templates=TEMPLATES) -> DataFrame:
     """``files`` (key, path, text) -> key, path, license, cosine, share (percent of the words)."""
     t = Templates(templates)
-    counts = files.select("text").mapInArrow(_frequencies(t), "place long, n long").groupBy("place").agg(
-        F.sum("n").alias("n")).toPandas()  # one row per template word
+    counts = arrays(files.select("text").mapInArrow(_frequencies(t), "place long, n long").groupBy("place").agg(
+        F.sum("n").alias("n")))  # one row per template word
     table = dict(zip(counts["place"], counts["n"]))
     t.weigh(np.array([table.get(i, 0) for i in range(len(t.vocabulary))], np.float64), int(table.get(-1, 0)))
     shared = files.sparkSession.sparkContext.broadcast(t)

@@ -1,16 +1,16 @@
 """Operator 5: quality rules with an isolation forest over their statistics.
 
 Method: every whole text gives rule statistics (word and symbol counts, repeated
-lines, words in repeated eight-word windows, letter case, punctuation, digits).
-An isolation forest of ``TREES`` random trees, each grown on ``SAMPLE`` rows,
+lines, words in repeated eight-word windows, letter case, punctuation).
+An isolation forest of ``TREES`` random trees, each grown on ``SAMPLE`` good rows,
 scores a document by its mean path length over the random splits; short paths
 mean an unusual document.  The threshold on the score is calibrated on all
 labelled rows: the most bad documents found while at most ``GOOD_LOSS`` of the
 good ones go.
 
 Bounds: the trees are grown from at most ``TREES * SAMPLE`` labelled rows, drawn
-by a hash of their statistics' doc_id; statistics, scores and the threshold cover every
-row.  The forest (at most ``2 * SAMPLE`` nodes a tree) is the only broadcast.
+by a hash of their doc_id; statistics and scores cover every row, the threshold
+every labelled one.  The forest (at most ``2 * SAMPLE`` nodes a tree) is the only broadcast.
 
 Defined cases: null, empty and word-less texts have statistics 0, fail the base
 rule and are not kept; without any label, the base rules alone decide; labels
@@ -28,14 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quitanda.llm import kernel as K
-from quitanda.llm.common import stored
+from quitanda.llm.common import arrays, stored
 
-TREES, SAMPLE = 100, 256
+TREES, SAMPLE = 100, 1024
 GOOD_LOSS = 0.002
 WINDOW = 8
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
-STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks",
-         "n_digits", "n_distinct_words")
+STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks", "n_distinct_words")
 _SEED = 7
 
 
@@ -48,7 +47,6 @@ def _byte_set(chars: str) -> np.ndarray:
 _SYMBOLS = _byte_set("#*$%&|<>")
 _MARKS = _byte_set("!?;:\"'()[]{}/\\_=+@~^`")
 _UPPER = _byte_set("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
-_DIGITS = _byte_set("0123456789")
 
 
 def statistics(texts: pa.Array) -> dict[str, np.ndarray]:
@@ -75,8 +73,7 @@ def statistics(texts: pa.Array) -> dict[str, np.ndarray]:
     real = np.searchsorted(starts, line_ends) > np.searchsorted(starts, line_starts)
     line_starts, line_ends, line_owner = line_starts[real], line_ends[real], line_owner[real]
     lines = _within(K._hash_spans(data, line_starts, line_ends, K._BYTE), line_owner)
-    out["n_lines"] = np.bincount(line_owner, minlength=n)
-    out["n_dup_lines"] = out["n_lines"] - _distinct(lines, line_owner, n)
+    out["n_dup_lines"] = np.bincount(line_owner, minlength=n) - _distinct(lines, line_owner, n)
     words = K._hash_spans(data, starts, ends, K._BYTE)
     out["n_distinct_words"] = _distinct(_within(words, owner), owner, n)
     # windows found twice or more inside one text
@@ -90,7 +87,7 @@ def statistics(texts: pa.Array) -> dict[str, np.ndarray]:
         np.add.at(mark, again + WINDOW, -1)
     covered = np.cumsum(mark[:-1]) > 0
     out["n_repeat_words"] = np.bincount(owner[covered], minlength=n)
-    for name, table in (("n_upper", _UPPER), ("n_marks", _MARKS), ("n_digits", _DIGITS)):
+    for name, table in (("n_upper", _UPPER), ("n_marks", _MARKS)):
         out[name] = total(table[data])
     return {k: out[k].astype(np.int64) for k in STATS}
 
@@ -123,14 +120,13 @@ def rule_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def features(stats: dict[str, np.ndarray]) -> np.ndarray:
-    """Ratios that the forest splits on, a row for each document."""
+    """What the forest splits on, a row for each document: roots of ratios, which spread small ones."""
     s = {k: np.asarray(v, np.float64) for k, v in stats.items()}
-    words, chars, lines = (np.maximum(s[k], 1) for k in ("n_words", "word_chars", "n_lines"))
-    return np.stack([
-        s["word_chars"] / words, s["n_symbols"] / chars, s["n_dup_lines"] / lines, s["n_repeat_words"] / words,
-        s["n_upper"] / chars, s["n_marks"] / chars, s["n_digits"] / chars,
+    words, chars = np.maximum(s["n_words"], 1), np.maximum(s["word_chars"], 1)
+    return np.sqrt(np.stack([
+        s["n_symbols"] / chars, s["n_repeat_words"] / words, s["n_upper"] / chars, s["n_marks"] / chars,
         # different words, made comparable between lengths
-        np.log(np.maximum(s["n_distinct_words"], 1)) / np.log(words + 1)], axis=1)
+        np.log(np.maximum(s["n_distinct_words"], 1)) / np.log(words + 1)], axis=1))
 
 
 def _expected_path(n: np.ndarray | float) -> np.ndarray:
@@ -141,36 +137,46 @@ def _expected_path(n: np.ndarray | float) -> np.ndarray:
 
 
 class Forest:
-    """Isolation trees as flat arrays."""
+    """Isolation trees as flat arrays.
 
-    def __init__(self, rows: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = _SEED):
+    A tree is grown on usual rows, but cuts fall anywhere in the box of all
+    rows, so that a row in a part of the box that holds no usual one is cut off
+    by few splits.
+    """
+
+    def __init__(self, rows: np.ndarray, box: np.ndarray | None = None, trees: int = TREES, sample: int = SAMPLE,
+                 seed: int = _SEED):
         rng = np.random.default_rng(seed)
+        box = rows if box is None else np.concatenate((rows, box))
+        low, high = box.min(0), box.max(0)
         self.sample = min(sample, len(rows))
+        height = max(1, int(np.ceil(np.log2(max(self.sample, 2)))))
         self.trees = []
         for t in range(trees):
             own = rows[np.arange(t * sample, t * sample + self.sample) % len(rows)]
-            self.trees.append(self._grow(own, rng, max(1, int(np.ceil(np.log2(max(self.sample, 2)))))))
+            self.trees.append(self._grow(own, low, high, rng, height))
 
     @staticmethod
-    def _grow(rows: np.ndarray, rng, height: int) -> tuple[np.ndarray, ...]:
+    def _grow(rows: np.ndarray, low: np.ndarray, high: np.ndarray, rng, height: int) -> tuple[np.ndarray, ...]:
         feature, cut, left, right, length = [], [], [], [], []
 
-        def node(own: np.ndarray, depth: int) -> int:
+        def node(own: np.ndarray, low: np.ndarray, high: np.ndarray, depth: int) -> int:
             me = len(feature)
             for column, value in ((feature, -1), (cut, 0.0), (left, me), (right, me), (length, 0.0)):
                 column.append(value)
-            low, high = own.min(0), own.max(0)
-            open_ = np.flatnonzero(high > low)
-            if depth >= height or len(own) <= 1 or not len(open_):
+            wide = np.flatnonzero(high > low)
+            if depth >= height or len(own) <= 1 or not len(wide):
                 length[me] = depth + float(_expected_path(len(own)))
                 return me
-            feature[me] = int(rng.choice(open_))
-            cut[me] = float(rng.uniform(low[feature[me]], high[feature[me]]))
-            below = own[:, feature[me]] < cut[me]
-            left[me], right[me] = node(own[below], depth + 1), node(own[~below], depth + 1)
+            f = feature[me] = int(rng.choice(wide))
+            cut[me] = float(rng.uniform(low[f], high[f]))
+            below = own[:, f] < cut[me]
+            top, bottom = high.copy(), low.copy()
+            top[f] = bottom[f] = cut[me]
+            left[me], right[me] = node(own[below], low, top, depth + 1), node(own[~below], bottom, high, depth + 1)
             return me
 
-        node(rows, 0)
+        node(rows, low, high, 0)
         return np.array(feature), np.array(cut), np.array(left), np.array(right), np.array(length)
 
     def score(self, rows: np.ndarray) -> np.ndarray:
@@ -206,17 +212,22 @@ def with_anomaly(stats: DataFrame, forest: Forest) -> DataFrame:
 
 
 def fit(labelled: DataFrame, trees: int = TREES, sample: int = SAMPLE) -> Forest | None:
-    """Forest of a bounded sample of ``labelled`` (the statistics of labelled rows)."""
-    n = labelled.count()
-    if not n:
+    """Forest of bounded samples of ``labelled`` (statistics, label): grown on good rows, in the box of all."""
+    usual = _drawn(labelled.where("label = 1"), trees * sample)
+    every = _drawn(labelled, trees * sample)
+    if not len(every):
         return None
-    most = trees * sample
+    return Forest(usual if len(usual) else every, every, trees, sample)
+
+
+def _drawn(labelled: DataFrame, most: int) -> np.ndarray:
+    """Features of at most ``most`` rows, drawn by a hash of doc_id."""
+    n = labelled.count()
     draw = F.xxhash64(F.lit(_SEED), "doc_id")
     rows = labelled.withColumn("_draw", draw)
     if n > 2 * most:  # fewer rows to order; twice as many as are needed
         rows = rows.where(F.pmod(F.col("_draw"), F.lit(1 << 30)) < int(2 * most / n * (1 << 30)))
-    got = rows.orderBy("_draw", *STATS).limit(most).toPandas()
-    return Forest(features({k: got[k].to_numpy() for k in STATS}), trees, sample)
+    return features(arrays(rows.orderBy("_draw", *STATS).select(*STATS).limit(most)))
 
 
 def threshold(scored: DataFrame, good_loss: float = GOOD_LOSS) -> float:
@@ -225,9 +236,9 @@ def threshold(scored: DataFrame, good_loss: float = GOOD_LOSS) -> float:
     Among the thresholds allowed by that, the one with the most bad rows above and, of those, the highest.
     """
     steps = 2000
-    bins = scored.groupBy(F.floor(F.col("anomaly") * steps).cast("int").alias("bin")).agg(
+    bins = arrays(scored.groupBy(F.floor(F.col("anomaly") * steps).cast("int").alias("bin")).agg(
         F.sum((F.col("label") == 1).cast("long")).alias("good"),
-        F.sum((F.col("label") == 0).cast("long")).alias("bad")).toPandas()  # at most ``steps`` + 1 rows
+        F.sum((F.col("label") == 0).cast("long")).alias("bad")))  # at most ``steps`` + 1 rows
     good, bad = np.zeros(steps + 2), np.zeros(steps + 2)
     good[bins["bin"]], bad[bins["bin"]] = bins["good"], bins["bad"]
     above_good = np.cumsum(good[::-1])[::-1]
@@ -246,7 +257,7 @@ def assess(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.round(F.avg("quality")).cast("int").alias("label"))
     labelled = stored(stats.join(known, "doc_id"), "quality-labelled")
-    forest = fit(labelled.drop("label"))
+    forest = fit(labelled.where("not base_failed"))
     if forest is None:
         return stats.withColumn("anomaly", F.lit(None).cast("double")).withColumn("kept", ~F.col("base_failed"))
     # rows that fail the base rules are decided; the threshold is set on the others
