@@ -177,6 +177,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         **options) -> DataFrame:
     """``docs`` without the rows that overlap an item of the benchmark."""
-    bad = overlaps(docs, benchmark, id_col, text_col, **options).select(
-        F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_d"]) & (text_key(docs[text_col]) == bad["_k"]), "left_anti")
+    bad = overlaps(docs, benchmark, id_col, text_col, **options).select("doc_id", "text_key").distinct()
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.join(bad, F.col(f"row.{id_col}").eqNullSafe(F.col("doc_id"))
+                     & (text_key(F.col(f"row.{text_col}")) == F.col("text_key")), "left_anti").select("row.*")

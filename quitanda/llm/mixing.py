@@ -128,12 +128,12 @@ def mixed_documents(docs: DataFrame, labels: DataFrame | None = None, id_col: st
     """``docs`` with every row as often as the mix takes it."""
     # equal rows draw alike, so the copies belong to (doc_id, text, source)
     taken = mix(docs, labels, id_col, text_col, source_col, **options).where("copies > 0").select(
-        F.col("doc_id").alias("_i"), F.col("text_key").alias("_t"), F.col("source").alias("_s"),
-        F.col("copies").alias("_c")).distinct()
-    joined = docs.join(taken, same(docs[id_col], F.col("_i")) & (text_key(docs[text_col]) == F.col("_t"))
-                       & same(docs[source_col], F.col("_s")))
-    return joined.withColumn("_c", F.explode(F.sequence(F.lit(1).cast("long"), "_c"))).select(
-        *(docs[c] for c in docs.columns))
+        "doc_id", "text_key", "source", "copies").distinct()
+    rows = docs.select(F.struct("*").alias("row"))
+    joined = rows.join(taken, same(F.col(f"row.{id_col}"), F.col("doc_id"))
+                       & (text_key(F.col(f"row.{text_col}")) == F.col("text_key"))
+                       & same(F.col(f"row.{source_col}"), F.col("source")))
+    return joined.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
 
 
 #: The contract's columns in SQL, with one sort of each source.

@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quitanda.llm import kernel as K
 from quitanda.llm.common import arrays, stored
@@ -244,26 +245,26 @@ def keep_first(docs: DataFrame, **options) -> DataFrame:
     """
     found = near_duplicates(docs, **options).where("kept")
     linked = found.where("n_shingles > 0").groupBy("comp").agg(
-        F.min(F.struct("doc_id", "node")).alias("r")).select(F.col("r.doc_id").alias("_d"), F.col("r.node").alias("_n"))
+        F.min(F.struct("doc_id", "node")).alias("r")).select("r.doc_id", F.col("r.node").alias("kept_node"))
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    shingle = options.get("shingle", SHINGLE)
-    keyed = with_node(docs, id_col, text_col, shingle)
-    kept = keyed.join(linked, (keyed["_node"] == linked["_n"]) & keyed[id_col].cast("long").eqNullSafe(linked["_d"]),
-                      "left_semi").dropDuplicates([id_col, "_node"])
-    return kept.unionByName(keyed.where("_node = 0")).select(*docs.columns)
+    keyed = with_node(docs, text_col, options.get("shingle", SHINGLE))
+    row_id = F.col(f"row.{id_col}").cast("long")
+    kept = keyed.join(linked, (F.col("node") == F.col("kept_node")) & row_id.eqNullSafe(F.col("doc_id")), "left_semi")
+    # rows with one doc_id and one set are copies: one of them stays
+    kept = kept.withColumn("id", row_id).dropDuplicates(["id", "node"]).select("row")
+    return kept.unionByName(keyed.where("node = 0").select("row")).select("row.*")
 
 
-def with_node(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``docs`` and a column ``_node``: the hash of the document's set."""
-    from pyspark.sql.types import LongType, StructField, StructType
-    schema = StructType([*docs.schema.fields, StructField("_node", LongType())])
+def with_node(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
+    """(row, node): the rows of ``docs`` and the hash of each one's set."""
+    schema = StructType([StructField("row", docs.schema), StructField("node", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in K.chunks(batch, text_col):
                 flat, first = document_sets(part.column(text_col), shingle)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(K.signed(set_nodes(flat, first)))],
-                                                 names=[*part.schema.names, "_node"])
+                yield pa.RecordBatch.from_arrays([part.to_struct_array(), pa.array(K.signed(set_nodes(flat, first)))],
+                                                 names=["row", "node"])
     return docs.mapInArrow(run, schema)
 
 

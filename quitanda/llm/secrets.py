@@ -105,7 +105,8 @@ def trigram_query(regex: str) -> list[frozenset[str]]:
         clause = frozenset(s[i:i + 3] for s in choice for i in range(len(s) - 2))
         if clause and clause not in clauses:
             clauses.append(clause)
-    return clauses
+    # a clause that asks for more than another adds no text
+    return [c for c in clauses if not any(other < c for other in clauses)]
 
 
 def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:

@@ -76,7 +76,7 @@ def test_quality_weights_raise_the_odds(spark):
     docs = spark.createDataFrame([(i, "a b c d", "s") for i in range(4000)] + [(i, "a b c d", "t") for i in range(5000, 7000)],
                                  "doc_id long, text string, source string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(7000)], "doc_id long, quality int")
-    rows = [r for r in mixing.mix(docs, labels, weights=(1.0, 9.0)).collect() if r.source == "s" and r.copies % 2 == 1]
+    rows = [r for r in mixing.mix(docs, labels, weights=(1.0, 9.0)).collect() if r.source == "s" and r.copies == 2]
     good = sum(r.doc_id % 2 for r in rows)
     assert good > 1.5 * (len(rows) - good)
 
