@@ -74,7 +74,7 @@ def shaped_lines(docs: DataFrame, threshold: int) -> tuple[DataFrame, Column]:
     return stored(ordered.select(
         "doc_id", "text_key", "line_no", F.xxhash64("words").alias("node"), F.size("words").alias("size"),
         F.expr(f"transform(slice(words, 1, cast(size(words) - ceil({threshold} * size(words) / 100d) + 1 as int)),"
-               " w -> cast(w as int))").alias("prefix"),
+               " w -> cast((w & 4294967295) - 2147483648 as int))").alias("prefix"),
         F.expr("aggregate(words, 0L, (a, w) -> a ^ shiftleft(1L, cast(w & 63 as int)))").alias("parity"),
     ), "lines-shaped"), ranks
 
@@ -164,8 +164,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def without_lines(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the lines that ``dedup_lines`` removes taken out of their texts."""
-    cut = found.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), F.col("removed").alias("_r")).where(
-        "size(_r) > 0").dropDuplicates(["_d", "_k"])
-    both = docs.join(cut, same(docs[id_col].cast("long"), F.col("_d")) & (text_key(docs[text_col]) == F.col("_k")), "left")
-    kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda line, i: ~F.array_contains("_r", i)), "\n")
-    return both.withColumn(text_col, F.when(F.col("_r").isNull(), F.col(text_col)).otherwise(kept)).select(*docs.columns)
+    cut = found.where("n_removed > 0").select("doc_id", "text_key", "removed").dropDuplicates(["doc_id", "text_key"])
+    rows = docs.select(F.struct("*").alias("row"))
+    text = F.col(f"row.{text_col}")
+    both = rows.join(cut, same(F.col(f"row.{id_col}").cast("long"), F.col("doc_id")) & (text_key(text) == F.col("text_key")),
+                     "left")
+    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains("removed", i)), "\n")
+    changed = F.when(F.col("removed").isNull(), text).otherwise(kept)
+    return both.select(*(changed.alias(c) if c == text_col else F.col(f"row.{c}") for c in docs.columns))
