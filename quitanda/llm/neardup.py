@@ -3,9 +3,9 @@
 Method: every document's set of word shingles is hashed once (one permutation)
 into ``bands * rows`` bins; empty bins are filled by optimal densification (each
 empty bin follows its own universal probe sequence to a filled bin); each band
-of bins is a bucket key.  Inside a bucket only star edges to the smallest node
-are candidates, and each node takes the one it shares most buckets with, so
-pairs grow with the documents, not with the square of a group.  Links are
+of bins is a bucket key.  Inside a bucket only star edges to its most popular
+node are candidates, and each node takes the one it meets most often, so pairs
+grow with the documents, not with the square of a group.  Links are
 confirmed on the full sets.
 
 Exact copies of a set fall into one node before any pairing.  A star can miss
@@ -209,13 +209,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = sketches.select("doc_id", "node", "n_shingles")
     classes = sketches.where("n_shingles > 0").groupBy("node").agg(F.first("keys").alias("keys"))
     in_band = classes.select("node", F.explode("keys").alias("bucket"))
-    shared = in_band.groupBy("bucket").agg(F.count("*").alias("c"), F.min("node").alias("centre")).where("c > 1")
-    members = stored(in_band.join(shared, "bucket").select("bucket", "node", "centre"), "neardup-buckets")
-    sets = _sets_of(members.select("node").distinct(), base, member, shingle)
-
-    # first pass: every node against the centre it shares most buckets with
-    by_centre = members.where("node <> centre").groupBy("node", "centre").agg(F.count("*").alias("c"))
-    best = by_centre.groupBy("node").agg(F.max(F.struct("c", "centre")).alias("b"))
+    shared = in_band.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
+    members = stored(in_band.join(shared, "bucket").select("bucket", "node", "c"), "neardup-buckets")
+    popular = members.groupBy("node").agg(F.sum("c").alias("p"))
+    sets = _sets_of(popular.select("node"), base, member, shingle)
+
+    # first pass: a bucket's centre is the node that shares buckets with the most others, which is
+    # near the middle of its group; every node is paired with the centre it meets most often
+    ranked = members.join(popular, "node").select("bucket", "node", "p")
+    centres = ranked.groupBy("bucket").agg(F.max(F.struct("p", "node")).alias("top")).select(
+        "bucket", F.col("top.p").alias("cp"), F.col("top.node").alias("centre"))
+    met = ranked.join(centres, "bucket").where("node <> centre").groupBy("node", "centre").agg(
+        F.count("*").alias("c"), F.max("cp").alias("cp"))
+    best = met.groupBy("node").agg(F.max(F.struct("c", "cp", "centre")).alias("b"))
     stars = best.select(F.greatest("node", "b.centre").alias("u"), F.least("node", "b.centre").alias("v")).distinct()
     links = stored(_confirmed(stars, sets, threshold), "neardup-links")
     comp = components(links, "neardup-cc")
