@@ -30,6 +30,8 @@ HEADLINE = [
     "mart_customer_rfm",
     "mart_executive_kpi",
     "mart_dashboard_sales_detail",
+    "mart_product_performance",
+    "mart_seller_performance",
 ]
 CHUNK_ROWS = 30000
 

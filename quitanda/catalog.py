@@ -71,7 +71,7 @@ register("dq_accepted_values",
                                                     ALL_STATES),
          _W("SELECT value_field, n_records FROM (SELECT customer_state AS value_field, count(*) AS n_records "
             "FROM dim_customers GROUP BY customer_state) "
-            f"WHERE value_field NOT IN ({_sql_values(ALL_STATES)})", ["dim_customers"]))
+            f"WHERE value_field NOT IN ({_sql_values(oracle.ALL_STATES)})", ["dim_customers"]))
 
 register("dq_relationships",
          lambda s, d: dq.relationships_violations(_wh(s, d).model("dim_customers"), "customer_zip_code_prefix",
@@ -108,7 +108,7 @@ def _check_sql(model: str, layer: str, c: dq.Check) -> str:
         v = f"(SELECT count(*) FROM {model} WHERE {c.column} < 0)"
     elif c.kind == "accepted_values":
         v = (f"(SELECT count(DISTINCT {c.column}) FROM {model} WHERE {c.column} IS NOT NULL "
-             f"AND {c.column} NOT IN ({_sql_values(c.values)}))")
+             f"AND {c.column} NOT IN ({_sql_values(oracle.ACCEPTED[c.column])}))")
     elif c.kind == "unique":
         v = (f"(SELECT count(*) FROM (SELECT {c.column} FROM {model} WHERE {c.column} IS NOT NULL "
              f"GROUP BY {c.column} HAVING count(*) > 1))")

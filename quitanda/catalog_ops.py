@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from quitanda import oracle
 from quitanda.catalog import register
 from quitanda.functions import (any_value, avg_if, blank_to_null, day_name, days_between,
-                                distinct_list, has_text, iso_day_of_week, latest_by, money_sum,
-                                money_sum_if, month_key, month_start, norm_lower, norm_upper,
+                                distinct_list, has_text, iso_day_of_week, latest_by, exact_sum,
+                                exact_sum_if, month_key, month_start, norm_lower, norm_upper,
                                 quarter_start, region_of, safe_divide, weight_class, year_month,
                                 year_start)
 from quitanda.operators.joins import attach_scalar, left_join_fill, orphans
@@ -69,10 +69,10 @@ register("join_scalar", _join_scalar,
 _SUM_IF_KINDS = ["voucher", "debit_card", "not_defined"]
 register("agg_sum_if",
          lambda s, d: _m(s, d, "fct_payments").groupBy(F.col("order_purchase_month").alias("sales_month"))
-         .agg(*[money_sum_if("payment_value", F.col("payment_type") == k).alias(f"{k}_value")
+         .agg(*[exact_sum_if("payment_value", F.col("payment_type") == k).alias(f"{k}_value")
                 for k in _SUM_IF_KINDS]),
          _W("SELECT order_purchase_month AS sales_month, "
-            + ", ".join(f"{oracle.money_sum_if('payment_value', f"payment_type = '{k}'")} AS {k}_value"
+            + ", ".join(f"{oracle.exact_sum_if('payment_value', f"payment_type = '{k}'")} AS {k}_value"
                         for k in _SUM_IF_KINDS)
             + " FROM fct_payments GROUP BY order_purchase_month", ["fct_payments"]))
 
@@ -157,32 +157,32 @@ register("agg_safe_divide",
 register("agg_global",
          lambda s, d: _m(s, d, "stg_order_items").agg(
              F.count(F.lit(1)).alias("item_lines"), F.count_distinct("order_id").alias("orders"),
-             money_sum("price").alias("revenue"),
+             exact_sum("price").alias("revenue"),
              F.min("shipping_limit_date").alias("first_shipping_limit"),
              F.max("shipping_limit_date").alias("last_shipping_limit")),
          _W("SELECT count(*) AS item_lines, count(DISTINCT order_id) AS orders, "
-            f"{oracle.money_sum('price')} AS revenue, min(shipping_limit_date) AS first_shipping_limit, "
+            f"{oracle.exact_sum('price')} AS revenue, min(shipping_limit_date) AS first_shipping_limit, "
             "max(shipping_limit_date) AS last_shipping_limit FROM stg_order_items", ["stg_order_items"]))
 
 # D3: group by a computed alias
 register("agg_group_alias",
          lambda s, d: _m(s, d, "stg_order_items")
          .groupBy(month_start("shipping_limit_date_day").alias("ship_month"))
-         .agg(F.count(F.lit(1)).alias("item_lines"), money_sum("item_total_value").alias("gross_value")),
+         .agg(F.count(F.lit(1)).alias("item_lines"), exact_sum("item_total_value").alias("gross_value")),
          _W(f"SELECT {oracle.month_start('shipping_limit_date_day')} AS ship_month, count(*) AS item_lines, "
-            f"{oracle.money_sum('item_total_value')} AS gross_value FROM stg_order_items "
+            f"{oracle.exact_sum('item_total_value')} AS gross_value FROM stg_order_items "
             f"GROUP BY {oracle.month_start('shipping_limit_date_day')}", ["stg_order_items"]))
 
 # Two-level aggregation (lines → orders → order-size histogram)
 register("agg_two_level",
          lambda s, d: _m(s, d, "stg_order_items").groupBy("order_id")
-         .agg(F.count(F.lit(1)).alias("item_count"), money_sum("price").alias("order_value"))
+         .agg(F.count(F.lit(1)).alias("item_count"), exact_sum("price").alias("order_value"))
          .groupBy("item_count")
-         .agg(F.count(F.lit(1)).alias("orders"), money_sum("order_value").alias("value"),
+         .agg(F.count(F.lit(1)).alias("orders"), exact_sum("order_value").alias("value"),
               F.max("order_value").alias("max_order_value")),
-         _W("SELECT item_count, count(*) AS orders, " + oracle.money_sum("order_value") + " AS value, "
+         _W("SELECT item_count, count(*) AS orders, " + oracle.exact_sum("order_value") + " AS value, "
             "max(order_value) AS max_order_value FROM (SELECT order_id, count(*) AS item_count, "
-            + oracle.money_sum("price") + " AS order_value FROM stg_order_items GROUP BY order_id) "
+            + oracle.exact_sum("price") + " AS order_value FROM stg_order_items GROUP BY order_id) "
             "GROUP BY item_count", ["stg_order_items"]))
 
 
@@ -260,8 +260,8 @@ register("fn_weight_class",
 # Customer segments
 register("fn_rfm_segment",
          lambda s, d: _m(s, d, "mart_customer_rfm").groupBy("customer_segment")
-         .agg(F.count(F.lit(1)).alias("customers"), money_sum("monetary_value").alias("monetary_value")),
-         _W("SELECT customer_segment, count(*) AS customers, " + oracle.money_sum("monetary_value")
+         .agg(F.count(F.lit(1)).alias("customers"), exact_sum("monetary_value").alias("monetary_value")),
+         _W("SELECT customer_segment, count(*) AS customers, " + oracle.exact_sum("monetary_value")
             + " AS monetary_value FROM mart_customer_rfm GROUP BY customer_segment", ["mart_customer_rfm"]))
 
 # Yyyymm partition key
@@ -272,15 +272,14 @@ register("fn_month_key",
             "count(*) AS orders FROM fct_orders GROUP BY 1", ["fct_orders"]))
 
 
-# Skew-safe numbering inside a key, forced through the split path: every
-# order with more than 4 lines is treated as "hot" and numbered in slices.
+# Skew-safe numbering inside a key: rows cut into ordered slices, numbered per slice.
 def _num_within_order(s: SparkSession, d: str) -> DataFrame:
     li = read_driver(s, d, "lineitem")
-    return number_within(li, "l_orderkey", LINE_ORDER, "line_rank", hot_threshold=4, slices=5).select(
+    return number_within(li, "l_orderkey", LINE_ORDER, "line_rank").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "line_rank")
 
 
-_rank_order = ", ".join(f"{c} ASC NULLS FIRST" for c in LINE_ORDER)
+_rank_order = ", ".join(f"{c} ASC NULLS FIRST" for c in oracle.LINE_ORDER)
 register("num_within_order", _num_within_order,
          "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, "
          f"CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {_rank_order}) AS BIGINT) AS line_rank "

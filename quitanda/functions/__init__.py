@@ -1,8 +1,7 @@
 """Column-expression helpers (all JVM-side built-ins; no Python UDFs)."""
 
-from quitanda.functions.aggs import (any_value, avg_if, count_if, distinct_list, exact_avg,
-                                     exact_sum, latest_by, money_avg, money_sum, money_sum_if,
-                                     safe_divide, sum_if)
+from quitanda.functions.aggs import (any_value, avg_if, distinct_list, exact_avg, exact_sum, exact_sum_if, latest_by,
+                                     safe_divide)
 from quitanda.functions.classify import flag, region_of, rfm_segment, weight_class
 from quitanda.functions.dates import (day_name, days_between, iso_day_of_week, is_weekend,
                                       month_key, month_start, quarter_start, year_month,
@@ -10,9 +9,8 @@ from quitanda.functions.dates import (day_name, days_between, iso_day_of_week, i
 from quitanda.functions.text import blank_to_null, has_text, norm_lower, norm_upper
 
 __all__ = [
-    "any_value", "avg_if", "count_if", "distinct_list", "exact_avg", "exact_sum", "latest_by",
-    "money_avg", "money_sum", "money_sum_if", "safe_divide", "sum_if", "flag", "region_of",
-    "rfm_segment", "weight_class", "day_name", "days_between", "iso_day_of_week", "is_weekend",
-    "month_key", "month_start", "quarter_start", "year_month", "year_start", "blank_to_null",
-    "has_text", "norm_lower", "norm_upper",
+    "any_value", "avg_if", "distinct_list", "exact_avg", "exact_sum", "exact_sum_if", "latest_by", "safe_divide", "flag",
+    "region_of", "rfm_segment", "weight_class", "day_name", "days_between", "iso_day_of_week", "is_weekend",
+    "month_key", "month_start", "quarter_start", "year_month", "year_start", "blank_to_null", "has_text",
+    "norm_lower", "norm_upper",
 ]

@@ -1,9 +1,9 @@
 """Aggregate expressions.
 
-Money is carried as double (as in the source tables) but every sum and mean
-of money is computed over exact integer cents: the result no longer depends
-on row order or partitioning, so two runs — or Spark and any SQL engine that
-does the same integer arithmetic — agree to the bit.
+Amounts and coordinates are doubles (as in the source tables).  Sums and means
+add them as ``decimal(38, 18)``: decimal addition is exact, so the result
+depends neither on row order nor on partitioning, and no input is rounded that
+has up to 18 decimals.  Only the final sum becomes a double again.
 """
 
 from __future__ import annotations
@@ -19,60 +19,27 @@ def safe_divide(num: Column | str, den: Column | str) -> Column:
     return F.try_divide(_col(num).cast("double"), _col(den).cast("double"))
 
 
-def count_if(cond: Column) -> Column:
-    """Rows where ``cond`` holds (0, not NULL, when none does)."""
-    return F.count_if(cond)
-
-
-def sum_if(x: Column | str, cond: Column) -> Column:
-    """Sum of ``x`` over rows where ``cond`` holds; 0 when none does."""
-    return F.sum(F.when(cond, _col(x)).otherwise(F.lit(0)))
-
-
 def avg_if(x: Column | str, cond: Column) -> Column:
     """Mean of ``x`` over rows where ``cond`` holds; NULL when none does."""
     return F.avg(F.when(cond, _col(x)))
 
 
-def scaled_units(x: Column | str, decimals: int = 2) -> Column:
-    """``x`` as an exact integer number of 10**-decimals units.
-
-    ``x * 10**decimals`` lies within rounding error of an integer for values
-    with at most ``decimals`` decimals, so ``floor(v + 0.5)`` is that integer
-    (and, unlike ``round`` on doubles, stays a plain codegen'd floor).
-    """
-    return F.floor(_col(x) * F.lit(10 ** decimals) + F.lit(0.5)).cast("bigint")
+EXACT = "decimal(38,18)"
 
 
-def exact_sum(x: Column | str, decimals: int = 2) -> Column:
-    """Order-independent sum of a value with at most ``decimals`` decimals."""
-    return F.sum(scaled_units(x, decimals)).cast("double") / F.lit(float(10 ** decimals))
+def exact_sum(x: Column | str) -> Column:
+    """Order-independent sum; NULL over no values."""
+    return F.sum(_col(x).cast(EXACT)).cast("double")
 
 
-def exact_sum_if(x: Column | str, cond: Column, decimals: int = 2) -> Column:
+def exact_sum_if(x: Column | str, cond: Column) -> Column:
     """``sumIf``: exact sum over matching rows, 0 when none match."""
-    units = F.when(cond, scaled_units(x, decimals)).otherwise(F.lit(0).cast("bigint"))
-    return F.sum(units).cast("double") / F.lit(float(10 ** decimals))
-
-
-def exact_avg(x: Column | str, decimals: int = 2) -> Column:
-    """Order-independent mean of a value with at most ``decimals`` decimals."""
-    x = _col(x)
-    mean_units = F.try_divide(F.sum(scaled_units(x, decimals)).cast("double"),
-                              F.count(x).cast("double"))
-    return mean_units / F.lit(float(10 ** decimals))
-
-
-def money_sum(x: Column | str) -> Column:
-    return exact_sum(x, 2)
-
-
-def money_sum_if(x: Column | str, cond: Column) -> Column:
-    return exact_sum_if(x, cond, 2)
+    return F.sum(F.when(cond, _col(x).cast(EXACT)).otherwise(F.lit(0).cast(EXACT))).cast("double")
 
 
-def money_avg(x: Column | str) -> Column:
-    return exact_avg(x, 2)
+def exact_avg(x: Column | str) -> Column:
+    """Order-independent mean: the exact sum over the count; NULL over no values."""
+    return F.try_divide(exact_sum(x), F.count(_col(x)).cast("double"))
 
 
 def any_value(x: Column | str) -> Column:

@@ -1,19 +1,19 @@
 """Row numbering within a key that stays parallel when one key is huge.
 
 ``row_number() over (partition by key order by cols)`` puts every row of a key
-into one task.  If one key holds a third of the table that task sorts a third
-of the table alone.  ``number_within`` splits such keys:
-
-1. count rows per key (partial aggregation, only key + count shuffled);
-   keys above ``hot_threshold`` rows are "hot".  There are at most
-   ``rows / hot_threshold`` of them, so the hot-key set has a proven size
-   bound and is broadcast.  When there is none (checked with one small job
-   while the plan is built) the result is the plain window;
-2. ordinary keys get the plain window (each group < ``hot_threshold`` rows);
-3. hot keys' rows are range-partitioned on (key, *order cols) — Spark samples
-   bounds, so one key is cut into ordered slices — numbered inside each
-   (key, slice), and shifted by the row count of the key's earlier slices
-   (a prefix sum over at most hot_keys × slices rows, again bounded).
+into one task.  ``number_within`` cuts keys into ordered slices instead, in one
+way for every size:
+
+1. rows are range-partitioned on (key, *order columns) and written once, with
+   the number of their partition as slice id, to the shared scratch folder: a
+   key of a third of all rows spans many slices, most keys lie in one;
+2. rows are numbered inside each (key, slice);
+3. the rows of each (key, slice) are counted, and the counts of a key's earlier
+   slices are added to the numbers.
+
+Both 2 and 3 read the written rows, so they see the same slices however often a
+lost task is run again.  The write is a job that runs when the function is
+called.
 """
 
 from __future__ import annotations
@@ -21,52 +21,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_HOT_THRESHOLD = 1 << 20
+from quitanda.session import scratch_path
 
 
 def number_within(df: DataFrame, key: str, order_cols: list[str], out_col: str,
-                  hot_threshold: int | None = DEFAULT_HOT_THRESHOLD,
                   slices: int | None = None) -> DataFrame:
     """Add ``out_col`` = 1-based position of the row inside its ``key`` group.
 
-    Rows are ordered by ``order_cols`` (ascending, NULLs first).  The result is
-    the same as the plain window; ``hot_threshold=None`` forces that window.
+    Rows are ordered by ``order_cols`` (ascending, NULLs first); a NULL key is a
+    key.  Rows equal in all order columns are numbered in any order and can't be
+    cut apart.
     """
+    spark = df.sparkSession
     order = [F.col(c).asc_nulls_first() for c in order_cols]
-    w = Window.partitionBy(key).orderBy(*order)
-    if hot_threshold is None:
-        return df.withColumn(out_col, F.row_number().over(w).cast("bigint"))
-
-    hot_keys = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-                .where(F.col("_rows") > F.lit(hot_threshold)).select(key))
-    # a table no bigger than the threshold cannot have a hot key (the row count
-    # of a Parquet scan comes from file metadata)
-    if df.count() <= hot_threshold or hot_keys.isEmpty():
-        # No key is too big for one task: the plain window (which Catalyst
-        # drops entirely when a consumer never reads the number).
-        return df.withColumn(out_col, F.row_number().over(w).cast("bigint"))
-    # bounded: at most (row count / hot_threshold) keys
-    hot_keys = F.broadcast(hot_keys)
-
-    hk = hot_keys.withColumnRenamed(key, "_hot_key")
-    is_hot = F.col(key).eqNullSafe(F.col("_hot_key"))   # a NULL key can be hot too
-    cold = df.join(hk, is_hot, "left_anti")
-    cold = cold.withColumn(out_col, F.row_number().over(w).cast("bigint"))
-
-    n_slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = (df.join(hk, is_hot, "left_semi")
-           .repartitionByRange(n_slices, F.col(key), *order)
-           .withColumn("_slice", F.spark_partition_id()))
-    ws = Window.partitionBy(key, "_slice").orderBy(*order)
-    local = hot.withColumn("_local", F.row_number().over(ws))
-    slice_rows = hot.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slice_rows.select(key, "_slice",
-                                F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    # bounded: at most hot keys × slices rows
-    offsets = offsets.withColumnRenamed(key, "_off_key").withColumnRenamed("_slice", "_off_slice")
-    same_slice = F.col(key).eqNullSafe(F.col("_off_key")) & (F.col("_slice") == F.col("_off_slice"))
-    hot = (local.join(F.broadcast(offsets), same_slice, "inner")
-           .withColumn(out_col, (F.col("_local") + F.col("_offset")).cast("bigint"))
-           .drop("_slice", "_local", "_offset", "_off_key", "_off_slice"))
-    return cold.unionByName(hot)
+    ranged = (df.repartitionByRange(slices, F.col(key).asc_nulls_first(), *order) if slices
+              else df.repartitionByRange(F.col(key).asc_nulls_first(), *order))
+    path = scratch_path(spark, "slices")
+    sliced = ranged.withColumn("_slice", F.spark_partition_id())
+    sliced.write.parquet(path)
+    rows = spark.read.schema(sliced.schema).parquet(path)
+
+    inside = Window.partitionBy(key, "_slice").orderBy(*order)
+    earlier = Window.partitionBy("_key").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(F.col(key).alias("_key"), F.col("_slice").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("_key", "_of", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    numbered = rows.withColumn("_inside", F.row_number().over(inside))
+    same_slice = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_of"))
+    return (numbered.join(before, same_slice)
+            .withColumn(out_col, (F.col("_inside") + F.col("_before")).cast("bigint"))
+            .select(*df.columns, out_col))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quitanda.functions import (any_value, days_between, money_avg, money_sum, month_start,
+from quitanda.functions import (any_value, days_between, exact_avg, exact_sum, month_start,
                                 rfm_segment, safe_divide)
 from quitanda.plans.core import items_with_context
 
@@ -35,14 +35,14 @@ def _order_measures() -> list[Column]:
         F.count(F.lit(1)).alias("orders_count"),
         F.count_distinct("customer_unique_id").alias("customers_count"),
         F.sum("item_count").alias("items_count"),
-        money_sum("order_item_value").alias("revenue"),
-        money_sum("order_freight_value").alias("freight_revenue"),
-        money_sum("order_total_value").alias("gross_revenue"),
-        money_sum("payment_value").alias("payment_value"),
+        exact_sum("order_item_value").alias("revenue"),
+        exact_sum("order_freight_value").alias("freight_revenue"),
+        exact_sum("order_total_value").alias("gross_revenue"),
+        exact_sum("payment_value").alias("payment_value"),
         F.count_if(_delivered()).alias("delivered_orders_count"),
         F.count_if(F.col("order_status") == "canceled").alias("canceled_orders_count"),
         F.count_if(_late()).alias("late_orders_count"),
-        money_avg("order_item_value").alias("avg_order_value"),
+        exact_avg("order_item_value").alias("avg_order_value"),
         F.avg("actual_delivery_days").alias("avg_delivery_days"),
         F.avg("latest_review_score").alias("avg_review_score"),
     ]
@@ -71,8 +71,8 @@ def mart_customer_rfm(fct_orders: DataFrame) -> DataFrame:
                     F.min("order_purchase_date").alias("first_order_date"),
                     F.max("order_purchase_date").alias("last_order_date"),
                     F.count(F.lit(1)).alias("total_orders"),
-                    money_sum("order_item_value").alias("monetary_value"),
-                    money_avg("order_item_value").alias("avg_order_value"),
+                    exact_sum("order_item_value").alias("monetary_value"),
+                    exact_avg("order_item_value").alias("avg_order_value"),
                     F.sum("item_count").alias("total_items"),
                     F.avg("latest_review_score").alias("avg_review_score")))
     return metrics.select(
@@ -91,35 +91,37 @@ def _item_measures() -> list[Column]:
     ]
 
 
-def mart_product_performance(fct_order_items: DataFrame) -> DataFrame:
-    return (fct_order_items.groupBy("product_id")
-            .agg(any_value("product_category_name").alias("product_category_name"),
-                 any_value("product_category_name_english").alias("product_category_name_english"),
-                 any_value("product_weight_class").alias("product_weight_class"),
-                 *_item_measures(),
-                 F.count_distinct("seller_id").alias("sellers_count"),
-                 money_sum("item_revenue").alias("revenue"),
-                 money_sum("freight_value").alias("freight_revenue"),
-                 money_sum("item_total_value").alias("gross_revenue"),
-                 money_avg("price").alias("avg_item_price"),
-                 F.avg("latest_review_score").alias("avg_review_score"),
-                 F.count_if(_late()).alias("late_item_lines_count")))
-
-
-def mart_seller_performance(fct_order_items: DataFrame) -> DataFrame:
-    return (fct_order_items.groupBy("seller_id")
-            .agg(any_value("seller_city").alias("seller_city"),
-                 any_value("seller_state").alias("seller_state"),
-                 any_value("seller_region").alias("seller_region"),
-                 *_item_measures(),
-                 F.count_distinct("product_id").alias("products_count"),
-                 money_sum("item_revenue").alias("revenue"),
-                 money_sum("freight_value").alias("freight_revenue"),
-                 money_sum("item_total_value").alias("gross_revenue"),
-                 money_avg("price").alias("avg_item_price"),
-                 F.avg("actual_delivery_days").alias("avg_delivery_days"),
-                 F.count_if(_late()).alias("late_item_lines_count"),
-                 F.avg("latest_review_score").alias("avg_review_score")))
+def mart_product_performance(fct_order_items: DataFrame, dim_products: DataFrame) -> DataFrame:
+    """Numbers per product first; its descriptions are joined to the few rows that are left."""
+    measures = (fct_order_items.groupBy("product_id")
+                .agg(*_item_measures(),
+                     F.count_distinct("seller_id").alias("sellers_count"),
+                     exact_sum("item_revenue").alias("revenue"),
+                     exact_sum("freight_value").alias("freight_revenue"),
+                     exact_sum("item_total_value").alias("gross_revenue"),
+                     exact_avg("price").alias("avg_item_price"),
+                     F.avg("latest_review_score").alias("avg_review_score"),
+                     F.count_if(_late()).alias("late_item_lines_count")))
+    named = ["product_category_name", "product_category_name_english", "product_weight_class"]
+    return (measures.join(dim_products.select("product_id", *named), "product_id", "left")
+            .select("product_id", *named, *measures.columns[1:]))
+
+
+def mart_seller_performance(fct_order_items: DataFrame, dim_sellers: DataFrame) -> DataFrame:
+    """Numbers per seller first; its descriptions are joined to the few rows that are left."""
+    measures = (fct_order_items.groupBy("seller_id")
+                .agg(*_item_measures(),
+                     F.count_distinct("product_id").alias("products_count"),
+                     exact_sum("item_revenue").alias("revenue"),
+                     exact_sum("freight_value").alias("freight_revenue"),
+                     exact_sum("item_total_value").alias("gross_revenue"),
+                     exact_avg("price").alias("avg_item_price"),
+                     F.avg("actual_delivery_days").alias("avg_delivery_days"),
+                     F.count_if(_late()).alias("late_item_lines_count"),
+                     F.avg("latest_review_score").alias("avg_review_score")))
+    named = ["seller_city", "seller_state", "seller_region"]
+    return (measures.join(dim_sellers.select("seller_id", *named), "seller_id", "left")
+            .select("seller_id", *named, *measures.columns[1:]))
 
 
 def mart_delivery_performance(fct_orders: DataFrame) -> DataFrame:
@@ -151,8 +153,8 @@ def mart_payment_performance(fct_payments: DataFrame) -> DataFrame:
                                  "payment_type")
             .agg(F.count(F.lit(1)).alias("payment_rows_count"),
                  F.count_distinct("order_id").alias("orders_count"),
-                 money_sum("payment_value").alias("payment_value"),
-                 money_avg("payment_value").alias("avg_payment_value"),
+                 exact_sum("payment_value").alias("payment_value"),
+                 exact_avg("payment_value").alias("avg_payment_value"),
                  F.avg("payment_installments").alias("avg_payment_installments"),
                  F.max("payment_installments").alias("max_payment_installments")))
 
@@ -161,10 +163,10 @@ def mart_geo_sales_state(fct_orders: DataFrame) -> DataFrame:
     return (fct_orders.groupBy("customer_state", "customer_region")
             .agg(F.count(F.lit(1)).alias("orders_count"),
                  F.count_distinct("customer_unique_id").alias("customers_count"),
-                 money_sum("order_item_value").alias("revenue"),
-                 money_sum("order_freight_value").alias("freight_revenue"),
-                 money_sum("order_total_value").alias("gross_revenue"),
-                 money_avg("order_item_value").alias("avg_order_value"),
+                 exact_sum("order_item_value").alias("revenue"),
+                 exact_sum("order_freight_value").alias("freight_revenue"),
+                 exact_sum("order_total_value").alias("gross_revenue"),
+                 exact_avg("order_item_value").alias("avg_order_value"),
                  F.count_if(_delivered()).alias("delivered_orders_count"),
                  F.count_if(_late()).alias("late_orders_count"),
                  F.avg("actual_delivery_days").alias("avg_delivery_days"),
@@ -177,11 +179,11 @@ def mart_executive_kpi(fct_orders: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("orders_count"),
         F.count_distinct("customer_unique_id").alias("customers_count"),
         F.sum("item_count").alias("items_count"),
-        money_sum("order_item_value").alias("revenue"),
-        money_sum("order_freight_value").alias("freight_revenue"),
-        money_sum("order_total_value").alias("gross_revenue"),
-        money_sum("payment_value").alias("payment_value"),
-        money_avg("order_item_value").alias("avg_order_value"),
+        exact_sum("order_item_value").alias("revenue"),
+        exact_sum("order_freight_value").alias("freight_revenue"),
+        exact_sum("order_total_value").alias("gross_revenue"),
+        exact_sum("payment_value").alias("payment_value"),
+        exact_avg("order_item_value").alias("avg_order_value"),
         F.count_if(_delivered()).alias("delivered_orders_count"),
         F.count_if(F.col("order_status") == "canceled").alias("canceled_orders_count"),
         F.count_if(F.col("order_status") == "unavailable").alias("unavailable_orders_count"),
@@ -194,6 +196,7 @@ def mart_executive_kpi(fct_orders: DataFrame) -> DataFrame:
         .withColumn("late_delivery_rate", safe_divide("late_orders_count", "delivered_orders_count")))
 
 
+# The mart's columns, in their order.
 DASHBOARD_COLUMNS = [
     "order_id", "order_item_id", "order_purchase_timestamp", "order_purchase_date",
     "order_purchase_month", "order_status", "customer_id", "customer_city", "customer_state",
@@ -205,13 +208,18 @@ DASHBOARD_COLUMNS = [
 ]
 
 
-def mart_dashboard_sales_detail(stg_order_items: DataFrame, fct_orders: DataFrame,
-                                dim_products: DataFrame, dim_sellers: DataFrame) -> DataFrame:
-    """Item-grain wide table (order-level payment value repeats per item).
+PAYMENT_ATTRS = ("payment_types", "max_payment_installments", "payment_value")
+
+
+def mart_dashboard_sales_detail(fct_order_items: DataFrame, fct_orders: DataFrame) -> DataFrame:
+    """Item-grain wide table: the item fact and three payment columns of its order
+    (order-level payment value repeats per item)."""
+    paid = fct_orders.select("order_id", *PAYMENT_ATTRS)
+    return fct_order_items.join(paid, "order_id", "left").select(*DASHBOARD_COLUMNS)
+
 
-    The item fact already joins the order fact on ``order_id``; the three
-    payment attributes come from that same join rather than a second join.
-    """
-    extra = ["payment_types", "max_payment_installments", "payment_value"]
+def dashboard_from_items(stg_order_items: DataFrame, fct_orders: DataFrame, dim_products: DataFrame,
+                         dim_sellers: DataFrame) -> DataFrame:
+    """The same rows where no item fact is written yet: its order join gives the payment columns, too."""
     return items_with_context(stg_order_items, fct_orders, dim_products, dim_sellers,
-                              extra_order_attrs=extra).select(*DASHBOARD_COLUMNS)
+                              PAYMENT_ATTRS).select(*DASHBOARD_COLUMNS)

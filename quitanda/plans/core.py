@@ -87,6 +87,7 @@ def dim_date(stg_orders: DataFrame, stg_order_reviews: DataFrame) -> DataFrame:
     )
 
 
+# The fact's columns, in their order.
 FCT_ORDERS_COLUMNS = [
     "order_id", "customer_id", "customer_unique_id", "customer_city", "customer_state",
     "customer_region", "order_status", "order_purchase_timestamp", "order_purchase_date",
@@ -110,6 +111,7 @@ def fct_orders(orders_enriched: DataFrame, dim_customers_df: DataFrame) -> DataF
     return orders_enriched.join(c, "customer_id", "left").select(*FCT_ORDERS_COLUMNS)
 
 
+# The fact's columns, in their order.
 FCT_ORDER_ITEMS_COLUMNS = [
     "order_id", "order_item_id", "product_id", "seller_id", "customer_id", "order_status",
     "order_purchase_timestamp", "order_purchase_date", "order_purchase_month",
@@ -127,14 +129,12 @@ ITEM_ORDER_ATTRS = ["customer_id", "order_status", "order_purchase_timestamp",
 
 def items_with_context(stg_order_items: DataFrame, fct_orders_df: DataFrame,
                        dim_products_df: DataFrame, dim_sellers_df: DataFrame,
-                       extra_order_attrs: list[str] | None = None) -> DataFrame:
+                       more: tuple[str, ...] = ()) -> DataFrame:
     """Item lines ⟕ seller ⟕ product ⟕ order facts, all on unique right keys.
 
-    ``extra_order_attrs`` lets a mart take more order attributes from the
-    same order join instead of joining the order facts a second time.
+    ``more`` names further order attributes to take from the same join.
     """
-    order_cols = ITEM_ORDER_ATTRS + [c for c in (extra_order_attrs or []) if c not in ITEM_ORDER_ATTRS]
-    o = fct_orders_df.select("order_id", *order_cols)
+    o = fct_orders_df.select("order_id", *ITEM_ORDER_ATTRS, *more)
     p = dim_products_df.select("product_id", "product_category_name",
                                "product_category_name_english", "product_weight_class")
     s = dim_sellers_df.select("seller_id", "seller_city", "seller_state", "seller_region")

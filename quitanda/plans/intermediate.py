@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quitanda.functions import (any_value, days_between, distinct_list, exact_avg, flag,
-                                latest_by, money_sum, money_sum_if, month_start)
+from quitanda.functions import (any_value, days_between, distinct_list, exact_avg, exact_sum,
+                                exact_sum_if, flag, latest_by, month_start)
 from quitanda.operators.joins import left_join_fill_many
 
 PAYMENT_KINDS = ["credit_card", "boleto", "voucher", "debit_card"]
@@ -25,8 +25,8 @@ def int_geolocation_zip(stg_geolocation: DataFrame) -> DataFrame:
             .groupBy(zip_col)
             .agg(any_value("geolocation_city").alias("geolocation_city"),
                  any_value("geolocation_state").alias("geolocation_state"),
-                 exact_avg("geolocation_lat", 4).alias("avg_latitude"),
-                 exact_avg("geolocation_lng", 4).alias("avg_longitude"),
+                 exact_avg("geolocation_lat").alias("avg_latitude"),
+                 exact_avg("geolocation_lng").alias("avg_longitude"),
                  F.count(F.lit(1)).alias("geolocation_records")))
 
 
@@ -35,23 +35,23 @@ def int_order_items_by_order(stg_order_items: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("item_count"),
                  F.count_distinct("product_id").alias("unique_product_count"),
                  F.count_distinct("seller_id").alias("unique_seller_count"),
-                 money_sum("price").alias("order_item_value"),
-                 money_sum("freight_value").alias("order_freight_value"),
-                 money_sum("item_total_value").alias("order_total_value"),
+                 exact_sum("price").alias("order_item_value"),
+                 exact_sum("freight_value").alias("order_freight_value"),
+                 exact_sum("item_total_value").alias("order_total_value"),
                  F.min("shipping_limit_date").alias("first_shipping_limit_date"),
                  F.max("shipping_limit_date").alias("last_shipping_limit_date")))
 
 
 def int_payments_by_order(stg_order_payments: DataFrame) -> DataFrame:
     t = F.col("payment_type")
-    per_kind_value = [money_sum_if("payment_value", t == k).alias(f"{k}_value")
+    per_kind_value = [exact_sum_if("payment_value", t == k).alias(f"{k}_value")
                       for k in PAYMENT_KINDS]
     per_kind_count = [F.count_if(t == k).alias(f"{k}_payment_count") for k in PAYMENT_KINDS]
     return (stg_order_payments.groupBy("order_id")
             .agg(F.count(F.lit(1)).alias("payment_count"),
                  distinct_list("payment_type", ", ").alias("payment_types"),
                  F.max("payment_installments").alias("max_payment_installments"),
-                 money_sum("payment_value").alias("payment_value"),
+                 exact_sum("payment_value").alias("payment_value"),
                  *per_kind_value, *per_kind_count))
 
 

@@ -1,10 +1,12 @@
 """Materialise models: views stay lazy, tables are written as Parquet.
 
-Month-partitioned tables are range-partitioned on (yyyymm, sort key) before
-the write: each task then writes few month folders (no small-file explosion)
-and a hot month is still cut into several tasks by the range sampler.  Rows
-are sorted within each file by the model's sort key, so Parquet row-group
-min/max statistics prune scans that filter on it.
+Tables go to a folder or, with a database, into the catalog (external tables
+below that folder).  Month-partitioned tables are rebalanced on yyyymm before
+the write: adaptive execution cuts a hot month into several tasks and merges
+small ones, by measured bytes.  Rows are sorted within each file by the model's
+sort key, so Parquet row-group min/max statistics prune scans that filter on
+it.  In a catalog the order-grain roll-ups are bucketed on their key, so their
+joins need no shuffle of them.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import types as T
 
 from quitanda.functions import month_key
 from quitanda.plans.models import ModelSpec
+from quitanda.sources.files import list_files
 
 PREFIX_FOLDERS = ("bronze", "silver", "gold")
 MONTH_COLUMN = "yyyymm"
@@ -42,28 +45,33 @@ def with_month_key(df: DataFrame, date_col: str) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, sort_by: tuple[str, ...] | list[str] = (),
                 month_of: str | None = None, max_records_per_file: int | None = None,
-                mode: str = "overwrite", replace_months_only: bool = False) -> None:
-    """Write ``df`` as a Parquet table.
+                mode: str = "overwrite", replace_months_only: bool = False,
+                table: str | None = None, bucket_by: str | None = None) -> None:
+    """Write ``df`` as a Parquet table at ``path``, registered as ``table`` if that is given.
 
     A model table is a full rebuild (every old file replaced); with
     ``replace_months_only`` only the months present in ``df`` are rewritten.
+    ``bucket_by`` needs ``table``; there are as many buckets as shuffle partitions.
     """
     sort_cols = list(sort_by)
-    writer_df = df
     if month_of:
-        writer_df = with_month_key(df, month_of)
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        writer_df = (writer_df.repartitionByRange(n, MONTH_COLUMN, *sort_cols)
-                     .sortWithinPartitions(MONTH_COLUMN, *sort_cols))
-    elif sort_cols:
-        writer_df = writer_df.sortWithinPartitions(*sort_cols)
-    w = writer_df.write.mode(mode)
+        df = with_month_key(df, month_of).hint("rebalance", MONTH_COLUMN).sortWithinPartitions(MONTH_COLUMN, *sort_cols)
+    elif sort_cols and not (table and bucket_by):
+        df = df.sortWithinPartitions(*sort_cols)
+    w = df.write.mode(mode)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
     if month_of:
         w = w.option("partitionOverwriteMode", "dynamic" if replace_months_only else "static")
         w = w.partitionBy(MONTH_COLUMN)
-    w.parquet(path)
+    if not table:
+        w.parquet(path)
+        return
+    if bucket_by:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # one task for each bucket, so that each writes one file
+        w = df.repartition(n, bucket_by).write.mode(mode).bucketBy(n, bucket_by).sortBy(bucket_by)
+    w.format("parquet").option("path", path).saveAsTable(table)
 
 
 def read_table(spark: SparkSession, path: str, spec: ModelSpec | None = None,
@@ -80,16 +88,39 @@ def read_table(spark: SparkSession, path: str, spec: ModelSpec | None = None,
     return df
 
 
+def model_path(base_path: str, model: str, folder: str | None = None) -> str:
+    return f"{base_path.rstrip('/')}/{alias_name(model, folder)}"
+
+
 def materialize(spark: SparkSession, spec: ModelSpec, df: DataFrame, base_path: str,
-                folder: str | None = None) -> DataFrame:
+                folder: str | None = None, database: str | None = None) -> DataFrame:
     """Materialise one model; return the DataFrame later layers should read."""
     name = alias_name(spec.name, folder)
     if spec.materialized == "view":
         df.createOrReplaceTempView(name)
         return df
-    path = f"{base_path.rstrip('/')}/{name}"
-    write_table(df, path, spec.sort_by, spec.partition_month_of, max_records_per_file=MODEL_ROWS_PER_FILE)
-    return read_table(spark, path, spec, df.schema)
+    path = model_path(base_path, spec.name, folder)
+    table = f"{database}.{name}" if database else None
+    write_table(df, path, spec.sort_by, spec.partition_month_of, MODEL_ROWS_PER_FILE, table=table,
+                bucket_by=spec.bucket_by)
+    return existing(spark, spec, base_path, folder, database, df.schema)
+
+
+def existing(spark: SparkSession, spec: ModelSpec, base_path: str, folder: str | None = None,
+             database: str | None = None, schema: T.StructType | None = None) -> DataFrame | None:
+    """The written table of a model, None if there is none."""
+    if spec.materialized == "view":
+        return None
+    if database:
+        table = f"{database}.{alias_name(spec.name, folder)}"
+        if not spark.catalog.tableExists(table):
+            return None
+        df = spark.table(table)
+        return df.drop(MONTH_COLUMN) if spec.partition_month_of else df
+    path = model_path(base_path, spec.name, folder)
+    if schema is None and not list_files(spark, path):
+        return None
+    return read_table(spark, path, spec, schema)
 
 
 def month_slice(spark: SparkSession, path: str, yyyymm: int) -> DataFrame:

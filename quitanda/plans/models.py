@@ -26,10 +26,14 @@ class ModelSpec:
     materialized: str = "table"     # view | table
     sort_by: tuple[str, ...] = ()
     partition_month_of: str | None = None   # date column whose yyyymm partitions the table
+    bucket_by: str | None = None            # key of the buckets of a catalog table
+    # the same rows from other parents, for a plan in which the first parent isn't a written table
+    inline: tuple[Callable[..., DataFrame], tuple[str, ...]] | None = None
 
 
-def _spec(name, layer, build, parents, materialized="table", sort_by=(), month_of=None):
-    return ModelSpec(name, layer, build, tuple(parents), materialized, tuple(sort_by), month_of)
+def _spec(name, layer, build, parents, materialized="table", sort_by=(), month_of=None, bucket_by=None,
+          inline=None):
+    return ModelSpec(name, layer, build, tuple(parents), materialized, tuple(sort_by), month_of, bucket_by, inline)
 
 
 MODELS: dict[str, ModelSpec] = {s.name: s for s in [
@@ -47,11 +51,11 @@ MODELS: dict[str, ModelSpec] = {s.name: s for s in [
     _spec("int_geolocation_zip", "intermediate", intermediate.int_geolocation_zip,
           ["stg_geolocation"], sort_by=["geolocation_zip_code_prefix"]),
     _spec("int_order_items_by_order", "intermediate", intermediate.int_order_items_by_order,
-          ["stg_order_items"], sort_by=["order_id"]),
+          ["stg_order_items"], sort_by=["order_id"], bucket_by="order_id"),
     _spec("int_payments_by_order", "intermediate", intermediate.int_payments_by_order,
-          ["stg_order_payments"], sort_by=["order_id"]),
+          ["stg_order_payments"], sort_by=["order_id"], bucket_by="order_id"),
     _spec("int_reviews_by_order", "intermediate", intermediate.int_reviews_by_order,
-          ["stg_order_reviews"], sort_by=["order_id"]),
+          ["stg_order_reviews"], sort_by=["order_id"], bucket_by="order_id"),
     _spec("int_orders_enriched", "intermediate", intermediate.int_orders_enriched,
           ["stg_orders", "int_order_items_by_order", "int_payments_by_order",
            "int_reviews_by_order"], sort_by=["order_purchase_date", "order_id"],
@@ -83,9 +87,9 @@ MODELS: dict[str, ModelSpec] = {s.name: s for s in [
     _spec("mart_customer_rfm", "analytics", analytics.mart_customer_rfm, ["fct_orders"],
           sort_by=["customer_unique_id"]),
     _spec("mart_product_performance", "analytics", analytics.mart_product_performance,
-          ["fct_order_items"], sort_by=["product_category_name_english", "product_id"]),
+          ["fct_order_items", "dim_products"], sort_by=["product_category_name_english", "product_id"]),
     _spec("mart_seller_performance", "analytics", analytics.mart_seller_performance,
-          ["fct_order_items"], sort_by=["seller_state", "seller_id"]),
+          ["fct_order_items", "dim_sellers"], sort_by=["seller_state", "seller_id"]),
     _spec("mart_delivery_performance", "analytics", analytics.mart_delivery_performance,
           ["fct_orders"], sort_by=["sales_month", "customer_state"]),
     _spec("mart_review_performance", "analytics", analytics.mart_review_performance,
@@ -97,9 +101,10 @@ MODELS: dict[str, ModelSpec] = {s.name: s for s in [
     _spec("mart_executive_kpi", "analytics", analytics.mart_executive_kpi, ["fct_orders"],
           sort_by=["kpi_grain"]),
     _spec("mart_dashboard_sales_detail", "analytics", analytics.mart_dashboard_sales_detail,
-          ["stg_order_items", "fct_orders", "dim_products", "dim_sellers"],
+          ["fct_order_items", "fct_orders"],
           sort_by=["order_purchase_date", "order_id", "order_item_id"],
-          month_of="order_purchase_date"),
+          month_of="order_purchase_date",
+          inline=(analytics.dashboard_from_items, ("stg_order_items", "fct_orders", "dim_products", "dim_sellers"))),
 ]}
 
 LAYERS = ["staging", "intermediate", "core", "analytics"]
@@ -150,9 +155,11 @@ class Warehouse:
         (typed by the registry schema, partition-pruned to that date)."""
         from quitanda.schemas import RAW_SCHEMAS
         from quitanda.sources.landing import read_landing
-        return cls(spark, {t: (lambda t=t: read_landing(spark, landing_base, t, load_date,
-                                                        RAW_SCHEMAS[t], env))
-                           for t in RAW_SCHEMAS})
+
+        def reader(table: str) -> DataFrame:
+            landed = read_landing(spark, landing_base, table, load_date, RAW_SCHEMAS[table], env)
+            return landed if landed is not None else spark.createDataFrame([], RAW_SCHEMAS[table])
+        return cls(spark, {t: (lambda t=t: reader(t)) for t in RAW_SCHEMAS})
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str) -> "Warehouse":
@@ -173,5 +180,8 @@ class Warehouse:
             return self.overrides[name]
         if name not in self._memo:
             spec = MODELS[name]
-            self._memo[name] = spec.build(*[self.table(p) for p in spec.parents])
+            build, parents = spec.build, spec.parents
+            if spec.inline and parents[0] not in self.overrides:
+                build, parents = spec.inline
+            self._memo[name] = build(*[self.table(p) for p in parents])
         return self._memo[name]

@@ -8,7 +8,6 @@ it.  Only when that setting is missing (local tests) do we set one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -61,11 +60,13 @@ def get_session(master: str | None = None, app: str = "quitanda",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
+    """Return the shared checkpoint folder; only a local master gets one of its own when none is named."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local") or "local-cluster" in spark.sparkContext.master:
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="quitanda-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -78,14 +79,3 @@ def scratch_path(spark: SparkSession, name: str, unique: bool = True) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if unique else name
     return f"{base}/quitanda/{leaf}"
-
-
-def local_dir_of(path: str) -> str | None:
-    """The local file-system folder behind ``path`` (``file:`` or plain), else None."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    if "://" in path:
-        return None
-    return os.path.abspath(path)

@@ -1,8 +1,8 @@
 """Parquet landing zone and the typed raw layer.
 
 * ``write_landing``   one table's extract → ``<base>/<env>/<table>/year=/month=/day=``
-                      (Hive-style load-date partitions, ``maxRecordsPerFile`` batches;
-                      re-running a day replaces only that day: dynamic overwrite)
+                      (Hive-style load-date folders; writing a day replaces exactly that
+                      day's folder, also with nothing when the source is empty)
 * ``extract_to_landing`` the same plus a status row (``success`` / ``empty``)
 * ``read_landing``    one load date of a table, partition-pruned, typed
 * ``load_raw``        landing → raw table by column position, cast to the registry
@@ -16,16 +16,14 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quitanda.schemas import RAW_SCHEMAS, ddl_of
 from quitanda.sources.files import list_files
 
-PARTITION_COLS = ["year", "month", "day"]
 LOAD_DATE_COL = "load_date"
-DEFAULT_BATCH_ROWS = 30000
 
 # Source DDL marks only these columns nullable; every other column would get
 # its type default when loaded with fill_type_defaults.
@@ -50,14 +48,17 @@ def partition_suffix(load_date: dt.date | str) -> str:
 
 
 def write_landing(df: DataFrame, base: str, table: str, load_date: dt.date | str,
-                  env: str | None = None, batch_rows: int = DEFAULT_BATCH_ROWS) -> str:
-    y, m, d = _partition_values(load_date)
+                  env: str | None = None, batch_rows: int | None = None) -> str:
+    """Replace one load date of a landed table; other dates stay as they are.
+
+    Files are as large as the read splits of the source; ``batch_rows`` cuts
+    them at a number of rows (30 000 in the source project).
+    """
     path = landing_path(base, table, env)
-    (df.withColumn("year", F.lit(y)).withColumn("month", F.lit(f"{m:02d}"))
-     .withColumn("day", F.lit(f"{d:02d}"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("maxRecordsPerFile", str(batch_rows))
-     .partitionBy(*PARTITION_COLS).parquet(path))
+    writer = df.write.mode("overwrite")
+    if batch_rows:
+        writer = writer.option("maxRecordsPerFile", str(batch_rows))
+    writer.parquet(f"{path}/{partition_suffix(load_date)}")
     return path
 
 
@@ -71,15 +72,14 @@ class ExtractStatus:
 
 def extract_to_landing(spark: SparkSession, df: DataFrame, base: str, table: str,
                        load_date: dt.date | str, env: str | None = None,
-                       batch_rows: int = DEFAULT_BATCH_ROWS) -> ExtractStatus:
-    """Extract one table into its load-date partition and report the outcome.
+                       batch_rows: int | None = None) -> ExtractStatus:
+    """Extract one table into its load-date folder and report the outcome.
 
-    The source is read once (the write); the row count comes from the
-    written files' metadata.  An empty source writes no data files.
+    The source is read once; the write itself counts the rows.
     """
-    path = write_landing(df, base, table, load_date, env, batch_rows)
-    written = read_landing(spark, base, table, load_date, schema=None, env=env)
-    rows = written.count() if written is not None else 0
+    counted = Observation()
+    path = write_landing(df.observe(counted, F.count(F.lit(1)).alias("rows")), base, table, load_date, env, batch_rows)
+    rows = counted.get["rows"]
     if rows == 0:
         return ExtractStatus(table, "empty", 0, None)
     return ExtractStatus(table, "success", rows, f"{path}/{partition_suffix(load_date)}")
@@ -87,20 +87,12 @@ def extract_to_landing(spark: SparkSession, df: DataFrame, base: str, table: str
 
 def read_landing(spark: SparkSession, base: str, table: str, load_date: dt.date | str,
                  schema: T.StructType | None = None, env: str | None = None) -> DataFrame | None:
-    """One load date of a landed table (partition filters prune the scan)."""
-    path = landing_path(base, table, env)
+    """One load date of a landed table (only its folder is listed); None if that day was never landed."""
+    path = f"{landing_path(base, table, env)}/{partition_suffix(load_date)}"
     if not list_files(spark, path):
         return None
-    y, m, d = _partition_values(load_date)
-    reader = spark.read.option("basePath", path)
-    if schema is not None:
-        full = T.StructType(list(schema.fields) + [T.StructField("year", T.IntegerType()),
-                                                   T.StructField("month", T.StringType()),
-                                                   T.StructField("day", T.StringType())])
-        reader = reader.schema(full)
-    df = reader.parquet(path)
-    df = df.where((F.col("year") == y) & (F.col("month") == f"{m:02d}") & (F.col("day") == f"{d:02d}"))
-    return df.drop(*PARTITION_COLS)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path)
 
 
 def conform_by_position(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -115,17 +107,23 @@ def load_raw(df: DataFrame, raw_path: str, table: str, load_date: dt.date | str,
              mode: str = "replace_date") -> DataFrame:
     """Load one landed date into the raw table at ``raw_path``.
 
-    ``replace_date`` (default) rewrites only that load date's partition, so
-    re-running a day never duplicates rows; ``append`` adds the rows again
-    (the plain ``INSERT`` behaviour).
+    ``replace_date`` (default) replaces that load date's folder, also by no rows,
+    so loading a day again never doubles or keeps old rows; ``append`` adds the
+    rows again (the plain ``INSERT`` behaviour).
     """
-    typed = conform_by_position(df, RAW_SCHEMAS[table])
     d = dt.date.fromisoformat(load_date) if isinstance(load_date, str) else load_date
-    out = typed.withColumn(LOAD_DATE_COL, F.lit(d))
-    write_mode = "append" if mode == "append" else "overwrite"
-    (out.write.mode(write_mode).option("partitionOverwriteMode", "dynamic")
-     .partitionBy(LOAD_DATE_COL).parquet(raw_path))
-    return out.sparkSession.read.parquet(raw_path)
+    typed = conform_by_position(df, RAW_SCHEMAS[table])
+    typed.write.mode("append" if mode == "append" else "overwrite").parquet(
+        f"{raw_path.rstrip('/')}/{LOAD_DATE_COL}={d.isoformat()}")
+    return read_raw(df.sparkSession, raw_path, table)
+
+
+def read_raw(spark: SparkSession, raw_path: str, table: str) -> DataFrame:
+    """The raw table at ``raw_path`` with its load date; empty if nothing was loaded."""
+    schema = T.StructType([*RAW_SCHEMAS[table].fields, T.StructField(LOAD_DATE_COL, T.DateType())])
+    if not list_files(spark, raw_path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(raw_path)
 
 
 def _default_of(dtype: T.DataType) -> Column | None:

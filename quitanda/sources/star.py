@@ -9,10 +9,9 @@ order) and the per-order numbering of lines.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quitanda.operators.numbering import number_within
 from quitanda.schemas import RAW_SCHEMAS
 
 # State code by nation key 0..24 ('ZZ' exercises the 'unknown' region).
@@ -22,24 +21,16 @@ STATE_BY_NATION = ["SP", "RJ", "MG", "ES", "PR", "SC", "RS", "BA", "SE", "AL", "
 # Payment types picked by (priority digit + sequence) % 5; 'boleto'
 # is written untidy on purpose so the staging normalisation has work to do.
 RAW_PAYMENT_TYPES = ["credit_card", " Boleto ", "voucher", "debit_card", "not_defined"]
-# Category without a translation.
+# The category whose translation goes by another name.
 UNTRANSLATED_TYPE = "LARGE"
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
               "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
-_SCANS: dict[tuple[int, str], DataFrame] = {}
-
-
 def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one driver table; the scan (file listing, footer schema) is reused
-    within a session — the driver tables are immutable inputs."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(path)
-    return _SCANS[key]
+    """Scan of one driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 _STATE_ARRAY = "array(" + ", ".join(f"'{s}'" for s in STATE_BY_NATION) + ")"
@@ -102,9 +93,14 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem rows; the item number is the line's rank inside its order."""
+    """lineitem rows; the item number is the line's rank inside its order.
+
+    A plain window: lazy, dropped from plans that never read the number, and an
+    order's lines are few.  ``operators.numbering`` numbers keys of any size.
+    """
     li = read_driver(spark, sf_dir, "lineitem")
-    numbered = number_within(li, "l_orderkey", LINE_ORDER, "order_item_id")
+    line = Window.partitionBy("l_orderkey").orderBy(*(F.col(c).asc_nulls_first() for c in LINE_ORDER))
+    numbered = li.withColumn("order_item_id", F.row_number().over(line).cast("bigint"))
     df = numbered.select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("order_item_id"),
@@ -123,14 +119,16 @@ def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = F.col("payment_sequential")
     digit = F.substring(F.col("o_orderpriority"), 1, 1).cast("int")
     types = F.array(*[F.lit(t) for t in RAW_PAYMENT_TYPES])
-    # Mapping rule, not sampling: every order is read; orders whose key is a
-    # multiple of 41 are given no payment so the left-join misses are exercised.
-    df = (o.where(k % 41 != 0)
-          .select("o_orderkey", "o_orderpriority", "o_totalprice",
+    # every order's payments are kept; those of keys that are a multiple of 41 are
+    # booked under the order before (0: after) as its further payments, so these
+    # orders miss in left joins
+    moved = k % 41 == 0
+    booked = F.when(moved, F.when(k > 0, k - 1).otherwise(k + 1)).otherwise(k)
+    df = (o.select("o_orderkey", "o_orderpriority", "o_totalprice",
                   F.explode(F.sequence(F.lit(1).cast("bigint"), 1 + k % 3)).alias("payment_sequential"))
           .select(
-              k.cast("string").alias("order_id"),
-              seq,
+              booked.cast("string").alias("order_id"),
+              (seq + F.when(moved, 3).otherwise(0)).alias("payment_sequential"),
               F.element_at(types, ((digit + seq) % 5 + 1).cast("int")).alias("payment_type"),
               (1 + k % 10).alias("payment_installments"),
               F.when(seq == 1, F.col("o_totalprice")).otherwise((seq * 10).cast("double"))
@@ -189,21 +187,22 @@ def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_product_category_name_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_driver(spark, sf_dir, "part")
-    df = (p.select("p_type").where(F.col("p_type") != UNTRANSLATED_TYPE).distinct()
-          .select(F.lower("p_type").alias("product_category_name"),
+    name = F.when(F.col("p_type") == UNTRANSLATED_TYPE, "large (retired)").otherwise(F.lower("p_type"))
+    df = (p.select("p_type").distinct()
+          .select(name.alias("product_category_name"),
                   F.concat(F.lit("en_"), F.lower("p_type")).alias("product_category_name_english")))
     return _conform(df, "product_category_name_translation")
 
 
 def raw_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per customer of nations whose key is not a multiple of 6."""
+    """One row per customer."""
     c = read_driver(spark, sf_dir, "customer")
     n = F.col("c_nationkey")
     lat = F.col("c_acctbal") / F.lit(100.0)
-    # Mapping rule, not sampling: nations with key % 6 == 0 get no geolocation
-    # rows so customers and sellers of those zips miss the join.
-    df = c.where(n % 6 != 0).select(
-        n.alias("geolocation_zip_code_prefix"),
+    # nations with key % 6 == 0 lie under a zip that nobody else uses, so
+    # customers and sellers of those zips miss the join
+    df = c.select(
+        (n + F.when(n % 6 == 0, 1000).otherwise(0)).alias("geolocation_zip_code_prefix"),
         lat.alias("geolocation_lat"),
         (-lat).alias("geolocation_lng"),
         _city(n, trailing=False).alias("geolocation_city"),

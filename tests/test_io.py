@@ -76,3 +76,87 @@ def test_catalog_warehouse(spark):
               "NULL, NULL, NULL, DATE'2020-01-20')")
     wh = Warehouse.from_catalog(spark, db)
     assert wh.model("stg_orders").first().is_delivered == 1
+
+
+def payments(spark, n, order="1"):
+    from test_semantics import make_wh
+    return make_wh(spark, order_payments=[(order, i, "voucher", 1, 5.0) for i in range(n)]).table("raw.order_payments")
+
+
+def test_a_day_that_becomes_empty_is_cleared(spark):
+    from quitanda.schemas import RAW_SCHEMAS
+    from quitanda.sources.landing import load_raw, read_landing
+    base = scratch_path(spark, "emptied")
+    schema = RAW_SCHEMAS["order_payments"]
+
+    def land_and_load(n, day="2024-03-01"):
+        st = extract_to_landing(spark, payments(spark, n), f"{base}/landing", "order_payments", day)
+        landed = read_landing(spark, f"{base}/landing", "order_payments", day, schema)
+        return st, load_raw(landed, f"{base}/raw", "order_payments", day)
+
+    land_and_load(3, "2024-03-02")
+    st, raw = land_and_load(2)
+    assert (st.status, st.rows, raw.count()) == ("success", 2, 5)
+    st, raw = land_and_load(0)
+    assert (st.status, st.rows, raw.count()) == ("empty", 0, 3)
+    assert read_landing(spark, f"{base}/landing", "order_payments", "2024-03-02", schema).count() == 3
+    assert read_landing(spark, f"{base}/landing", "order_payments", "2024-03-09", schema) is None
+
+
+def test_stream_replaces_a_day_that_is_extracted_again(spark):
+    from quitanda.sources.landing import write_landing
+    from quitanda.streaming.landing_stream import load_landing_incrementally
+    base = scratch_path(spark, "stream-again")
+
+    def load():
+        return load_landing_incrementally(spark, f"{base}/landing", "order_payments", f"{base}/raw", f"{base}/ckpt")
+
+    write_landing(payments(spark, 2), f"{base}/landing", "order_payments", "2024-03-01")
+    assert load().count() == 2
+    write_landing(payments(spark, 2), f"{base}/landing", "order_payments", "2024-03-01")
+    assert load().count() == 2
+    write_landing(payments(spark, 5), f"{base}/landing", "order_payments", "2024-03-01")
+    write_landing(payments(spark, 1), f"{base}/landing", "order_payments", "2024-03-02")
+    assert load().count() == 6
+
+
+def test_batch_load_after_a_stream_load(spark):
+    from quitanda.schemas import RAW_SCHEMAS
+    from quitanda.sources.landing import load_raw, read_landing, write_landing
+    from quitanda.streaming.landing_stream import load_landing_incrementally
+    base = scratch_path(spark, "stream-batch")
+    write_landing(payments(spark, 4), f"{base}/landing", "order_payments", "2024-03-01")
+    load_landing_incrementally(spark, f"{base}/landing", "order_payments", f"{base}/raw", f"{base}/ckpt")
+    write_landing(payments(spark, 2), f"{base}/landing", "order_payments", "2024-03-02")
+    landed = read_landing(spark, f"{base}/landing", "order_payments", "2024-03-02", RAW_SCHEMAS["order_payments"])
+    assert load_raw(landed, f"{base}/raw", "order_payments", "2024-03-02").count() == 6
+    assert load_raw(landed, f"{base}/raw", "order_payments", "2024-03-02", mode="append").count() == 8
+
+
+def test_landing_without_data_gives_empty_raw_tables(spark):
+    from quitanda.plans.models import Warehouse
+    wh = Warehouse.from_landing(spark, scratch_path(spark, "nothing"), "2024-03-01")
+    assert wh.model("stg_orders").count() == 0 and wh.model("mart_executive_kpi").first().orders_count == 0
+
+
+def test_jdbc_predicates():
+    import datetime as dt
+    from quitanda.sources.jdbc import date_predicates, hash_predicates
+    parts = hash_predicates("order_id", 4)
+    assert len(parts) == 4 and parts[2].endswith("% 4 = 2") and all("coalesce" in p for p in parts)
+    days = date_predicates("day", dt.date(2024, 1, 1), dt.date(2024, 1, 31), 3)
+    assert days == ["\"day\" < '2024-01-11' or \"day\" is null", "\"day\" >= '2024-01-11' and \"day\" < '2024-01-21'",
+                    "\"day\" >= '2024-01-21'"]
+    assert date_predicates("day", dt.date(2024, 1, 1), dt.date(2024, 1, 1), 8) == ["1 = 1"]
+    assert len(date_predicates("day", dt.date(2024, 1, 1), dt.date(2024, 1, 3), 8)) == 3
+
+
+def test_date_predicates_cover_every_row_once():
+    import datetime as dt
+    import duckdb
+    from quitanda.sources.jdbc import date_predicates
+    con = duckdb.connect()
+    con.sql("CREATE TABLE t AS SELECT DATE '2023-12-20' + CAST(i AS INTEGER) AS day FROM range(60) r(i) UNION ALL SELECT NULL")
+    for parts in (2, 3, 7, 50):
+        clauses = date_predicates("day", dt.date(2024, 1, 1), dt.date(2024, 1, 31), parts)
+        assert sum(con.sql(f"SELECT count(*) FROM t WHERE {c}").fetchall()[0][0] for c in clauses) == 61

@@ -1,48 +1,49 @@
-"""The skew-safe numbering equals the plain window, whichever path a key takes."""
+"""The sliced numbering equals the plain window, however large a key is."""
 
 from __future__ import annotations
 
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quitanda.operators.numbering import number_within
 
 
+def plain(df, key, order):
+    w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return df.withColumn("n", F.row_number().over(w).cast("bigint"))
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     rnd = random.Random(7)
     rows = [(0, rnd.randint(0, 50), rnd.random()) for _ in range(3000)]          # one hot key
     rows += [(k, rnd.randint(0, 5), rnd.random()) for k in range(1, 200) for _ in range(rnd.randint(1, 6))]
     rows += [(7, 1, 0.5), (7, 1, 0.5)]                                             # identical rows
+    rows += [(None, i % 7, float(i)) for i in range(40)] + [(3, None, None)]
     return spark.createDataFrame(rows, "k long, a int, b double")
 
 
-@pytest.mark.parametrize("threshold,slices", [(None, None), (100, 4), (2, 7)])
-def test_matches_row_number(spark, skewed, threshold, slices):
-    got = number_within(skewed, "k", ["a", "b"], "n", hot_threshold=threshold, slices=slices)
-    want = number_within(skewed, "k", ["a", "b"], "n", hot_threshold=None)
-    assert sorted(got.collect()) == sorted(want.collect())
-
-
-def test_numbers_are_dense_per_key(spark, skewed):
-    got = number_within(skewed, "k", ["a", "b"], "n", hot_threshold=100, slices=5)
-    stats = got.groupBy("k").agg(F.count("*").alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"),
-                                 F.count_distinct("n").alias("d"))
-    assert stats.where("lo != 1 OR hi != c OR d != c").count() == 0
-
-
-def test_hot_key_is_split_across_slices(spark, skewed):
-    hot = (skewed.where("k = 0").repartitionByRange(5, "k", "a", "b")
-           .select(F.spark_partition_id().alias("p")).distinct().count())
-    assert hot > 1
-
-
-def test_hot_null_key_is_numbered_once(spark):
-    rows = [(None, i % 7, float(i)) for i in range(40)] + [(1, 0, 0.5), (1, 1, 0.5)]
-    df = spark.createDataFrame(rows, "k long, a int, b double")
-    got = number_within(df, "k", ["a", "b"], "n", hot_threshold=5, slices=4)
-    want = number_within(df, "k", ["a", "b"], "n", hot_threshold=None)
-    assert got.count() == 42
-    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+@pytest.mark.parametrize("slices", [None, 1, 4, 37])
+def test_matches_row_number(skewed, slices):
+    got = number_within(skewed, "k", ["a", "b"], "n", slices=slices)
+    assert sorted(got.collect(), key=str) == sorted(plain(skewed, "k", ["a", "b"]).collect(), key=str)
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_hot_key_with_payload(spark, reuse):
+    """Two million rows, a third under one key, a column outside the sort keys."""
+    df = spark.range(2_000_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 100_003).alias("k"),
+        F.xxhash64("id").alias("a"), F.concat(F.lit("payload "), F.col("id").cast("string")).alias("p"))
+    before = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        got = number_within(df, "k", ["a"], "n", slices=16)
+        wrong = got.join(plain(df, "k", ["a"]).select("a", F.col("n").alias("m")), "a").where("n <> m").count()
+        spans = got.where("k = 0").count()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)
+    assert wrong == 0 and spans > 600_000

@@ -7,13 +7,12 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from oracle_check import compare
-
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+from quitanda.catalog import ORACLES, QUERIES
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):

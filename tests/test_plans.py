@@ -42,3 +42,24 @@ def test_month_partitions_prune(spark):
     assert "PartitionFilters: [isnotnull(yyyymm" in p and "= 199601" in p
     assert one.where(f"{MONTH_COLUMN} != 199601").count() == 0
     assert one.count() > 0
+
+
+def test_hot_month_is_cut_into_sorted_files(spark):
+    """Rebalanced write: a hot month gives several files, each a slice of the sort key."""
+    from pyspark.sql import functions as F
+    path = scratch_path(spark, "hot-month") + "/t"
+    rows = spark.range(400_000).select(
+        F.when(F.col("id") % 10 < 9, F.lit("2024-05-03")).otherwise(F.lit("2024-07-09")).cast("date").alias("day"),
+        F.xxhash64("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    try:
+        spark.conf.set(keys[0], "4m")
+        write_table(rows, path, ("k",), "day")
+    finally:
+        spark.conf.unset(keys[0])
+    files = spark.read.parquet(path).groupBy(MONTH_COLUMN, F.input_file_name().alias("f")).agg(F.count("*").alias("n"))
+    per_month = {r[MONTH_COLUMN]: r["count"] for r in files.groupBy(MONTH_COLUMN).count().collect()}
+    assert per_month[202405] > 1 and per_month[202407] <= per_month[202405]
+    one = spark.read.parquet(files.where(f"{MONTH_COLUMN} = 202405").first().f)
+    got = [r.k for r in one.select("k").collect()]
+    assert got == sorted(got)

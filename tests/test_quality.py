@@ -90,3 +90,67 @@ def test_gate_stops_in_layer_children(spark):
     assert err.value.layer == "intermediate"
     written = {p.rstrip("/").rsplit("/", 1)[-1] for p in list_files(spark, base)}
     assert "int_order_items_by_order" in written and "int_orders_enriched" not in written
+
+
+def test_gate_blocks_only_descendants(spark):
+    """A failed roll-up blocks what reads it; other models of its layer are still written."""
+    import datetime as dt
+    from quitanda.sources.files import list_files
+    wh = make_wh(spark, orders=[order("1")], customers=[("c1", "u", 1, "x", "sp")],
+                 order_items=[("1", 1, "p", "s", dt.datetime(2020, 1, 1), 1.0, 1.0)])
+    suite = Declarations({"dim_customers": [Check("accepted_values", "customer_id", ("nobody",))]})
+    base = scratch_path(spark, "gate-branch")
+    with pytest.raises(QualityGateError) as err:
+        run_pipeline(spark, wh, base, suite=suite)
+    assert err.value.layer == "core"
+    written = {p.rstrip("/").rsplit("/", 1)[-1] for p in list_files(spark, base)}
+    assert {"dim_products", "dim_sellers", "dim_date"} <= written
+    assert not {"fct_orders", "fct_order_items", "mart_executive_kpi"} & written
+
+
+def test_one_layer_on_written_tables(spark):
+    from quitanda.plans.models import LAYERS, Warehouse
+    sf = "/root/testdata/sf0.001"
+    base = scratch_path(spark, "layers")
+    run_pipeline(spark, Warehouse.from_star(spark, sf), base, layers=LAYERS[:3], gate=False)
+    unread = Warehouse(spark, {})  # no raw table at all: the marts come from the written facts
+    res = run_pipeline(spark, unread, base, layers=["analytics"], gate=False)
+    assert res.test_results.count() == 240
+    whole = Warehouse.from_star(spark, sf)
+    for mart in ("mart_executive_kpi", "mart_dashboard_sales_detail", "mart_seller_performance"):
+        assert sorted(map(str, res.tables[mart].collect())) == sorted(map(str, whole.model(mart).collect()))
+
+
+def test_item_mart_plans_from_tables(spark):
+    """Few exchanges and no sort-based aggregate in the item marts over written tables."""
+    from quitanda.plans.models import LAYERS, Warehouse
+    base = scratch_path(spark, "marts")
+    wh = Warehouse.from_star(spark, "/root/testdata/sf0.001")
+    run_pipeline(spark, wh, base, layers=LAYERS[:3], gate=False, suite=Declarations({}))
+    for mart in ("mart_product_performance", "mart_seller_performance"):
+        plan = wh.model(mart)._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning") <= 6
+    plan = wh.model("mart_dashboard_sales_detail")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 1
+
+
+def test_database_build_and_single_model(spark, capsys):
+    from quitanda.__main__ import main
+    from quitanda.plans.materialize import database_for
+    base = scratch_path(spark, "dbcli")
+    sf = "/root/testdata/sf0.001"
+    assert main(["star", "--sf-dir", sf, "--raw-root", f"{base}/raw"]) == 0
+    common = ["--raw-root", f"{base}/raw", "--out", f"{base}/out", "--env", "dev"]
+    assert main(["build", *common, "--no-gate"]) == 0
+    db = database_for("dev")
+    assert spark.table(f"{db}.mart_executive_kpi").first().orders_count == 1500
+    bucketed = spark.sql(f"DESCRIBE EXTENDED {db}.int_payments_by_order").where("col_name = 'Bucket Columns'").first()
+    assert "order_id" in bucketed.data_type
+    spark.sql(f"DROP TABLE {db}.mart_executive_kpi")
+    assert main(["model", "mart_executive_kpi", *common]) == 0
+    assert spark.table(f"{db}.mart_executive_kpi").count() == 1
+    capsys.readouterr()
+    assert main(["test", "mart_executive_kpi", "fct_orders", *common]) == 0
+    assert "failed_tests" in capsys.readouterr().out
+    for table in spark.catalog.listTables(db):
+        spark.sql(f"DROP TABLE {db}.{table.name}") if not table.isTemporary else None

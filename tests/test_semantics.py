@@ -78,7 +78,7 @@ def test_sum_if_without_match_is_zero(spark):
     assert (r.payment_types, r.boleto_payment_count, r.voucher_payment_count) == ("boleto, credit_card", 1, 0)
 
 
-def test_money_sums_are_exact(spark):
+def test_exact_sums_are_exact(spark):
     items = [("1", i, "p", "s", TS(2020, 1, 1), 0.1, 0.2) for i in range(1, 11)]
     wh = make_wh(spark, order_items=items)
     r = wh.model("int_order_items_by_order").first()
