@@ -12,7 +12,7 @@ global positions; Parquet's own commit makes shards appear once even if
 executors are lost or tasks run twice.
 
 Encoding: a space before another character always begins a new piece of the
-byte-level pre-tokenizer, so words are encoded once per task and looked up
+byte-level pre-tokenizer, so words are encoded once per worker and looked up
 (a bounded table); texts with two spaces in a row or a special token's string
 are encoded whole.  Results equal ``Tokenizer.encode`` on the text (tested).
 
@@ -158,11 +158,21 @@ class Encoder:
         return out
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """The worker's encoder: its vocabulary is read, and its table of pieces filled, once for all tasks."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def _pack_shard(path: str, bits: int, block_ids: int, end_id: int):
     from quitanda.llm import kernel as K
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, block = Encoder(path), TaskContext.get().partitionId(), 0
+        encoder, shard, block = encoder_of(path), TaskContext.get().partitionId(), 0
         ids, docs = [], []
         held = 0
 
