@@ -2,15 +2,15 @@
 
 Method: a line is the set of its words (lower case).  Words are ordered by
 rarity, the rarest first.  Two lines with Jaccard ``threshold`` share a word of
-their prefixes, so only prefix words make postings; the length filter, the
-positional filter (words before the first shared one can't match) and a parity
-filter (64 parities bound the symmetric difference from below) drop pairs, the
-rest are verified on the whole sets.  A line is removed if an earlier line, by
+their prefixes, so only prefix words make postings.  The length filter, the
+positional filter (what lies before and after a shared word bounds the overlap)
+and the number of shared prefix words drop pairs, the rest are verified on the
+whole sets.  A line is removed if an earlier line, by
 (doc_id, text, line number), is similar; the first one stays.
 
-Equal sets are one class before the join.  Of each prefix word's lines, all are
-first paired with the earliest alone; lines that this removes need no other
-pair.  Only the lines left over are joined with every earlier line of their
+Equal sets are one class before the join.  The lines of each of a line's two
+rarest words are first paired with the earliest alone, if that is the same for
+both; lines that this removes need no other pair.  Only the lines left over are joined with every earlier line of their
 words, so a group of near copies makes about as many pairs as it has lines.
 
 Rarity counts all words of all lines, added up in ``2**RANK_BITS`` buckets, so
@@ -43,49 +43,51 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text_key", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
 
 
-def rarity(sets: DataFrame) -> Column:
-    """Array literal of the rank (0 to 126) of each hash bucket, by how many lines hold its words."""
+def rarity(docs: DataFrame) -> Column:
+    """Array literal for each hash bucket: the rank (0 to 126) of how often its words occur, in the upper byte."""
     size = 1 << RANK_BITS
-    counts = sets.select(F.explode("words").alias("h")).groupBy(
-        F.pmod("h", F.lit(size)).cast("int").alias("b")).agg(F.count("*").alias("c"))
-    ranks = counts.select("b", F.least(F.lit(126), F.floor(F.log2("c") * 4).cast("int")).alias("r"))
+    words = docs.select(F.explode(F.split(F.lower("text"), SEPARATOR)).alias("w"))
+    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(size - 1)).alias("b")).agg(F.count("*").alias("c"))
+    ranks = counts.select(F.col("b").cast("int").alias("b"), F.least(F.lit(126), F.floor(F.log2("c") * 4).cast("int")).alias("r"))
     table = ["0"] * size
     for row in ranks.toLocalIterator():  # at most ``size`` rows
-        table[row.b] = str(row.r)
-    return F.split(F.lit(",".join(table)), ",").cast("array<int>")
+        table[row.b] = str(row.r << 56)
+    return F.split(F.lit(",".join(table)), ",").cast("array<long>")
 
 
 def by_rarity(words: Column, ranks: Column) -> Column:
-    """Words as longs that sort by rank, then by hash (its upper 56 bits)."""
-    size = F.lit(1 << RANK_BITS)
-    return F.array_sort(F.transform(words, lambda h: F.shiftleft(F.get(ranks, F.pmod(h, size).cast("int")).cast("long"), 56)
-                                    .bitwiseOR(F.shiftrightunsigned(h, 8))))
+    """Words as longs that sort by rank, then by hash (its lower 56 bits)."""
+    return F.sort_array(F.transform(words, lambda h: F.get(ranks, h.bitwiseAND(F.lit((1 << RANK_BITS) - 1)).cast("int"))
+                                    .bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))))
 
 
 def shaped_lines(docs: DataFrame, threshold: int) -> tuple[DataFrame, Column]:
-    """Stored lines with a word (doc_id, text_key, line_no, node, size, prefix, parity), and the rank table.
+    """Stored lines with a word (doc_id, text_key, line_no, node, size, prefix), and the rank table.
 
-    ``node`` is the hash of the whole set, ``prefix`` its first words by rarity
-    (32 bits of each), ``parity`` has bit i set if an odd number of words fall into i.
+    ``node`` is the hash of the whole set, ``prefix`` its first words by rarity (32 bits of each).
     """
     lines = lines_of(docs).withColumn("words", word_set(F.col("line"))).where("size(words) > 0")
-    ranks = rarity(lines)
+    ranks = rarity(docs)
     ordered = lines.select("doc_id", "text_key", "line_no", by_rarity(F.col("words"), ranks).alias("words"))
     return stored(ordered.select(
         "doc_id", "text_key", "line_no", F.xxhash64("words").alias("node"), F.size("words").alias("size"),
         F.expr(f"transform(slice(words, 1, cast(size(words) - ceil({threshold} * size(words) / 100d) + 1 as int)),"
                " w -> cast((w & 4294967295) - 2147483648 as int))").alias("prefix"),
-        F.expr("aggregate(words, 0L, (a, w) -> a ^ shiftleft(1L, cast(w & 63 as int)))").alias("parity"),
     ), "lines-shaped"), ranks
 
 
+def _need(threshold: int, x: str = "x.size", c: str = "c.size") -> str:
+    """Least overlap of two sets of these sizes, in SQL."""
+    return f"ceil({threshold} * ({x} + {c}) / {100 + threshold}d)"
+
+
 def _candidate(threshold: int) -> str:
-    """Length, positional and parity filters of x and the earlier c, in SQL."""
-    need = f"ceil({threshold} * (x.size + c.size) / {100 + threshold}d)"
-    return (f"x.node <> c.node and c.doc <= x.doc"
-            f" and 100 * least(x.size, c.size) >= {threshold} * greatest(x.size, c.size)"
-            f" and least(x.size - x.pos, c.size - c.pos) >= {need}"
-            f" and bit_count(x.parity ^ c.parity) <= x.size + c.size - 2 * {need}")
+    """Filters of a word that x and the earlier c share, in SQL.
+
+    At most the words before it, itself and the words after it are shared.
+    """
+    return (f"x.node <> c.node and c.doc <= x.doc and 100 * least(x.size, c.size) >= {threshold} * greatest(x.size, c.size)"
+            f" and least(x.pos, c.pos) + least(x.size - x.pos, c.size - c.pos) >= {_need(threshold)}")
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Column, threshold: int) -> DataFrame:
@@ -112,7 +114,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Colu
 
 def _postings(classes: DataFrame, prefix: str) -> DataFrame:
     first = F.coalesce(F.col("ref.doc_id"), F.lit(-(1 << 63)))  # null comes first
-    return classes.select("node", first.alias("doc"), "size", "parity", "open", F.posexplode(F.expr(prefix)).alias("pos", "word"))
+    return classes.select("node", first.alias("doc"), "size", "open", F.posexplode(F.expr(prefix)).alias("pos", "word"))
 
 
 def later_matches(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -120,14 +122,15 @@ def later_matches(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     shaped, ranks = shaped_lines(docs, threshold)
     classes = stored(shaped.groupBy("node").agg(
         F.min(F.struct("doc_id", "text_key", "line_no")).alias("ref"), F.first("size").alias("size"),
-        F.first("prefix").alias("prefix"), F.first("parity").alias("parity")), "lines-classes")
+        F.first("prefix").alias("prefix")), "lines-classes")
 
-    # first round: lines that share one of their two rarest words, against the earliest of them
+    # first round: lines that share their two rarest words (the only one of short lines) with the earliest of them
     rare = _postings(classes.withColumn("open", F.lit(1)), "slice(prefix, 1, 2)")
-    earliest = rare.groupBy("word").agg(F.min(F.struct("doc", "node", "size", "parity", "pos")).alias("c")).select(
-        "word", "c.*")
-    pairs = stored(rare.alias("x").join(earliest.alias("c"), "word").where(_candidate(threshold)).select(
-        F.col("x.node").alias("x"), F.col("c.node").alias("c")).distinct(), "lines-first")
+    earliest = rare.groupBy("word").agg(F.min(F.struct("doc", "node", "size", "pos")).alias("c")).select("word", "c.*")
+    met = rare.alias("x").join(earliest.alias("c"), "word").where(_candidate(threshold)).groupBy(
+        F.col("x.node").alias("x"), F.col("c.node").alias("c")).agg(F.count("*").alias("m"), F.max("x.size").alias("size"))
+    short = f"size - ceil({threshold} * size / 100d) + 1"
+    pairs = stored(met.where(f"m >= least(2, {short})").select("x", "c"), "lines-first")
     gone = stored(_verified(pairs, classes, docs, ranks, threshold), "lines-gone")
 
     # second round: the lines left, against every earlier line of their prefix words
@@ -135,9 +138,14 @@ def later_matches(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         "open", F.when(F.col("g").isNull(), 1).otherwise(0)).drop("g")
     every = _postings(marked, "prefix")
     # the test on open names both sides, so both read one shuffle of the postings
-    rest = every.alias("x").join(every.alias("c"), "word").where(
-        "x.open + 2 * abs(c.open) in (1, 3)").where(_candidate(threshold)).select(
-        F.col("x.node").alias("x"), F.col("c.node").alias("c")).distinct()
+    shared = every.alias("x").join(every.alias("c"), "word").where(
+        "x.open + 2 * abs(c.open) in (1, 3)").where(_candidate(threshold)).groupBy(
+        F.col("x.node").alias("x"), F.col("c.node").alias("c")).agg(
+        F.count("*").alias("m"), F.max(F.expr("least(x.size - x.pos, c.size - c.pos)")).alias("from_first"),
+        F.max("x.size").alias("xs"), F.max("c.size").alias("cs"))
+    # beyond the shared prefix words, no more can be shared than the longer rest after a prefix
+    rest = shared.where(f"from_first >= {_need(threshold, 'xs', 'cs')}").where(
+        f"m + ceil({threshold} * greatest(xs, cs) / 100d) - 1 >= {_need(threshold, 'xs', 'cs')}").select("x", "c")
     rest = stored(rest.join(pairs, ["x", "c"], "left_anti"), "lines-rest")
     gone = gone.unionByName(_verified(rest, classes, docs, ranks, threshold)).distinct()
 
