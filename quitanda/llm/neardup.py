@@ -281,7 +281,7 @@ WITH RECURSIVE words AS (
                                     '[^\x20\x09-\x0D]+') AS w FROM documents
 ), sets AS (
   SELECT doc_id, CASE WHEN len(w) >= 3
-      THEN list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+      THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
       WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words
 ), shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
 shared AS (

@@ -189,17 +189,17 @@ def digest(found: DataFrame, base: int = len(BASE)) -> DataFrame:
 
 def _sql_spans(rule: Rule, number: int) -> str:
     pattern = "'" + rule.regex.replace("'", "''") + "'"
-    return f"""list_filter(list_transform(range(1, len(regexp_extract_all(t, {pattern})) + 1), i -> {{
-        's': list_sum(list_transform(string_split_regex(t, {pattern})[1:i], x -> length(x)))
-             + coalesce(list_sum(list_transform(regexp_extract_all(t, {pattern})[1:i - 1], x -> length(x))), 0),
+    return f"""list_filter(list_transform(range(1, len(regexp_extract_all(t, {pattern})) + 1), lambda i: {{
+        's': list_sum(list_transform(string_split_regex(t, {pattern})[1:i], lambda x: length(x)))
+             + coalesce(list_sum(list_transform(regexp_extract_all(t, {pattern})[1:i - 1], lambda x: length(x))), 0),
         'n': {number}, 'l': length(regexp_extract_all(t, {pattern})[i]), 'k': '{rule.kind}',
-        'p': length(regexp_extract_all(t, {pattern}, {rule.group})[i])}}), x -> x.p >= {rule.least})"""
+        'p': length(regexp_extract_all(t, {pattern}, {rule.group})[i])}}), lambda x: x.p >= {rule.least})"""
 
 
 def oracle() -> str:
     """The contract in SQL: each rule's regex over every text."""
     def shown(spans: str) -> str:
-        return ("array_to_string(list_transform(list_sort(" + spans + "), x -> x.k || ':' || x.s || ':' || (x.s + x.l)), ',')")
+        return ("array_to_string(list_transform(list_sort(" + spans + "), lambda x: x.k || ':' || x.s || ':' || (x.s + x.l)), ',')")
     columns = ", ".join(f"{_sql_spans(r, i)} AS {r.kind}" for i, r in enumerate(RULES))
     base, every = (" || ".join(r.kind for r in rules) for rules in (BASE, RULES))
     counts = ", ".join(f"len({r.kind}) AS n_{r.kind}" for r in BASE)
