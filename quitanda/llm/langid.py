@@ -47,8 +47,9 @@ REJECT_FACTOR = 1.75
 REJECT_SPREAD, REJECT_NATS = 16.0, 30.0
 #: The softmax of ``score`` counts at most so many characters.
 SCORE_CHARS = 50
-#: Characters scored at a time.
+#: Characters scored at a time, and places of a worker's table of grams met before.
 SLICE = 1 << 19
+CACHE_BITS = 20
 
 
 def _letter_table() -> np.ndarray:
@@ -85,28 +86,34 @@ def letters(text: str) -> np.ndarray:
     return out[~(space & np.concatenate(([False], space[:-1])))]
 
 
-def gram_chain(code: np.ndarray, first: np.ndarray, order: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of the longest gram, slots of its suffixes and contexts) of each predicted character.
+def _gram_hash(code: np.ndarray, begin: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n characters that end at each of the places ``at`` (before its text: the leading space again)."""
+    h = np.full(len(at), n, np.uint64)
+    base = K.U64(1)
+    for back in range(n):
+        h += (code[np.maximum(at - back, begin)].astype(np.uint64) + K.U64(1)) * base
+        base = K.U64((int(base) * 0xD6E8FEB86659FD93) % (1 << 64))
+    return K.mix64(h)
 
-    Slots come as columns g_order ... g_1, x_order ... x_2: g_n is the gram of
-    the last n characters, x_n the n - 1 characters before the last.  Every
-    character but a text's leading space is predicted once; grams that would
-    begin before their text repeat that space.
+
+def _predicted(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, begin of their texts) of all characters but the leading space of each text."""
+    size = np.diff(first)
+    begin = np.repeat(first[:-1], size - 1)
+    return begin + 1 + np.arange(len(begin)) - np.repeat(np.cumsum(size - 1) - (size - 1), size - 1), begin
+
+
+def gram_chain(code: np.ndarray, begin: np.ndarray, at: np.ndarray, order: int, bits: int) -> np.ndarray:
+    """Slots of the suffixes and contexts of the grams that end at the places ``at``.
+
+    Columns g_order ... g_1, x_order ... x_2: g_n is the gram of the last n
+    characters, x_n the n - 1 characters before the last.
     """
-    at = np.arange(len(code))
-    begin = np.repeat(first[:-1], np.diff(first))
-    full, slots = None, {}
-    for n in range(1, order + 1):
-        h = np.full(len(code), n, np.uint64)
-        for back in range(n - 1, -1, -1):
-            h = h * K.U64(0xD6E8FEB86659FD93) + code[np.maximum(at - back, begin)] + K.U64(1)
-            h ^= h >> K.U64(31)
-        full = K.mix64(h)
-        slots[n] = (full >> K.U64(64 - bits)).astype(np.int64)
-    valid = np.flatnonzero(at != begin)
-    columns = [slots[n][valid] for n in range(order, 0, -1)]
-    columns += [slots[n - 1][valid - 1] for n in range(order, 1, -1)]
-    return full[valid], np.stack(columns, axis=1) if len(valid) else np.zeros((0, 2 * order - 1), np.int64)
+    def slots(n: int, places: np.ndarray) -> np.ndarray:
+        return (_gram_hash(code, begin, places, n) >> K.U64(64 - bits)).astype(np.int64)
+
+    columns = [slots(n, at) for n in range(order, 0, -1)] + [slots(n - 1, at - 1) for n in range(order, 1, -1)]
+    return np.stack(columns, axis=1)
 
 
 def chain_names(order: int) -> list[str]:
@@ -120,39 +127,52 @@ def _sliced(code: np.ndarray) -> list[np.ndarray]:
     return [code[max(0, a - 1):a + SLICE] for a in range(0, len(code), SLICE)]
 
 
+class _Counts:
+    """Counts of one language in a task: one number for each slot of the highest order, and the slot's chain."""
+
+    def __init__(self, order: int, bits: int):
+        self.order, self.bits = order, bits
+        self.count = np.zeros(1 << bits, np.int64)
+        self.chains: list[np.ndarray] = []
+
+    def add(self, codes: list[np.ndarray]) -> None:
+        code = np.concatenate(codes)
+        at, begin = _predicted(np.concatenate(([0], np.cumsum(list(map(len, codes))))))
+        slot = (_gram_hash(code, begin, at, self.order) >> K.U64(64 - self.bits)).astype(np.int64)
+        new = np.flatnonzero(self.count[slot] == 0)
+        if len(new):
+            _, pick = np.unique(slot[new], return_index=True)
+            new = new[pick]
+            self.chains.append(gram_chain(code, begin[new], at[new], self.order, self.bits))
+        self.count += np.bincount(slot, minlength=len(self.count))
+
+    def rows(self, lang: str, names: list[str]) -> pa.RecordBatch:
+        chain = np.concatenate(self.chains)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(chain), pa.string()), *(pa.array(chain[:, i]) for i in range(chain.shape[1])),
+             pa.array(self.count[chain[:, 0]])], names=names)
+
+
 def _count(order: int, bits: int, hold: int):
     names = ["lang", *chain_names(order), "c"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-
-        def rows(lang):
-            keys, chain, count = held.pop(lang)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(keys), pa.string()), *(pa.array(chain[:, i]) for i in range(chain.shape[1])),
-                 pa.array(count)], names=names)
-
+        held: dict[str, _Counts] = {}
         for batch in batches:
             for part in K.chunks(batch, "text", SLICE):
                 by_lang: dict[str, list[np.ndarray]] = {}
                 for text, lang in zip(part.column("text").to_pylist(), part.column("lang").to_pylist()):
                     if text:
-                        by_lang.setdefault(lang, []).extend(x for x in _sliced(letters(text)) if len(x))
+                        by_lang.setdefault(lang, []).extend(x for x in _sliced(letters(text)) if len(x) > 1)
                 for lang, codes in by_lang.items():
                     if not codes:
                         continue
-                    key, chain = gram_chain(np.concatenate(codes), np.concatenate(([0], np.cumsum(list(map(len, codes))))),
-                                            order, bits)
-                    count = np.ones(len(key), np.int64)
-                    if lang in held:
-                        old = held[lang]
-                        key, chain, count = (np.concatenate(x) for x in zip(old, (key, chain, count)))
-                    key, at, inverse = np.unique(key, return_index=True, return_inverse=True)
-                    held[lang] = key, chain[at], np.bincount(inverse, count, len(key)).astype(np.int64)
-                    if len(key) > hold:
-                        yield rows(lang)
-        for lang in list(held):
-            yield rows(lang)
+                    if lang not in held and len(held) >= hold:
+                        first = next(iter(held))
+                        yield held.pop(first).rows(first, names)
+                    held.setdefault(lang, _Counts(order, bits)).add(codes)
+        for lang, counts in held.items():
+            yield counts.rows(lang, names)
     return run
 
 
@@ -184,16 +204,41 @@ class Model:
             p = np.where(known, (np.maximum(seen - DISCOUNT, 0.0) + DISCOUNT * kinds * p) / np.where(known, total, 1.0), p)
         return np.log(np.maximum(p, 1e-12))
 
+    def of_characters(self, code: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Log probability under each language of every predicted character.
+
+        Grams met before in the worker come from a table that holds their whole
+        hash; the others are looked up in the sorted arrays and kept.
+        """
+        if not hasattr(self, "_key"):
+            self._key = np.zeros(1 << CACHE_BITS, np.uint64)
+            self._logs = np.zeros((1 << CACHE_BITS, len(self.langs)), np.float32)
+        at, begin = _predicted(first)
+        key = _gram_hash(code, begin, at, self.order) | K.U64(1)
+        place = (key >> K.U64(64 - CACHE_BITS)).astype(np.int64)
+        missed = np.flatnonzero(self._key[place] != key)
+        out = self._logs[place]
+        if len(missed):
+            _, pick, inverse = np.unique(key[missed], return_index=True, return_inverse=True)
+            new = missed[pick]
+            logs = self.log_probabilities(gram_chain(code, begin[new], at[new], self.order, self.bits)).astype(np.float32)
+            out[missed] = logs[inverse]
+            self._key[place[new]], self._logs[place[new]] = key[new], logs
+            # grams that share a place: the table holds whichever was written for both key and value
+            clash = self._key[place[new]] != key[new]
+            self._key[place[new][clash]] = 0
+        return out
+
 
 def _find(slots: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.minimum(np.searchsorted(slots, keys), len(slots) - 1)
     return at, slots[at] == keys
 
 
-def train(docs: DataFrame, order: int = ORDER, bits: int = HASH_BITS, hold: int = 400_000) -> Model | None:
+def train(docs: DataFrame, order: int = ORDER, bits: int = HASH_BITS, hold: int = 16) -> Model | None:
     """Model of all rows of ``docs`` (text, lang); None if nothing can be learned.
 
-    ``hold`` is the number of grams a task keeps of a language before it passes its partial counts on.
+    ``hold`` is the number of languages a task counts at a time before it passes partial counts on.
     """
     names = chain_names(order)
     rows = docs.where("text is not null and lang is not null").select(
@@ -240,7 +285,7 @@ def _score(model, text_col: str):
                 codes, owner = [], []
                 for i, text in enumerate(texts):
                     for x in _sliced(letters(text)) if text else ():
-                        if len(x):
+                        if len(x) > 1:
                             codes.append(x)
                             owner.append(i)
                 while codes:  # slices of about SLICE characters at a time
@@ -248,14 +293,10 @@ def _score(model, text_col: str):
                     now, own = codes[:take], np.array(owner[:take])
                     codes, owner = codes[take:], owner[take:]
                     size = np.array(list(map(len, now)))
-                    key, chain = gram_chain(np.concatenate(now), np.concatenate(([0], np.cumsum(size))),
-                                            model.value.order, model.value.bits)
-                    row = np.repeat(own, size - 1)
-                    _, at, inverse = np.unique(key, return_index=True, return_inverse=True)
-                    logs = model.value.log_probabilities(chain[at])
-                    for k in range(logs.shape[1]):
-                        sums[:, k] += np.bincount(row, logs[inverse, k], len(texts))
-                    chars += np.bincount(row, minlength=len(texts))
+                    logs = model.value.of_characters(np.concatenate(now), np.concatenate(([0], np.cumsum(size))))
+                    starts = np.cumsum(size - 1) - (size - 1)
+                    np.add.at(sums, own, np.add.reduceat(logs, starts, axis=0, dtype=np.float64))
+                    np.add.at(chars, own, size - 1)
                 mean = sums / np.maximum(chars, 1)[:, None]
                 best = mean.argmax(1)
                 gap = (mean - mean[np.arange(len(mean)), best][:, None]) * np.minimum(chars, SCORE_CHARS)[:, None]

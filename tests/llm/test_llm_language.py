@@ -59,8 +59,11 @@ def test_model_is_interpolated_kneser_ney(spark):
 
     for text in ("abab", "bca", "zz"):
         code = langid.letters(text)
-        _, chain = langid.gram_chain(code, np.array([0, len(code)]), order, 24)
-        got = model.log_probabilities(chain)[:, 0]
+        first = np.array([0, len(code)])
+        at, begin = langid._predicted(first)
+        got = model.log_probabilities(langid.gram_chain(code, begin, at, order, 24))[:, 0]
+        for _ in range(2):  # from the sorted arrays, then from the worker's table
+            assert np.allclose(model.of_characters(code, first)[:, 0], got, atol=1e-5)
         padded = chr(code[0]) * (order - 1) + "".join(map(chr, code))
         expected = [np.log(p(padded[i:i + order])) for i in range(1, len(code))]
         assert np.allclose(got, expected, atol=1e-6)
