@@ -5,8 +5,8 @@ with licence templates as sparse TF-IDF vectors.  Document frequencies of the
 templates' words are counted over all files; a word outside the templates only
 lengthens a block's vector and weighs as a word never seen.  A block whose
 cosine reaches ``COSINE`` names the file's licence: the template of the highest
-cosine, the first in ``TEMPLATES`` on a tie.  Only blocks that hold two words of
-a template can reach the cosine, so others aren't scored.
+cosine, the first in ``TEMPLATES`` on a tie.  A block's words bound its
+cosine from above, so most blocks aren't scored.
 
 A file of which licence blocks make up ``SHARE`` of the words, or whose name is a
 licence file's, states the licence of its directory; a directory with several
@@ -138,17 +138,23 @@ def _own(templates, keep: list[str]):
 def _best(t: Templates, words: np.ndarray, place: np.ndarray, line: np.ndarray) -> tuple[str | None, float, float]:
     """(licence, cosine, percent of the words inside matching blocks) of one text."""
     best, name, inside = 0.0, None, np.zeros(len(words), bool)
-    for start in np.unique(line[place >= 0]):
-        for size in range(1, BLOCK + 1):
-            a, b = np.searchsorted(line, [start, start + size])
-            if (place[a:b] >= 0).sum() < 2:
-                continue
-            cosines = t.cosines(words[a:b], place[a:b])
-            i = int(cosines.argmax())
-            if cosines[i] >= COSINE - 1e-12:
-                inside[a:b] = True
-                if cosines[i] > best + 1e-12:
-                    best, name = float(cosines[i]), t.names[i]
+    known = place >= 0
+    first = np.append(np.flatnonzero(np.diff(line, prepend=-1)), len(words))  # of each line with a word
+    weight = np.concatenate(([0.0], np.cumsum(np.where(known, t.idf[place], 0.0))))
+    count = np.concatenate(([0], np.cumsum(known)))
+    for size in range(1, min(BLOCK, len(first) - 1) + 1):
+        a, b = first[:-size], first[size:]
+        dot = (weight[b] - weight[a]) ** 2
+        hits = count[b] - count[a]
+        # the cosine is at most that of the block with its own known words
+        most = dot / np.maximum(dot + (b - a - hits) * t.unseen ** 2, 1e-300)
+        for i in np.flatnonzero((hits >= 2) & (most >= (COSINE - 1e-9) ** 2)):
+            cosines = t.cosines(words[a[i]:b[i]], place[a[i]:b[i]])
+            k = int(cosines.argmax())
+            if cosines[k] >= COSINE - 1e-12:
+                inside[a[i]:b[i]] = True
+                if cosines[k] > best + 1e-12:
+                    best, name = float(cosines[k]), t.names[k]
     return name, best, 100.0 * inside.mean()
 
 
