@@ -52,12 +52,20 @@ def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
+#: Rows of an Arrow batch; rows are whole documents, so the default of 10 000 would hold tens of MB
+#: in each of a task's buffers.
+BATCH_ROWS = 1000
+
+
 def workers_find_package(spark: SparkSession) -> None:
-    """Let Python workers import this package where they see the driver's path.
+    """Let Python workers import this package where they see the driver's path, and bound their batches.
 
-    Elsewhere the package is shipped with ``--py-files``.
+    Elsewhere the package is shipped with ``--py-files``.  A batch size set by the user stays.
     """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows, "10000") == "10000":
+        spark.conf.set(rows, str(BATCH_ROWS))
