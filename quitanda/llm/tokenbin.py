@@ -42,7 +42,7 @@ from quitanda.session import scratch_path
 END_ID = 0
 BLOCK_IDS = 1 << 16
 #: Pieces kept in a task's table.
-KNOWN_PIECES = 300_000
+KNOWN_PIECES = 400_000
 TOKENIZER = "byte_bpe_50k.json"
 
 BLOCK_SCHEMA = ("shard int, block int, bits int, n_ids long, payload binary, doc_ids array<long>, "
@@ -104,7 +104,7 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # whole pieces, and the pre-tokens they are made of
+        # whole pieces, and pre-tokens inside pieces that are none themselves
         self.known, self.pieces, self.words = known, {}, {}
         spec = json.loads(self.tokenizer.to_str())
         split = spec["pre_tokenizer"] or {}
@@ -115,17 +115,25 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _ids(self, token: str) -> bytes:
+        """Ids of one pre-token, by the library's model."""
+        if token.isascii() and token[1:].isalpha():  # only a leading space is shown as another character
+            shown = "\u0120" + token[1:] if token[0] == " " else token
+        else:
+            shown = token.encode().decode("latin-1").translate(self.bytes)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
     def _piece(self, piece: str) -> bytes:
-        """Ids of a piece: the library's model on each of its pre-tokens."""
+        """Ids of a piece: those of its pre-tokens; letters with or without a leading space are one."""
+        if piece.isalpha() or (piece[0] == " " and piece[1:].isalpha()):
+            return self._ids(piece)
         out = b""
-        words = self.words
         for x in _SPLIT.findall(piece):
-            ids = words.get(x)
+            ids = self.pieces.get(x) or self.words.get(x)
             if ids is None:
-                shown = x.encode().decode("latin-1").translate(self.bytes)
-                ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
-                if len(words) < self.known:
-                    words[x] = ids
+                ids = self._ids(x)
+                if len(self.words) < self.known:
+                    self.words[x] = ids
             out += ids
         return out
 
