@@ -3,11 +3,15 @@
 Training counts the character n-grams of the highest order over all labelled
 training rows: tasks sum what they see, a group-by adds the partial counts.
 Lower orders use continuation counts (the number of different left
-neighbours), as interpolated Kneser-Ney asks.  Grams are hashed into
-``2**hash_bits`` slots an order, so a model has at most that many entries for
-each order and language however large the corpus: that is the proven bound of
-the broadcast.  The model is stored as sorted hash arrays with one row of
-probabilities for each language.
+neighbours), as interpolated Kneser-Ney asks.  Grams are kept as the strings
+they are, so different grams never share a count, and the model is a set of
+written tables that grow with the corpus: nothing of it but the languages'
+names reaches the driver, and nothing is broadcast by us.
+
+Scoring deals the documents by a hash of the row into groups of about
+``GROUP_CHARS`` characters.  The different grams of each group are joined with
+the model's tables, each gram once for all groups, and come back to their group
+with one log probability a language; there they are added up by document.
 
 A text is scored by the mean negative log probability of its characters under
 each language; the lowest wins.  ``score`` is the softmax of the mean log
@@ -29,13 +33,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, MapType, StringType, StructField, StructType
 
 from quitanda.llm import kernel as K
-from quitanda.llm.common import arrays, stored
+from quitanda.llm.common import stored
 
 ORDER = 4
-HASH_BITS = 20
 UNKNOWN = "und"
 DISCOUNT = 0.75
 #: Size of the character inventory behind the unigrams.
@@ -47,9 +50,12 @@ REJECT_FACTOR = 1.75
 REJECT_SPREAD, REJECT_NATS = 16.0, 30.0
 #: The softmax of ``score`` counts at most so many characters.
 SCORE_CHARS = 50
-#: Characters scored at a time, and places of a worker's table of grams met before.
+#: Characters scored at a time.
 SLICE = 1 << 19
-CACHE_BITS = 20
+#: Characters a task holds before it counts them.
+HOLD = 1 << 22
+#: Characters of a group of documents that are scored together.
+GROUP_CHARS = 1 << 22
 
 
 def _letter_table() -> np.ndarray:
@@ -103,21 +109,20 @@ def _predicted(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin + 1 + np.arange(len(begin)) - np.repeat(np.cumsum(size - 1) - (size - 1), size - 1), begin
 
 
-def gram_chain(code: np.ndarray, begin: np.ndarray, at: np.ndarray, order: int, bits: int) -> np.ndarray:
-    """Slots of the suffixes and contexts of the grams that end at the places ``at``.
+def gram_chain(code: np.ndarray, begin: np.ndarray, at: np.ndarray, order: int, bits: int | None = None) -> np.ndarray:
+    """The grams that end at the places ``at``, as strings; suffixes and contexts are parts of them.
 
-    Columns g_order ... g_1, x_order ... x_2: g_n is the gram of the last n
-    characters, x_n the n - 1 characters before the last.
+    ``bits`` is accepted for older callers and has no effect.
     """
-    def slots(n: int, places: np.ndarray) -> np.ndarray:
-        return (_gram_hash(code, begin, places, n) >> K.U64(64 - bits)).astype(np.int64)
-
-    columns = [slots(n, at) for n in range(order, 0, -1)] + [slots(n - 1, at - 1) for n in range(order, 1, -1)]
-    return np.stack(columns, axis=1)
+    columns = [code[np.maximum(at - back, begin)] for back in range(order - 1, -1, -1)]
+    return np.ascontiguousarray(np.stack(columns, axis=1), np.uint32).view(f"<U{order}")[:, 0]
 
 
-def chain_names(order: int) -> list[str]:
-    return [f"g{n}" for n in range(order, 0, -1)] + [f"x{n}" for n in range(order, 1, -1)]
+def _string_hash(grams: np.ndarray, order: int) -> np.ndarray:
+    """``_gram_hash`` of grams given as strings."""
+    code = np.ascontiguousarray(grams.astype(f"<U{order}")).view(np.uint32)
+    begin = np.arange(0, len(code), order)
+    return _gram_hash(code, begin, begin + order - 1, order)
 
 
 def _sliced(code: np.ndarray) -> list[np.ndarray]:
@@ -127,185 +132,182 @@ def _sliced(code: np.ndarray) -> list[np.ndarray]:
     return [code[max(0, a - 1):a + SLICE] for a in range(0, len(code), SLICE)]
 
 
-class _Counts:
-    """Counts of one language in a task: one number for each slot of the highest order, and the slot's chain."""
+def _counted(codes: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, grams, counts) of the different grams of some texts."""
+    code = np.concatenate(codes)
+    at, begin = _predicted(np.concatenate(([0], np.cumsum(list(map(len, codes))))))
+    keys, pick, counts = np.unique(_gram_hash(code, begin, at, order), return_index=True, return_counts=True)
+    return keys, gram_chain(code, begin[pick], at[pick], order), counts
 
-    def __init__(self, order: int, bits: int):
-        self.order, self.bits = order, bits
-        self.count = np.zeros(1 << bits, np.int64)
-        self.chains: list[np.ndarray] = []
 
-    def add(self, codes: list[np.ndarray]) -> None:
-        code = np.concatenate(codes)
-        at, begin = _predicted(np.concatenate(([0], np.cumsum(list(map(len, codes))))))
-        slot = (_gram_hash(code, begin, at, self.order) >> K.U64(64 - self.bits)).astype(np.int64)
-        new = np.flatnonzero(self.count[slot] == 0)
-        if len(new):
-            _, pick = np.unique(slot[new], return_index=True)
-            new = new[pick]
-            self.chains.append(gram_chain(code, begin[new], at[new], self.order, self.bits))
-        self.count += np.bincount(slot, minlength=len(self.count))
+def _pieces(text: str | None) -> list[np.ndarray]:
+    return [x for x in _sliced(letters(text)) if len(x) > 1] if text else []
 
-    def rows(self, lang: str, names: list[str]) -> pa.RecordBatch:
-        chain = np.concatenate(self.chains)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(chain), pa.string()), *(pa.array(chain[:, i]) for i in range(chain.shape[1])),
-             pa.array(self.count[chain[:, 0]])], names=names)
 
-
-def _count(order: int, bits: int, hold: int):
-    names = ["lang", *chain_names(order), "c"]
+def _count(order: int):
+    """Partial counts: lang, gram, c."""
+    def rows(held: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for lang, codes in held.items():
+            _, grams, counts = _counted(codes, order)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array(counts, pa.int64())],
+                names=["lang", "gram", "c"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, _Counts] = {}
+        held: dict[str, list[np.ndarray]] = {}
+        size = 0
         for batch in batches:
             for part in K.chunks(batch, "text", SLICE):
-                by_lang: dict[str, list[np.ndarray]] = {}
                 for text, lang in zip(part.column("text").to_pylist(), part.column("lang").to_pylist()):
-                    if text:
-                        by_lang.setdefault(lang, []).extend(x for x in _sliced(letters(text)) if len(x) > 1)
-                for lang, codes in by_lang.items():
-                    if not codes:
-                        continue
-                    if lang not in held and len(held) >= hold:
-                        first = next(iter(held))
-                        yield held.pop(first).rows(first, names)
-                    held.setdefault(lang, _Counts(order, bits)).add(codes)
-        for lang, counts in held.items():
-            yield counts.rows(lang, names)
+                    for x in _pieces(text):
+                        held.setdefault(lang, []).append(x)
+                        size += len(x)
+                        if size >= HOLD:
+                            yield from rows(held)
+                            held, size = {}, 0
+        yield from rows(held)
     return run
 
 
 @dataclass
 class Model:
-    """For each order: sorted slots of grams with counts, sorted slots of contexts with totals and types.
-
-    The second axis of counts, totals and types is the language.
-    """
+    """For each order n a written table of (lang, gram, c): counts at the highest order, continuation counts below."""
     langs: list[str]
     order: int
-    bits: int
-    grams: dict[int, tuple[np.ndarray, np.ndarray]]
-    contexts: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+    levels: dict[int, DataFrame]
 
-    def log_probabilities(self, chain: np.ndarray) -> np.ndarray:
-        """Log probability under each language of the last character of each gram."""
-        p = np.full((len(chain), len(self.langs)), 1.0 / CHARACTERS)
+    def _by_language(self, n: int, key: Column, **values: Column) -> DataFrame:
+        """One row for each ``key`` with a column of each value for each language, named by the language's place."""
+        return self.levels[n].groupBy(key.alias(f"key{n}")).agg(*(
+            F.coalesce(F.sum(F.when(F.col("lang") == lang, value)), F.lit(0)).cast("double").alias(f"{name}{n}_{i}")
+            for name, value in values.items() for i, lang in enumerate(self.langs)))
+
+    def with_logs(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (gram, ...), one for each gram, with the log probability l0, l1, ... of its last character in each language."""
+        keep = rows.columns
         for n in range(1, self.order + 1):
-            slots, counts = self.grams[n]
-            where, totals, types = self.contexts[n]
-            at, found = _find(slots, chain[:, self.order - n])
-            seen = np.where(found[:, None], counts[at], 0.0)
-            context = chain[:, 2 * self.order - n] if n > 1 else np.zeros(len(chain), np.int64)
-            at, found = _find(where, context)
-            total = np.where(found[:, None], totals[at], 0.0)
-            kinds = np.where(found[:, None], types[at], 0.0)
-            known = total > 0
-            p = np.where(known, (np.maximum(seen - DISCOUNT, 0.0) + DISCOUNT * kinds * p) / np.where(known, total, 1.0), p)
-        return np.log(np.maximum(p, 1e-12))
+            suffix = F.substring("gram", self.order - n + 1, n)
+            grams = self._by_language(n, F.col("gram"), c=F.col("c"))
+            rows = rows.withColumn(f"key{n}", suffix).join(grams, f"key{n}", "left").drop(f"key{n}")
+            contexts = self._by_language(n, F.substring("gram", 1, n - 1), t=F.col("c"), u=F.lit(1))
+            if n == 1:  # one row: the empty context
+                rows = rows.crossJoin(F.broadcast(contexts)).drop(f"key{n}")
+            else:
+                rows = rows.withColumn(f"key{n}", F.substring("gram", self.order - n + 1, n - 1)).join(
+                    contexts, f"key{n}", "left").drop(f"key{n}")
+            lower = [F.col(f"p{i}") if n > 1 else F.lit(1.0 / CHARACTERS) for i in range(len(self.langs))]
+            rows = rows.select(*keep, *(
+                F.when(F.col(f"t{n}_{i}") > 0, (
+                    F.greatest(F.coalesce(F.col(f"c{n}_{i}"), F.lit(0.0)) - DISCOUNT, F.lit(0.0))
+                    + DISCOUNT * F.col(f"u{n}_{i}") * p) / F.col(f"t{n}_{i}")).otherwise(p).alias(f"p{i}")
+                for i, p in enumerate(lower)))
+        return rows.select(*keep, *(F.log(F.greatest(F.col(f"p{i}"), F.lit(1e-12))).alias(f"l{i}")
+                                    for i in range(len(self.langs))))
+
+    def log_probabilities(self, chain: np.ndarray) -> np.ndarray:
+        """Log probability under each language of the last character of each of a few grams."""
+        grams, inverse = np.unique(chain, return_inverse=True)
+        rows = self.levels[self.order].sparkSession.createDataFrame([(str(g),) for g in grams], "gram string")
+        logs = {r[0]: r[1:] for r in self.with_logs(rows).collect()}
+        return np.array([logs[str(g)] for g in grams])[inverse]
 
     def of_characters(self, code: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Log probability under each language of every predicted character.
-
-        Grams met before in the worker come from a table that holds their whole
-        hash; the others are looked up in the sorted arrays and kept.
-        """
-        if not hasattr(self, "_key"):
-            self._key = np.zeros(1 << CACHE_BITS, np.uint64)
-            self._logs = np.zeros((1 << CACHE_BITS, len(self.langs)), np.float32)
+        """Log probability under each language of every predicted character of a few texts."""
         at, begin = _predicted(first)
-        key = _gram_hash(code, begin, at, self.order) | K.U64(1)
-        place = (key >> K.U64(64 - CACHE_BITS)).astype(np.int64)
-        missed = np.flatnonzero(self._key[place] != key)
-        out = self._logs[place]
-        if len(missed):
-            _, pick, inverse = np.unique(key[missed], return_index=True, return_inverse=True)
-            new = missed[pick]
-            logs = self.log_probabilities(gram_chain(code, begin[new], at[new], self.order, self.bits)).astype(np.float32)
-            out[missed] = logs[inverse]
-            self._key[place[new]], self._logs[place[new]] = key[new], logs
-            # grams that share a place: the table holds whichever was written for both key and value
-            clash = self._key[place[new]] != key[new]
-            self._key[place[new][clash]] = 0
-        return out
-
-
-def _find(slots: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.minimum(np.searchsorted(slots, keys), len(slots) - 1)
-    return at, slots[at] == keys
-
-
-def train(docs: DataFrame, order: int = ORDER, bits: int = HASH_BITS, hold: int = 16) -> Model | None:
+        return self.log_probabilities(gram_chain(code, begin, at, self.order))
+
+
+def train(docs: DataFrame, order: int = ORDER, bits: int | None = None) -> Model | None:
     """Model of all rows of ``docs`` (text, lang); None if nothing can be learned.
 
-    ``hold`` is the number of languages a task counts at a time before it passes partial counts on.
+    ``bits`` is accepted for older callers and has no effect: grams are not hashed into slots.
     """
-    names = chain_names(order)
     rows = docs.where("text is not null and lang is not null").select(
         F.col("text").cast("string"), F.col("lang").cast("string")).mapInArrow(
-        _count(order, bits, hold), "lang string, " + ", ".join(f"{n} long" for n in names) + ", c long")
-    level = stored(rows.groupBy("lang", f"g{order}").agg(
-        F.sum("c").alias("c"), *(F.min(n).alias(n) for n in names[1:])), "langid-grams")
-    grams, contexts = {}, {}
-    langs = sorted(r.lang for r in level.select("lang").distinct().toLocalIterator())
+        _count(order), "lang string, gram string, c long")
+    levels = {order: stored(rows.groupBy("lang", "gram").agg(F.sum("c").alias("c")), "langid-grams")}
+    langs = sorted(r.lang for r in levels[order].select("lang").distinct().toLocalIterator())
     if not langs:
         return None
-    for n in range(order, 0, -1):
-        if n < order:  # continuation counts: different left neighbours
-            rest = [x for x in names if x not in ("lang", f"g{n}") and int(x[1:]) <= n]
-            level = level.groupBy("lang", f"g{n}").agg(
-                F.count("*").alias("c"), *(F.min(x).alias(x) for x in rest))
-        context = F.col(f"x{n}") if n > 1 else F.lit(0).cast("long")
-        grams[n] = _sorted_arrays(level.select("lang", F.col(f"g{n}").alias("slot"), "c"), langs, ["c"])
-        contexts[n] = _sorted_arrays(
-            level.groupBy("lang", context.alias("slot")).agg(F.sum("c").alias("t"), F.count("*").alias("u")),
-            langs, ["t", "u"])
-    return Model(langs, order, bits, grams, contexts)
-
-
-def _sorted_arrays(rows: DataFrame, langs: list[str], values: list[str]) -> tuple[np.ndarray, ...]:
-    """At most ``2**bits`` slots a language: the bound of what reaches the driver."""
-    names = F.array(*map(F.lit, langs))
-    got = arrays(rows.select("slot", (F.array_position(names, F.col("lang")) - 1).alias("at"), *values))
-    slots, inverse = np.unique(got["slot"], return_inverse=True)
-    out = []
-    for v in values:
-        table = np.zeros((len(slots), len(langs)), np.float32)
-        table[inverse, got["at"]] = got[v]
-        out.append(table)
-    return slots, *out
-
-
-def _score(model, text_col: str):
+    for n in range(order - 1, 0, -1):  # continuation counts: different left neighbours
+        levels[n] = stored(levels[n + 1].groupBy("lang", F.substring("gram", 2, n).alias("gram")).agg(
+            F.count("*").alias("c")), "langid-grams")
+    return Model(langs, order, levels)
+
+
+def _needed(order: int, text_col: str, group_col: str):
+    """The different grams of each group of documents: grp, gram."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
+        known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        size = 0
+
+        def settle() -> None:
+            for group, codes in held.items():
+                keys, grams, _ = _counted(codes, order)
+                if group in known:
+                    keys, grams = np.concatenate((known[group][0], keys)), np.concatenate((known[group][1], grams))
+                    keys, pick = np.unique(keys, return_index=True)
+                    grams = grams[pick]
+                known[group] = keys, grams
+            held.clear()
+
         for batch in batches:
             for part in K.chunks(batch, text_col, SLICE):
-                texts = part.column(text_col).to_pylist()
-                sums, chars = np.zeros((len(texts), len(model.value.langs))), np.zeros(len(texts), np.int64)
-                codes, owner = [], []
-                for i, text in enumerate(texts):
-                    for x in _sliced(letters(text)) if text else ():
-                        if len(x) > 1:
-                            codes.append(x)
-                            owner.append(i)
-                while codes:  # slices of about SLICE characters at a time
-                    take = max(1, int(np.searchsorted(np.cumsum(list(map(len, codes))), SLICE)))
-                    now, own = codes[:take], np.array(owner[:take])
-                    codes, owner = codes[take:], owner[take:]
-                    size = np.array(list(map(len, now)))
-                    logs = model.value.of_characters(np.concatenate(now), np.concatenate(([0], np.cumsum(size))))
-                    starts = np.cumsum(size - 1) - (size - 1)
-                    np.add.at(sums, own, np.add.reduceat(logs, starts, axis=0, dtype=np.float64))
-                    np.add.at(chars, own, size - 1)
-                mean = sums / np.maximum(chars, 1)[:, None]
-                best = mean.argmax(1)
-                gap = (mean - mean[np.arange(len(mean)), best][:, None]) * np.minimum(chars, SCORE_CHARS)[:, None]
-                score = np.where(chars > 0, 1.0 / np.exp(gap).sum(1), 0.0)
-                ce = -mean[np.arange(len(mean)), best]
-                pred = [model.value.langs[b] if n else UNKNOWN for b, n in zip(best, chars)]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(pred, pa.string()), pa.array(score), pa.array(np.where(chars > 0, ce, 0.0)),
-                     pa.array(chars)], names=[*part.schema.names, *ADDED])
+                for text, group in zip(part.column(text_col).to_pylist(), part.column(group_col).to_pylist()):
+                    for x in _pieces(text):
+                        held.setdefault(group, []).append(x)
+                        size += len(x)
+                        if size >= HOLD:
+                            settle()
+                            size = 0
+        settle()
+        for group, (_, grams) in known.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), group, np.int64)), pa.array(grams, pa.string())],
+                                             names=["grp", "gram"])
+    return run
+
+
+def _score(langs: list[str], order: int, text_col: str, group_col: str):
+    def run(docs: pa.Table, given: pa.Table) -> pa.Table:
+        keys = _string_hash(given["gram"].to_numpy(), order) if given.num_rows else np.zeros(0, np.uint64)
+        by_key = np.argsort(keys)
+        keys = keys[by_key]
+        logs = np.stack([given[f"l{i}"].to_numpy() for i in range(len(langs))], axis=1)[by_key]
+        rest = docs.drop_columns([group_col])
+        parts = [_scored(part, keys, logs) for batch in rest.to_batches() for part in K.chunks(batch, text_col, SLICE)]
+        return pa.Table.from_batches(parts or [_scored(rest.schema.empty_table().combine_chunks().to_batches()[0], keys, logs)])
+
+    def _scored(part: pa.RecordBatch, keys: np.ndarray, logs: np.ndarray) -> pa.RecordBatch:
+        texts = part.column(text_col).to_pylist()
+        sums, chars = np.zeros((len(texts), len(langs))), np.zeros(len(texts), np.int64)
+        codes, owner = [], []
+        for i, text in enumerate(texts):
+            for x in _pieces(text):
+                codes.append(x)
+                owner.append(i)
+        while codes:  # slices of about SLICE characters at a time
+            take = max(1, int(np.searchsorted(np.cumsum(list(map(len, codes))), SLICE)))
+            now, own = codes[:take], np.array(owner[:take])
+            codes, owner = codes[take:], owner[take:]
+            size = np.array(list(map(len, now)))
+            at, begin = _predicted(np.concatenate(([0], np.cumsum(size))))
+            key = _gram_hash(np.concatenate(now), begin, at, order)
+            at = np.searchsorted(keys, key)
+            if at.max() >= len(keys) or (keys[at] != key).any():
+                raise RuntimeError("a gram of a document has no probability: its group was dealt differently twice")
+            starts = np.cumsum(size - 1) - (size - 1)
+            np.add.at(sums, own, np.add.reduceat(logs[at], starts, axis=0, dtype=np.float64))
+            np.add.at(chars, own, size - 1)
+        mean = sums / np.maximum(chars, 1)[:, None]
+        best = mean.argmax(1)
+        gap = (mean - mean[np.arange(len(mean)), best][:, None]) * np.minimum(chars, SCORE_CHARS)[:, None]
+        score = np.where(chars > 0, 1.0 / np.exp(gap).sum(1), 0.0)
+        ce = -mean[np.arange(len(mean)), best]
+        pred = [langs[b] if n else UNKNOWN for b, n in zip(best, chars)]
+        return pa.RecordBatch.from_arrays(
+            [*part.columns, pa.array(pred, pa.string()), pa.array(score), pa.array(np.where(chars > 0, ce, 0.0)),
+             pa.array(chars)], names=[*part.schema.names, *ADDED])
     return run
 
 
@@ -319,10 +321,23 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataF
     if model is None:
         return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "cross_entropy": F.lit(0.0),
                                  "scored_chars": F.lit(0).cast("long")})
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    spark = docs.sparkSession
     schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType()),
                          StructField("cross_entropy", DoubleType()), StructField("scored_chars", LongType())])
-    return docs.mapInArrow(_score(shared, text_col), schema)
+    group = "langid_group"
+    while group in (c.lower() for c in docs.columns):
+        group += "_"
+    text = F.col(f"`{text_col}`")
+    chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
+    groups = max(chars // GROUP_CHARS + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, (ArrayType, MapType, StructType))]
+    # both uses below share one exchange of the documents
+    dealt = docs.withColumn(group, F.pmod(F.xxhash64(*plain), F.lit(groups))).repartition(group)
+    needed = dealt.mapInArrow(_needed(model.order, text_col, group), "grp long, gram string")
+    given = model.with_logs(needed.groupBy("gram").agg(F.collect_list("grp").alias("grps"))).select(
+        F.explode("grps").alias("grp"), "gram", *(F.col(f"l{i}").cast("float") for i in range(len(model.langs))))
+    return dealt.groupBy(group).cogroup(given.groupBy("grp")).applyInArrow(
+        _score(model.langs, model.order, text_col, group), schema)
 
 
 def limits(scored: DataFrame) -> dict[str, float]:

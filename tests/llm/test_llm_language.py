@@ -88,3 +88,39 @@ def test_long_text_is_scored_whole(spark):
     rows = [(1, "alpha beta gamma " * 60000, "xx"), (3, "omega psi chi " * 50, "yy"), (4, "alpha beta", "xx")]
     got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert got[1].scored_chars >= 60000 * 17 - 10 and got[1].lang_pred == "xx" and got[3].lang_pred == "yy"
+
+
+def test_more_grams_than_slots(spark):
+    """Far more than 2**20 different grams keep exact counts and their own contexts."""
+    from collections import Counter
+    import numpy as np
+    order, size = 4, 1 << 21
+    rng = np.random.default_rng(5)
+    texts = ["".join(map(chr, rng.integers(0x4e00, 0x9000, size // 64))) for _ in range(64)]
+    docs = spark.createDataFrame([(t, "xx") for t in texts], "text string, lang string").repartition(4)
+    model = langid.train(docs, order=order)
+    levels = {order: Counter()}
+    for t in texts:
+        padded = " " * order + t + " "
+        levels[order].update(padded[i:i + order] for i in range(1, len(padded) - order + 1))
+    assert len(levels[order]) > 1.9 * 2 ** 20
+    for n in range(order - 1, 0, -1):
+        levels[n] = Counter(g[1:] for g in levels[n + 1])
+    totals, kinds = {}, {}
+    for n in levels:
+        totals[n], kinds[n] = Counter(), Counter(g[:-1] for g in levels[n])
+        for g, c in levels[n].items():
+            totals[n][g[:-1]] += c
+
+    def p(gram):
+        n, context = len(gram), gram[:-1]
+        lower = 1 / langid.CHARACTERS if n == 1 else p(gram[1:])
+        if not totals[n][context]:
+            return lower
+        return (max(levels[n][gram] - langid.DISCOUNT, 0) + langid.DISCOUNT * kinds[n][context] * lower) / totals[n][context]
+
+    code = langid.letters(texts[0][:100] + "zz")
+    got = model.of_characters(code, np.array([0, len(code)]))[:, 0]
+    padded = " " * order + "".join(map(chr, code[1:]))
+    expected = [np.log(p(padded[i:i + order])) for i in range(1, len(code))]
+    assert len(got) == len(expected) and np.allclose(got, expected, atol=1e-5)
