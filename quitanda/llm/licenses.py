@@ -1,12 +1,12 @@
 """Operator 8: license scans by sparse TF-IDF cosine, then inheritance from the nearest ancestor directory.
 
 Method: lines, and blocks of up to ``BLOCK`` neighbouring lines, are compared
-with licence templates as sparse TF-IDF vectors.  Document frequencies of the
-templates' words are counted over all files; a word outside the templates only
-lengthens a block's vector and weighs as a word never seen.  A block whose
-cosine reaches ``COSINE`` names the file's licence: the template of the highest
-cosine, the first in ``TEMPLATES`` on a tie.  A block's words bound its
-cosine from above, so most blocks aren't scored.
+with licence templates as sparse TF-IDF vectors.  Document frequencies of all
+words are counted over all files by a group-by; comment marks are no words.  A
+block whose cosine reaches ``COSINE`` names the file's licence: the template of
+the highest cosine, the first in ``TEMPLATES`` on a tie.  A first pass keeps the
+blocks that would reach it if every other word weighed the least a word can;
+only the words of those are joined with their frequencies.
 
 A file of which licence blocks make up ``SHARE`` of the words, or whose name is a
 licence file's, states the licence of its directory; a directory with several
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quitanda.llm import kernel as K
-from quitanda.llm.common import arrays, stored
+from quitanda.llm.common import stored
 
 COSINE = 0.6
 BLOCK = 3
@@ -60,7 +60,9 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash of every word, first of each text + total, start of every word); lower case, without marks."""
     data, offsets = K.text_buffers(texts)
     flat = data.copy()
-    flat[np.isin(flat, np.frombuffer(b",;:\"'()[]", np.uint8))] = 32
+    flat[np.isin(flat, np.frombuffer(b",;:\"'()[]#*/<>!%", np.uint8))] = 32
+    edge = np.concatenate(([True], K._IS_SEP[flat] | (flat == 45), [True]))  # dashes count only between letters
+    flat[(flat == 45) & (edge[:-2] | edge[2:])] = 32
     starts, ends, first = K.word_bounds(flat, offsets)
     ends = np.where((ends - starts > 1) & (flat[ends - 1] == 46) if len(ends) else np.zeros(0, bool), ends - 1, ends)
     return K._hash_spans(flat, starts, ends, K._BYTE_LOWER), first, starts
@@ -78,8 +80,8 @@ class Templates:
             np.add.at(self.counts[i], np.searchsorted(self.vocabulary, words[first[i]:first[i + 1]]), 1)
 
     def weigh(self, document_counts: np.ndarray, documents: int) -> None:
+        self.documents = documents
         self.idf = np.log((documents + 1) / (document_counts + 1)) + 1
-        self.unseen = np.log(documents + 1) + 1
         vectors = self.counts * self.idf
         self.vectors = vectors / np.linalg.norm(vectors, axis=1)[:, None]
 
@@ -88,74 +90,103 @@ class Templates:
         at = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
         return np.where(self.vocabulary[at] == words, at, -1)
 
-    def cosines(self, words: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """Cosine of one block with every template."""
-        known = places[places >= 0]
-        tf = np.bincount(known, minlength=len(self.vocabulary)) * self.idf
-        _, others = np.unique(words[places < 0], return_counts=True)
-        norm = np.sqrt((tf ** 2).sum() + ((others * self.unseen) ** 2).sum())
-        return self.vectors @ tf / norm
+    def cosines(self, places: np.ndarray, others: float) -> np.ndarray:
+        """Cosine of one block with every template; ``others``: squared length by the words outside the vocabulary."""
+        tf = np.bincount(places[places >= 0], minlength=len(self.vocabulary)) * self.idf
+        return self.vectors @ tf / np.sqrt((tf ** 2).sum() + others)
 
 
-def _frequencies(templates: Templates):
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial document frequencies: word, n; the null word counts the rows."""
+    for batch in batches:
+        for part in K.chunks(batch, "text"):
+            words, first, _ = tokens(part.column("text"))
+            owner = np.repeat(np.arange(part.num_rows, dtype=np.uint64), np.diff(first))
+            _, pick = np.unique(K.mix64(words + K.mix64(owner)), return_index=True)
+            words, n = np.unique(words[pick], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([*K.signed(words).tolist(), None], pa.int64()),
+                                              pa.array(np.append(n, part.num_rows), pa.int64())], names=["word", "n"])
+
+
+def _blocks(t: Templates, owner: np.ndarray, line: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(first word, word after the last) of the blocks to compare; none crosses the end of a text."""
+    n = len(owner)
+    starts = np.append(np.flatnonzero(np.append(True, (np.diff(line) != 0) | (np.diff(owner) != 0))), n)
+    for size in range(1, min(BLOCK, len(starts) - 1) + 1):
+        a, b = starts[:-size], starts[size:]
+        inside = owner[a] == owner[b - 1]
+        yield a[inside], b[inside]
+
+
+def _candidates(templates, keep: list[str]):
+    """Each file with the words of the blocks that may match, and the blocks' bounds among them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, rows = np.zeros(len(templates.vocabulary), np.int64), 0
+        t = templates.value
         for batch in batches:
             for part in K.chunks(batch, "text"):
-                words, first, _ = tokens(part.column("text"))
-                place = templates.find(words)
-                owner = np.repeat(np.arange(part.num_rows), np.diff(first))
-                pairs = np.unique(owner[place >= 0] * len(total) + place[place >= 0])
-                total += np.bincount(pairs % len(total), minlength=len(total))
-                rows += part.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(total))), pa.array(np.concatenate(([rows], total)))],
-                                         names=["place", "n"])
+                text = part.column("text")
+                words, first, starts = tokens(text)
+                found: list[tuple | None] = [None] * part.num_rows
+                if len(words):
+                    place = t.find(words)
+                    known = place >= 0
+                    data, _ = K.text_buffers(text)
+                    line = np.searchsorted(np.flatnonzero(data == 10), starts)  # line feeds before each word
+                    owner = np.repeat(np.arange(part.num_rows), np.diff(first))
+                    # at most this much of a cosine's numerator, at least this much of its squared length
+                    up = np.concatenate(([0.0], np.cumsum(np.where(known, (t.vectors.max(0) * t.idf)[place], 0.0))))
+                    down = np.concatenate(([0.0], np.cumsum(np.where(known, t.idf[place] ** 2, 1.0))))
+                    count = np.concatenate(([0], np.cumsum(known)))
+                    spans: dict[int, list[tuple[int, int]]] = {}
+                    for a, b in _blocks(t, owner, line):
+                        may = (count[b] - count[a] >= 2) & (
+                            up[b] - up[a] >= (COSINE - 1e-6) * np.sqrt(np.maximum(down[b] - down[a], 0)))
+                        for x, y in zip(a[may].tolist(), b[may].tolist()):
+                            other = int(y - x - (count[y] - count[x]))
+                            if t.cosines(place[x:y], other).max() >= COSINE - 1e-9:
+                                spans.setdefault(int(owner[x]), []).append((x, y))
+                    for d, pairs in spans.items():
+                        held = np.zeros(first[d + 1] - first[d], bool)
+                        for x, y in pairs:
+                            held[x - first[d]:y - first[d]] = True
+                        at = np.concatenate(([0], np.cumsum(held)))
+                        found[d] = (K.signed(words[first[d]:first[d + 1]][held]).tolist(),
+                                    [int(at[x - first[d]]) for x, _ in pairs], [int(at[y - first[d]]) for _, y in pairs])
+                lists = [pa.array([f and f[i] for f in found], pa.list_(pa.int64())) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *lists, pa.array(np.diff(first), pa.int64())],
+                                                 names=[*keep, "words", "a", "b", "total"])
     return run
 
 
-def _own(templates, keep: list[str]):
+def _named(templates, keep: list[str]):
+    """License, cosine and share of files with candidates, from their words' frequencies."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = templates.value
         for batch in batches:
-            for part in K.chunks(batch, "text"):
-                text = part.column("text")
-                words, first, starts = tokens(text)
-                place = t.find(words)
-                data, offsets = K.text_buffers(text)
-                # line of each word: line feeds before it
-                line = np.searchsorted(np.flatnonzero(data == 10), starts)
-                names, cosines, shares = [None] * part.num_rows, np.zeros(part.num_rows), np.zeros(part.num_rows)
-                hits = np.flatnonzero(place >= 0)
-                for d in np.unique(np.searchsorted(first, hits, "right") - 1):
-                    a, b = first[d], first[d + 1]
-                    names[d], cosines[d], shares[d] = _best(t, words[a:b], place[a:b], line[a:b])
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in keep), pa.array(names, pa.string()), pa.array(cosines), pa.array(shares)],
-                    names=[*keep, "license", "cosine", "share"])
+            best = [_best(t, *row) for row in zip(*(batch.column(c).to_pylist() for c in ("words", "a", "b", "total", "freq")))]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in keep), pa.array([x[0] for x in best], pa.string()),
+                 pa.array([x[1] for x in best], pa.float64()), pa.array([x[2] for x in best], pa.float64())],
+                names=[*keep, "license", "cosine", "share"])
     return run
 
 
-def _best(t: Templates, words: np.ndarray, place: np.ndarray, line: np.ndarray) -> tuple[str | None, float, float]:
+def _best(t: Templates, words: list, begins: list, ends: list, total: int, freq: list) -> tuple[str | None, float, float]:
     """(licence, cosine, percent of the words inside matching blocks) of one text."""
+    weight = {x["word"]: float(np.log((t.documents + 1) / (x["n"] + 1)) + 1) for x in freq}
+    words = np.array(words, np.int64)
+    place = t.find(words.view(np.uint64))
     best, name, inside = 0.0, None, np.zeros(len(words), bool)
-    known = place >= 0
-    first = np.append(np.flatnonzero(np.diff(line, prepend=-1)), len(words))  # of each line with a word
-    weight = np.concatenate(([0.0], np.cumsum(np.where(known, t.idf[place], 0.0))))
-    count = np.concatenate(([0], np.cumsum(known)))
-    for size in range(1, min(BLOCK, len(first) - 1) + 1):
-        a, b = first[:-size], first[size:]
-        dot = (weight[b] - weight[a]) ** 2
-        hits = count[b] - count[a]
-        # the cosine is at most that of the block with its own known words
-        most = dot / np.maximum(dot + (b - a - hits) * t.unseen ** 2, 1e-300)
-        for i in np.flatnonzero((hits >= 2) & (most >= (COSINE - 1e-9) ** 2)):
-            cosines = t.cosines(words[a[i]:b[i]], place[a[i]:b[i]])
-            k = int(cosines.argmax())
-            if cosines[k] >= COSINE - 1e-12:
-                inside[a[i]:b[i]] = True
-                if cosines[k] > best + 1e-12:
-                    best, name = float(cosines[k]), t.names[k]
-    return name, best, 100.0 * inside.mean()
+    for x, y in zip(begins, ends):
+        others, n = np.unique(words[x:y][place[x:y] < 0], return_counts=True)
+        length = float(((n * np.array([weight[w] for w in others.tolist()])) ** 2).sum())
+        cosines = t.cosines(place[x:y], length)
+        k = int(cosines.argmax())
+        if cosines[k] >= COSINE - 1e-12:
+            inside[x:y] = True
+            if cosines[k] > best + 1e-12:
+                best, name = float(cosines[k]), t.names[k]
+    return name, best, 100.0 * inside.sum() / total
 
 
 def _directory(path: Column) -> Column:
@@ -166,14 +197,24 @@ def _directory(path: Column) -> Column:
 def own_licenses(files: DataFrame, templates=TEMPLATES) -> DataFrame:
     """``files`` (key, path, text) -> key, path, license, cosine, share (percent of the words)."""
     t = Templates(templates)
-    counts = arrays(files.select("text").mapInArrow(_frequencies(t), "place long, n long").groupBy("place").agg(
-        F.sum("n").alias("n")))  # one row per template word
-    table = dict(zip(counts["place"], counts["n"]))
-    t.weigh(np.array([table.get(i, 0) for i in range(len(t.vocabulary))], np.float64), int(table.get(-1, 0)))
+    words = stored(files.select("text").mapInArrow(_frequencies, "word long, n long").groupBy("word").agg(
+        F.sum("n").alias("n")), "licenses-words")
+    own = K.signed(t.vocabulary).tolist()
+    counts = {r.word: r.n for r in words.where(F.col("word").isNull() | F.col("word").isin(own)).collect()}  # the templates' words
+    t.weigh(np.array([counts.get(w, 0) for w in own], np.float64), int(counts.get(None, 0)))
     shared = files.sparkSession.sparkContext.broadcast(t)
     kind = files.schema["key"].dataType.simpleString()
-    return files.mapInArrow(_own(shared, ["key", "path"]),
-                            f"key {kind}, path string, license string, cosine double, share double")
+    found = stored(files.mapInArrow(
+        _candidates(shared, ["key", "path"]),
+        f"key {kind}, path string, words array<long>, a array<long>, b array<long>, total long").withColumn(
+        "uid", F.monotonically_increasing_id()), "licenses-blocks")
+    some = found.where("words is not null")
+    freq = some.select("uid", F.explode(F.array_distinct("words")).alias("word")).join(words, "word").groupBy("uid").agg(
+        F.collect_list(F.struct("word", "n")).alias("freq"))
+    named = some.join(freq, "uid").select("key", "path", "words", "a", "b", "total", "freq").mapInArrow(
+        _named(shared, ["key", "path"]), f"key {kind}, path string, license string, cosine double, share double")
+    return named.unionByName(found.where("words is null").select(
+        "key", "path", F.lit(None).cast("string").alias("license"), F.lit(0.0).alias("cosine"), F.lit(0.0).alias("share")))
 
 
 def scan(docs: DataFrame, path: Column, id_col: str = "doc_id", text_col: str = "text",

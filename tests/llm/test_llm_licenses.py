@@ -59,3 +59,15 @@ def test_awkward_rows(spark, awkward, clashing, empty_docs):
     assert len(rows) == awkward.count() and {r.origin for r in rows} == {"none"}
     assert len(licenses.scan(clashing, path).collect()) == len(rows)
     assert licenses.scan(empty_docs, path).collect() == []
+
+
+def test_same_licence_in_a_larger_corpus(spark):
+    """A header's licence does not depend on the number of documents."""
+    rows = [(0, None, "Project Foo is released under the MIT License."), (1, None, "// " + APACHE[2:]), (2, None, APACHE)]
+    rows += [(i, None, f"a project is number {i % 7} and foo of it") for i in range(3, 40)]
+    small = spark.createDataFrame(rows, SCHEMA)
+    large = small.crossJoin(spark.range(1000).select(F.col("id").alias("copy"))).drop("copy")
+    want = {0: "MIT", 1: "Apache-2.0", 2: "Apache-2.0"}
+    for docs in (small, large):
+        found = licenses.scan(docs, F.col("path")).where("doc_id < 3").select("doc_id", "license").distinct().collect()
+        assert {r.doc_id: r.license for r in found} == want and len(found) == 3
