@@ -1,6 +1,7 @@
 """Operator 8: license scans by sparse TF-IDF cosine, then inheritance from the nearest ancestor directory.
 
-Method: lines, and blocks of up to ``BLOCK`` neighbouring lines, are compared
+Method: lines, blocks of up to ``BLOCK`` neighbouring lines, and the windows of each
+template's length that begin and end with a template word are compared
 with licence templates as sparse TF-IDF vectors.  Document frequencies of all
 words are counted over all files by a group-by; comment marks are no words.  A
 block whose cosine reaches ``COSINE`` names the file's licence: the template of
@@ -75,6 +76,7 @@ class Templates:
         self.names = [name for name, _ in templates]
         words, first, _ = tokens(pa.array([text for _, text in templates]))
         self.vocabulary = np.unique(words)
+        self.lengths = np.unique(np.diff(first)).tolist()
         self.counts = np.zeros((len(templates), len(self.vocabulary)))
         for i in range(len(templates)):
             np.add.at(self.counts[i], np.searchsorted(self.vocabulary, words[first[i]:first[i + 1]]), 1)
@@ -108,7 +110,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array(np.append(n, part.num_rows), pa.int64())], names=["word", "n"])
 
 
-def _blocks(t: Templates, owner: np.ndarray, line: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _blocks(t: Templates, owner: np.ndarray, line: np.ndarray, known: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(first word, word after the last) of the blocks to compare; none crosses the end of a text."""
     n = len(owner)
     starts = np.append(np.flatnonzero(np.append(True, (np.diff(line) != 0) | (np.diff(owner) != 0))), n)
@@ -116,6 +118,11 @@ def _blocks(t: Templates, owner: np.ndarray, line: np.ndarray) -> Iterator[tuple
         a, b = starts[:-size], starts[size:]
         inside = owner[a] == owner[b - 1]
         yield a[inside], b[inside]
+    for size in t.lengths:  # from a template word to another, whatever the line breaks
+        if size <= n:
+            a = np.flatnonzero(known[:n - size + 1] & known[size - 1:])
+            a = a[owner[a] == owner[a + size - 1]]
+            yield a, a + size
 
 
 def _candidates(templates, keep: list[str]):
@@ -138,7 +145,7 @@ def _candidates(templates, keep: list[str]):
                     down = np.concatenate(([0.0], np.cumsum(np.where(known, t.idf[place] ** 2, 1.0))))
                     count = np.concatenate(([0], np.cumsum(known)))
                     spans: dict[int, list[tuple[int, int]]] = {}
-                    for a, b in _blocks(t, owner, line):
+                    for a, b in _blocks(t, owner, line, known):
                         may = (count[b] - count[a] >= 2) & (
                             up[b] - up[a] >= (COSINE - 1e-6) * np.sqrt(np.maximum(down[b] - down[a], 0)))
                         for x, y in zip(a[may].tolist(), b[may].tolist()):

@@ -71,3 +71,10 @@ def test_same_licence_in_a_larger_corpus(spark):
     for docs in (small, large):
         found = licenses.scan(docs, F.col("path")).where("doc_id < 3").select("doc_id", "license").distinct().collect()
         assert {r.doc_id: r.license for r in found} == want and len(found) == 3
+
+
+def test_notice_inside_a_long_line(spark):
+    prose = "The library parses configuration files quickly and safely on every platform we tried."
+    text = f"{prose} Released under the MIT License. {prose}"
+    got = scan(spark.createDataFrame([(1, None, text), (2, None, prose), (3, None, f"{prose} {APACHE[2:]} {prose}")], SCHEMA))
+    assert [got[i, None][0] for i in (1, 2, 3)] == ["MIT", None, "Apache-2.0"]
