@@ -5,7 +5,9 @@ template's length that begin and end with a template word are compared
 with licence templates as sparse TF-IDF vectors.  Document frequencies of all
 words are counted over all files by a group-by; comment marks are no words.  A
 block whose cosine reaches ``COSINE`` names the file's licence: the template of
-the highest cosine, the first in ``TEMPLATES`` on a tie.  A first pass keeps the
+the highest cosine, the first in ``TEMPLATES`` on a tie, of those whose version stands
+in the block and whose distinguishing words (lesser, affero, nc, sa, nd) are the
+block's.  A first pass keeps the
 blocks that would reach it if every other word weighed the least a word can;
 only the words of those are joined with their frequencies.
 
@@ -51,11 +53,47 @@ TEMPLATES = (
                 "General Public License as published by the Free Software Foundation, either version 3 of the License"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                "General Public License as published by the Free Software Foundation; either version 2 of the License"),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License"),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Affero General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+                "this work."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
                      "provided that the following conditions are met"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 
+#: Words that tell the licences of a family apart, and what they say; a block and its template must say the same.
+FAMILIES = (
+    (("gnu",), {"lesser": ("lesser",), "affero": ("affero",)}),
+    (("cc", "creative"), {
+        **{prefix + "-".join(long[x] for x in parts): parts
+           for prefix, long in (("by-", dict(nc="nc", sa="sa", nd="nd")), ("", dict(nc="nc", sa="sa", nd="nd")),
+                                ("attribution-", dict(nc="noncommercial", sa="sharealike", nd="noderivatives")),
+                                ("", dict(nc="noncommercial", sa="sharealike", nd="noderivatives")))
+           for parts in (("nc",), ("sa",), ("nd",), ("nc", "sa"), ("nc", "nd"))},
+        "noderivs": ("nd",), "attribution-noderivs": ("nd",), "attribution-noncommercial-noderivs": ("nc", "nd")}),
+)
+#: Version numbers as they are written; a template's must stand in the block.
+VERSIONS = {form: f"{n}.{m}" for n in range(1, 5) for m in range(6)
+            for form in ([f"{n}.{m}", f"v{n}.{m}"] + ([str(n), f"v{n}"] if m == 0 else []))}
+#: Words on each side of a block that are read for such words too.
+AROUND = 3
+
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash of every word, first of each text + total, start of every word); lower case, without marks."""
@@ -76,6 +114,18 @@ class Templates:
         self.names = [name for name, _ in templates]
         words, first, _ = tokens(pa.array([text for _, text in templates]))
         self.vocabulary = np.unique(words)
+        def hashed(table: dict) -> dict:
+            keys = list(table)
+            return dict(zip(K.signed(tokens(pa.array(keys))[0]).tolist(), (table[k] for k in keys)))
+
+        self.versions = hashed(VERSIONS)
+        families = [(set(hashed(dict.fromkeys(signs))), hashed(marks)) for signs, marks in FAMILIES]
+        self.demands = []  # of each template: its versions, its family's words, what they say
+        for i in range(len(templates)):
+            own = K.signed(words[first[i]:first[i + 1]]).tolist()
+            marks = next((m for signs, m in families if signs & set(own)), {})
+            self.demands.append(({self.versions[w] for w in own if w in self.versions}, marks,
+                                 {x for w in own if w in marks for x in marks[w]}))
         self.lengths = np.unique(np.diff(first)).tolist()
         self.counts = np.zeros((len(templates), len(self.vocabulary)))
         for i in range(len(templates)):
@@ -92,6 +142,12 @@ class Templates:
         at = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
         return np.where(self.vocabulary[at] == words, at, -1)
 
+    def agree(self, block: list[int], around: list[int]) -> np.ndarray:
+        """Whether the words of a block and those around it tell the same licence of a family as each template."""
+        versions = {self.versions[w] for w in block if w in self.versions}
+        return np.array([need <= versions and says == {x for w in around if w in marks for x in marks[w]}
+                         for need, marks, says in self.demands])
+
     def cosines(self, places: np.ndarray, others: float) -> np.ndarray:
         """Cosine of one block with every template; ``others``: squared length by the words outside the vocabulary."""
         tf = np.bincount(places[places >= 0], minlength=len(self.vocabulary)) * self.idf
@@ -155,7 +211,7 @@ def _candidates(templates, keep: list[str]):
                     for d, pairs in spans.items():
                         held = np.zeros(first[d + 1] - first[d], bool)
                         for x, y in pairs:
-                            held[x - first[d]:y - first[d]] = True
+                            held[max(0, x - first[d] - AROUND):y - first[d] + AROUND] = True
                         at = np.concatenate(([0], np.cumsum(held)))
                         found[d] = (K.signed(words[first[d]:first[d + 1]][held]).tolist(),
                                     [int(at[x - first[d]]) for x, _ in pairs], [int(at[y - first[d]]) for _, y in pairs])
@@ -187,7 +243,8 @@ def _best(t: Templates, words: list, begins: list, ends: list, total: int, freq:
     for x, y in zip(begins, ends):
         others, n = np.unique(words[x:y][place[x:y] < 0], return_counts=True)
         length = float(((n * np.array([weight[w] for w in others.tolist()])) ** 2).sum())
-        cosines = t.cosines(place[x:y], length)
+        cosines = np.where(t.agree(words[x:y].tolist(), words[max(0, x - AROUND):y + AROUND].tolist()),
+                           t.cosines(place[x:y], length), 0.0)
         k = int(cosines.argmax())
         if cosines[k] >= COSINE - 1e-12:
             inside[x:y] = True

@@ -78,3 +78,23 @@ def test_notice_inside_a_long_line(spark):
     text = f"{prose} Released under the MIT License. {prose}"
     got = scan(spark.createDataFrame([(1, None, text), (2, None, prose), (3, None, f"{prose} {APACHE[2:]} {prose}")], SCHEMA))
     assert [got[i, None][0] for i in (1, 2, 3)] == ["MIT", None, "Apache-2.0"]
+
+
+def test_confusable_licences(spark):
+    gnu = ("This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License "
+           "as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version.")
+    cc = "This work is licensed under a Creative Commons Attribution{} {} International License."
+    cases = [
+        (gnu.format("program", "", "2"), "GPL-2.0"), (gnu.format("program", "", "3"), "GPL-3.0"),
+        (gnu.format("library", "Lesser ", "2.1"), "LGPL-2.1"), (gnu.format("program", "Affero ", "3"), "AGPL-3.0"),
+        ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"),
+        (cc.format("-ShareAlike", "4.0"), "CC-BY-SA-4.0"), (cc.format("", "4.0"), "CC-BY-4.0"), (cc.format("", "3.0"), None),
+        (cc.format("-NonCommercial-NoDerivatives", "4.0"), None), (cc.format("-NonCommercial", "4.0"), "CC-BY-NC-4.0"),
+        ("Licensed under CC BY 4.0.", "CC-BY-4.0"), ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+        ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"), ("Licensed under CC BY-NC-ND 4.0.", None),
+        ("Licensed under the Apache License, Version 1.1.", None)]
+    rows = [(i, None, text) for i, (text, _) in enumerate(cases)]
+    rows += [(100 + i, None, f"other words of no licence {i}") for i in range(50)]
+    got = scan(spark.createDataFrame(rows, SCHEMA))
+    assert [(text, got[i, None][0]) for i, (text, _) in enumerate(cases)] == cases
