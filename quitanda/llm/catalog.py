@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quitanda.llm import chat, decontam, langid, licenses, line_dedup, mixing, neardup, quality, secrets, tokenbin
+from quitanda.llm import (centroids, chat, decontam, hardneg, langid, licenses, line_dedup, mixing, neardup, quality, secrets,
+                          simhash, tokenbin)
 from quitanda.llm.common import table, workers_find_package
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +90,21 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_ids")
 def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.tokenized(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op11_simhash")
+def simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op12_hard_negatives", hardneg.ORACLE)
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.expr("case when vec_id % 7 = 0 then (label + 1) % 10 else label end"))
+    return hardneg.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+@query("op13_centroids", centroids.oracle())
+def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).drop("centroid")
