@@ -9,7 +9,8 @@ way for every size:
    key of a third of all rows spans many slices, most keys lie in one;
 2. rows are numbered inside each (key, slice);
 3. the rows of each (key, slice) are counted, and the counts of a key's earlier
-   slices are added to the numbers.
+   slices are added to the numbers.  Only a slice's first key can have begun in an
+   earlier slice, so there are no more of these offsets than slices.
 
 Both 2 and 3 read the written rows, so they see the same slices however often a
 lost task is run again.  The write is a job that runs when the function is
@@ -44,9 +45,9 @@ def number_within(df: DataFrame, key: str, order_cols: list[str], out_col: str,
     inside = Window.partitionBy(key, "_slice").orderBy(*order)
     earlier = Window.partitionBy("_key").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy(F.col(key).alias("_key"), F.col("_slice").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.select("_key", "_of", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    before = counts.select("_key", "_of", F.sum("_n").over(earlier).alias("_before")).where("_before > 0")
     numbered = rows.withColumn("_inside", F.row_number().over(inside))
     same_slice = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_of"))
-    return (numbered.join(before, same_slice)
-            .withColumn(out_col, (F.col("_inside") + F.col("_before")).cast("bigint"))
+    return (numbered.join(before, same_slice, "left")
+            .withColumn(out_col, (F.col("_inside") + F.coalesce("_before", F.lit(0))).cast("bigint"))
             .select(*df.columns, out_col))

@@ -1,23 +1,27 @@
 """Materialise models: views stay lazy, tables are written as Parquet.
 
 Tables go to a folder or, with a database, into the catalog (external tables
-below that folder).  Month-partitioned tables are rebalanced on yyyymm before
-the write: adaptive execution cuts a hot month into several tasks and merges
-small ones, by measured bytes.  Rows are sorted within each file by the model's
-sort key, so Parquet row-group min/max statistics prune scans that filter on
-it.  In a catalog the order-grain roll-ups are bucketed on their key, so their
-joins need no shuffle of them.
+below that folder).  A rebuild writes beside the old table and is switched in when
+it is whole, so a failed write leaves the old table readable.  Rows are
+range-partitioned on (month and) the model's sort key and sorted, so every file
+covers one stretch of the key: a hot month spans several files, small months
+share a task.  ``write_bounds`` keeps each file's first and last key beside the
+files; ``read_range`` opens only the files whose stretch meets the wanted one.
+In a catalog the order-grain roll-ups are bucketed on their key, so their joins
+need no shuffle of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quitanda.functions import month_key
 from quitanda.plans.models import ModelSpec
-from quitanda.sources.files import list_files
+from quitanda.sources.files import delete_folder, list_files, replace_folder
 
 PREFIX_FOLDERS = ("bronze", "silver", "gold")
 MONTH_COLUMN = "yyyymm"
@@ -53,11 +57,11 @@ def write_table(df: DataFrame, path: str, sort_by: tuple[str, ...] | list[str] =
     ``replace_months_only`` only the months present in ``df`` are rewritten.
     ``bucket_by`` needs ``table``; there are as many buckets as shuffle partitions.
     """
-    sort_cols = list(sort_by)
     if month_of:
-        df = with_month_key(df, month_of).hint("rebalance", MONTH_COLUMN).sortWithinPartitions(MONTH_COLUMN, *sort_cols)
-    elif sort_cols and not (table and bucket_by):
-        df = df.sortWithinPartitions(*sort_cols)
+        df = with_month_key(df, month_of)
+    ranged = ([MONTH_COLUMN] if month_of else []) + list(sort_by)
+    if ranged and not (table and bucket_by):
+        df = df.repartitionByRange(*ranged).sortWithinPartitions(*ranged)
     w = df.write.mode(mode)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
@@ -74,6 +78,31 @@ def write_table(df: DataFrame, path: str, sort_by: tuple[str, ...] | list[str] =
     w.format("parquet").option("path", path).saveAsTable(table)
 
 
+def write_bounds(spark: SparkSession, path: str, column: str) -> None:
+    """Keep the least and greatest ``column`` of each file of a written table in ``path/_bounds``.
+
+    One pass over that column; a file whose rows are all NULL there has NULL bounds.
+    """
+    files = spark.read.parquet(path).select(F.input_file_name().alias("file"), F.col(column).alias("k"))
+    bounds = files.groupBy("file").agg(F.min("k").alias("least"), F.max("k").alias("most"))
+    replace_folder(spark, f"{path.rstrip('/')}/_bounds", bounds.repartition(1).write.parquet)
+
+
+def files_in_range(spark: SparkSession, path: str, least: Column, most: Column) -> list[str]:
+    """The files of a table with bounds that can hold keys from ``least`` to ``most``."""
+    bounds = spark.read.parquet(f"{path.rstrip('/')}/_bounds")
+    return [r.file for r in bounds.where((F.col("least") <= most) & (F.col("most") >= least)).select("file").collect()]
+
+
+def read_range(spark: SparkSession, path: str, column: str, least, most) -> DataFrame:
+    """Rows of a table with bounds whose ``column`` lies from ``least`` to ``most``; other files stay closed."""
+    files = files_in_range(spark, path, F.lit(least), F.lit(most))
+    schema = spark.read.parquet(path).schema
+    if not files:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*files).where(F.col(column).between(least, most))
+
+
 def read_table(spark: SparkSession, path: str, spec: ModelSpec | None = None,
                schema: T.StructType | None = None) -> DataFrame:
     """Read a written table back; with ``schema`` an empty table reads as empty."""
@@ -100,12 +129,40 @@ def materialize(spark: SparkSession, spec: ModelSpec, df: DataFrame, base_path:
         df.createOrReplaceTempView(name)
         return df
     path = model_path(base_path, spec.name, folder)
-    table = f"{database}.{name}" if database else None
-    write_table(df, path, spec.sort_by, spec.partition_month_of, MODEL_ROWS_PER_FILE, table=table,
-                bucket_by=spec.bucket_by)
+    if database:
+        _switch_table(spark, spec, df, path, f"{database}.{name}")
+    else:
+        def write(to: str) -> None:
+            write_table(df, to, spec.sort_by, spec.partition_month_of, MODEL_ROWS_PER_FILE)
+        replace_folder(spark, path, write)
+        spark.catalog.refreshByPath(path)
     return existing(spark, spec, base_path, folder, database, df.schema)
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").select("data_type").collect()
+    return rows[0][0]
+
+
+def _switch_table(spark: SparkSession, spec: ModelSpec, df: DataFrame, path: str, table: str) -> None:
+    """Write the new rows as a table of their own folder, then give it the old one's name."""
+    mark = uuid.uuid4().hex[:12]
+    new, folder = f"{table}_new_{mark}", f"{path}-{mark}"
+    try:
+        write_table(df, folder, spec.sort_by, spec.partition_month_of, MODEL_ROWS_PER_FILE, table=new,
+                    bucket_by=spec.bucket_by)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        delete_folder(spark, folder)
+        raise
+    had = _location(spark, table) if spark.catalog.tableExists(table) else None
+    if had:
+        spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    if had:
+        delete_folder(spark, had)
+
+
 def existing(spark: SparkSession, spec: ModelSpec, base_path: str, folder: str | None = None,
              database: str | None = None, schema: T.StructType | None = None) -> DataFrame | None:
     """The written table of a model, None if there is none."""

@@ -107,6 +107,10 @@ MODELS: dict[str, ModelSpec] = {s.name: s for s in [
           inline=(analytics.dashboard_from_items, ("stg_order_items", "fct_orders", "dim_products", "dim_sellers"))),
 ]}
 
+#: Raw columns that cost a pass of their own to derive, and the models whose rows hold them; any other
+#: model is built on the raw table without the column.
+DERIVED_BY = {"raw.order_items": ("stg_order_items", "fct_order_items", "mart_dashboard_sales_detail")}
+
 LAYERS = ["staging", "intermediate", "core", "analytics"]
 
 
@@ -126,12 +130,15 @@ class Warehouse:
     spark: SparkSession
     raw: dict[str, Callable[[], DataFrame]]
     overrides: dict[str, DataFrame] = field(default_factory=dict)
-    _memo: dict[str, DataFrame] = field(default_factory=dict)
+    #: Raw tables without the columns of ``DERIVED_BY``, where these are derived on reading.
+    raw_without: dict[str, Callable[[], DataFrame]] = field(default_factory=dict)
+    _memo: dict[tuple[str, bool], DataFrame] = field(default_factory=dict)
 
     @classmethod
     def from_star(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
-        from quitanda.sources.star import RAW_BUILDERS
-        return cls(spark, {name: (lambda b=b: b(spark, sf_dir)) for name, b in RAW_BUILDERS.items()})
+        from quitanda.sources.star import RAW_BUILDERS, raw_order_items
+        return cls(spark, {name: (lambda b=b: b(spark, sf_dir)) for name, b in RAW_BUILDERS.items()},
+                   raw_without={"order_items": lambda: raw_order_items(spark, sf_dir, numbered=False)})
 
     @classmethod
     def from_tables(cls, spark: SparkSession, paths: dict[str, str]) -> "Warehouse":
@@ -168,20 +175,25 @@ class Warehouse:
         return cls(spark, {t: (lambda t=t: spark.table(f"{database}.{t}")) for t in RAW_SCHEMAS})
 
     def table(self, ref: str) -> DataFrame:
-        if ref.startswith("raw."):
-            key = ref
-            if key not in self._memo:
-                self._memo[key] = self.raw[ref[4:]]()
-            return self._memo[key]
-        return self.model(ref)
+        return self._resolve(ref, True)
 
     def model(self, name: str) -> DataFrame:
-        if name in self.overrides:
-            return self.overrides[name]
-        if name not in self._memo:
-            spec = MODELS[name]
-            build, parents = spec.build, spec.parents
-            if spec.inline and parents[0] not in self.overrides:
-                build, parents = spec.inline
-            self._memo[name] = build(*[self.table(p) for p in parents])
-        return self._memo[name]
+        derived = any(name in readers for readers in DERIVED_BY.values())
+        return self._resolve(name, derived)
+
+    def _resolve(self, ref: str, derived: bool) -> DataFrame:
+        """A raw table or model; ``derived`` tells whether the columns of ``DERIVED_BY`` are read."""
+        if ref in self.overrides:
+            return self.overrides[ref]
+        if (ref, derived) not in self._memo:
+            if ref.startswith("raw."):
+                without = None if derived else self.raw_without.get(ref[4:])
+                found = (without or self.raw[ref[4:]])()
+            else:
+                spec = MODELS[ref]
+                build, parents = spec.build, spec.parents
+                if spec.inline and parents[0] not in self.overrides:
+                    build, parents = spec.inline
+                found = build(*[self._resolve(p, derived) for p in parents])
+            self._memo[(ref, derived)] = found
+        return self._memo[(ref, derived)]

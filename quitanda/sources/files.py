@@ -6,6 +6,8 @@ Files are read by executors; the driver only lists file names.
 from __future__ import annotations
 
 import posixpath
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +31,48 @@ def list_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted(str(s.getPath().toString()) for s in fs.listStatus(path))
 
 
+def _file_system(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    fs, path = _file_system(spark, folder)
+    fs.delete(path, True)
+
+
+def replace_folder(spark: SparkSession, folder: str, write: Callable[[str], None]) -> None:
+    """Replace ``folder`` by what ``write`` puts into a folder beside it.
+
+    Until that is written whole the old files stay as they are, so a failed write
+    leaves the old table readable and its own rest is removed.  The switch is two
+    renames on the file system; the old folder is moved back if the second fails.
+    The name beside begins with an underscore, so readers of a parent folder do not
+    see it.
+    """
+    parent, name = posixpath.split(folder.rstrip("/"))
+    mark = uuid.uuid4().hex[:12]
+    new, old = f"{parent}/_new-{mark}-{name}", f"{parent}/_old-{mark}-{name}"
+    try:
+        write(new)
+    except BaseException:
+        delete_folder(spark, new)
+        raise
+    fs, target = _file_system(spark, folder)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    had = fs.exists(target)
+    if had and not fs.rename(target, path(old)):
+        delete_folder(spark, new)
+        raise OSError(f"cannot move {folder} aside")
+    if not fs.rename(path(new), target):
+        if had:
+            fs.rename(path(old), target)
+        delete_folder(spark, new)
+        raise OSError(f"cannot move the new files to {folder}")
+    if had:
+        delete_folder(spark, old)
+
+
 def table_name_of(file_path: str) -> str:
     """``shop_orders_dataset.csv`` → ``shop_orders``: no extension, no ``_dataset``."""
     base = posixpath.basename(file_path.rstrip("/"))

@@ -2,7 +2,9 @@
 
 * ``write_landing``   one table's extract → ``<base>/<env>/<table>/year=/month=/day=``
                       (Hive-style load-date folders; writing a day replaces exactly that
-                      day's folder, also with nothing when the source is empty)
+                      day's folder, also with nothing when the source is empty; the new
+                      day is written beside and switched in, so a failed extract leaves
+                      the old one)
 * ``extract_to_landing`` the same plus a status row (``success`` / ``empty``)
 * ``read_landing``    one load date of a table, partition-pruned, typed
 * ``load_raw``        landing → raw table by column position, cast to the registry
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quitanda.schemas import RAW_SCHEMAS, ddl_of
-from quitanda.sources.files import list_files
+from quitanda.sources.files import list_files, replace_folder
 
 LOAD_DATE_COL = "load_date"
 
@@ -55,10 +57,10 @@ def write_landing(df: DataFrame, base: str, table: str, load_date: dt.date | str
     them at a number of rows (30 000 in the source project).
     """
     path = landing_path(base, table, env)
-    writer = df.write.mode("overwrite")
+    writer = df.write
     if batch_rows:
         writer = writer.option("maxRecordsPerFile", str(batch_rows))
-    writer.parquet(f"{path}/{partition_suffix(load_date)}")
+    replace_folder(df.sparkSession, f"{path}/{partition_suffix(load_date)}", writer.parquet)
     return path
 
 
@@ -113,8 +115,11 @@ def load_raw(df: DataFrame, raw_path: str, table: str, load_date: dt.date | str,
     """
     d = dt.date.fromisoformat(load_date) if isinstance(load_date, str) else load_date
     typed = conform_by_position(df, RAW_SCHEMAS[table])
-    typed.write.mode("append" if mode == "append" else "overwrite").parquet(
-        f"{raw_path.rstrip('/')}/{LOAD_DATE_COL}={d.isoformat()}")
+    folder = f"{raw_path.rstrip('/')}/{LOAD_DATE_COL}={d.isoformat()}"
+    if mode == "append":
+        typed.write.mode("append").parquet(folder)
+    else:
+        replace_folder(df.sparkSession, folder, typed.write.parquet)
     return read_raw(df.sparkSession, raw_path, table)
 
 

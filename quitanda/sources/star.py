@@ -4,14 +4,16 @@ The reference ships no data besides one seed, so the raw inputs are mapped
 from the driver tables (customer, orders, lineitem, part, supplier, events)
 by fixed, deterministic rules.  Every rule is a built-in column expression;
 the only shuffles are the orders ⟕ customer join (customer attributes per
-order) and the per-order numbering of lines.
+order) and the per-order numbering of lines.  Lines are numbered slice by slice
+and written once, and only for what reads the number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quitanda.operators.numbering import number_within
 from quitanda.schemas import RAW_SCHEMAS
 
 # State code by nation key 0..24 ('ZZ' exercises the 'unknown' region).
@@ -92,18 +94,20 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conform(df, "orders")
 
 
-def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_order_items(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataFrame:
     """lineitem rows; the item number is the line's rank inside its order.
 
-    A plain window: lazy, dropped from plans that never read the number, and an
-    order's lines are few.  ``operators.numbering`` numbers keys of any size.
+    Numbering writes the lines once when it is asked for, so an order with a third
+    of all lines is spread over tasks; without it the number is NULL.
     """
     li = read_driver(spark, sf_dir, "lineitem")
-    line = Window.partitionBy("l_orderkey").orderBy(*(F.col(c).asc_nulls_first() for c in LINE_ORDER))
-    numbered = li.withColumn("order_item_id", F.row_number().over(line).cast("bigint"))
-    df = numbered.select(
+    number = F.lit(None).cast("bigint")
+    if numbered:
+        li = number_within(li.select("l_orderkey", *LINE_ORDER), "l_orderkey", LINE_ORDER, "order_item_id")
+        number = F.col("order_item_id")
+    df = li.select(
         F.col("l_orderkey").cast("string").alias("order_id"),
-        F.col("order_item_id"),
+        number.alias("order_item_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_suppkey").cast("string").alias("seller_id"),
         F.col("l_shipdate").alias("shipping_limit_date"),

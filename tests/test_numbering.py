@@ -47,3 +47,43 @@ def test_hot_key_with_payload(spark, reuse):
     finally:
         spark.conf.set("spark.sql.exchange.reuse", before)
     assert wrong == 0 and spans > 600_000
+
+
+def test_lines_of_a_hot_order_are_spread_over_tasks(spark, tmp_path):
+    """An order with a third of all lines: its lines are numbered by many tasks, none holds most of them."""
+    from quitanda.sources.star import raw_order_items
+    n = 30_000
+    lines = spark.range(n, numPartitions=4).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("l_orderkey"), F.col("id").alias("l_linenumber"),
+        *[(F.col("id") % 50).alias(c) for c in ("l_partkey", "l_suppkey")],
+        *[F.lit(1.0).alias(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")],
+        *[F.lit("N").alias(c) for c in ("l_returnflag", "l_linestatus")],
+        F.to_timestamp_ntz(F.lit("1998-01-01 00:00:00")).alias("l_shipdate"))
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "64"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        hot = raw_order_items(spark, str(tmp_path)).where("order_id = '1'")
+        assert hot.agg(F.min("order_item_id"), F.max("order_item_id"), F.count_distinct("order_item_id")).first()[:] == (
+            1, n // 3 + 1, n // 3 + 1)  # and the line whose own key is 1
+        # the hot order lies in about 21 of 64 slices, each numbered on its own
+        most = hot.groupBy(F.spark_partition_id().alias("task")).agg(
+            F.count("*").alias("n"), F.max("order_item_id").alias("last")).where("last > 0").agg(F.max("n")).first()[0]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert most < 0.3 * n / 3
+
+
+def test_models_without_the_number_neither_write_nor_sort_lines(spark, monkeypatch):
+    import quitanda.sources.star as star
+    from quitanda.plans.models import Warehouse
+    monkeypatch.setattr(star, "number_within", lambda *a, **k: pytest.fail("lines were numbered"))
+    wh = Warehouse.from_star(spark, "/root/testdata/sf0.001")
+    for name in ("int_order_items_by_order", "fct_orders", "mart_product_performance", "mart_executive_kpi"):
+        plan = wh.model(name)._jdf.queryExecution().optimizedPlan().toString()
+        assert "row_number" not in plan
+    with pytest.raises(pytest.fail.Exception):
+        wh.model("fct_order_items")
