@@ -8,10 +8,12 @@ they are, so different grams never share a count, and the model is a set of
 written tables that grow with the corpus: nothing of it but the languages'
 names reaches the driver, and nothing is broadcast by us.
 
-Scoring deals the documents by a hash of the row into groups of about
-``GROUP_CHARS`` characters.  The different grams of each group are joined with
-the model's tables, each gram once for all groups, and come back to their group
-with one log probability a language; there they are added up by document.
+Scoring deals the documents by a hash of the row and its place in the table into
+groups of about ``GROUP_CHARS`` characters, so copies spread over the groups.  A
+task goes through its groups one after another and holds the different grams of
+one.  These are joined with the model's tables, a gram once for every
+``GROUPS_OF_A_ROW`` groups, and come back to their group with one log probability
+a language; there they are added up by document.
 
 A text is scored by the mean negative log probability of its characters under
 each language; the lowest wins.  ``score`` is the softmax of the mean log
@@ -21,7 +23,9 @@ on the training rows, or when it is null or has no letter.
 
 Defined cases: null lang rows never train; null, empty and letterless texts give
 ``und``, score 0, rejected; with no training rows at all every text does.
-Texts are scored whole, in slices of bounded size; repeated rows score alike.
+Texts are scored whole, in slices of bounded size; repeated rows score alike; an
+empty table gives an empty result.  ``identify`` and ``keep_identified`` leave
+columns of any name alone; ``score`` replaces those it is told to add.
 """
 
 from __future__ import annotations
@@ -52,10 +56,12 @@ REJECT_SPREAD, REJECT_NATS = 16.0, 30.0
 SCORE_CHARS = 50
 #: Characters scored at a time.
 SLICE = 1 << 19
-#: Characters a task holds before it counts them.
-HOLD = 1 << 22
+#: Characters a task holds before it counts them; counting takes some 60 bytes for each.
+HOLD = 1 << 20
 #: Characters of a group of documents that are scored together.
 GROUP_CHARS = 1 << 22
+#: Groups that are listed in one row beside a gram they need.
+GROUPS_OF_A_ROW = 1024
 
 
 def _letter_table() -> np.ndarray:
@@ -236,39 +242,46 @@ def train(docs: DataFrame, order: int = ORDER, bits: int | None = None) -> Model
 
 
 def _needed(order: int, text_col: str, group_col: str):
-    """The different grams of each group of documents: grp, gram."""
+    """The different grams of each group of documents: grp, gram.  Rows come group by group."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[np.ndarray]] = {}
-        known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        now: int | None = None
+        held: list[np.ndarray] = []
+        known = np.zeros(0, np.uint64), np.zeros(0, f"<U{order}")
         size = 0
 
-        def settle() -> None:
-            for group, codes in held.items():
-                keys, grams, _ = _counted(codes, order)
-                if group in known:
-                    keys, grams = np.concatenate((known[group][0], keys)), np.concatenate((known[group][1], grams))
-                    keys, pick = np.unique(keys, return_index=True)
-                    grams = grams[pick]
-                known[group] = keys, grams
-            held.clear()
+        def settled() -> tuple[np.ndarray, np.ndarray]:
+            if not held:
+                return known
+            keys, grams, _ = _counted(held, order)
+            keys, grams = np.concatenate((known[0], keys)), np.concatenate((known[1], grams))
+            keys, pick = np.unique(keys, return_index=True)
+            return keys, grams[pick]
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(known[1]), now, np.int64)), pa.array(known[1], pa.string())], names=["grp", "gram"])
 
         for batch in batches:
             for part in K.chunks(batch, text_col, SLICE):
                 for text, group in zip(part.column(text_col).to_pylist(), part.column(group_col).to_pylist()):
+                    if group != now:
+                        known = settled()
+                        if len(known[1]):
+                            yield rows()
+                        now, held, size = group, [], 0
+                        known = np.zeros(0, np.uint64), np.zeros(0, f"<U{order}")
                     for x in _pieces(text):
-                        held.setdefault(group, []).append(x)
+                        held.append(x)
                         size += len(x)
                         if size >= HOLD:
-                            settle()
-                            size = 0
-        settle()
-        for group, (_, grams) in known.items():
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), group, np.int64)), pa.array(grams, pa.string())],
-                                             names=["grp", "gram"])
+                            known, held, size = settled(), [], 0
+        known = settled()
+        if len(known[1]):
+            yield rows()
     return run
 
 
-def _score(langs: list[str], order: int, text_col: str, group_col: str):
+def _score(langs: list[str], order: int, text_col: str, group_col: str, added: list[str]):
     def run(docs: pa.Table, given: pa.Table) -> pa.Table:
         keys = _string_hash(given["gram"].to_numpy(), order) if given.num_rows else np.zeros(0, np.uint64)
         by_key = np.argsort(keys)
@@ -307,7 +320,7 @@ def _score(langs: list[str], order: int, text_col: str, group_col: str):
         pred = [langs[b] if n else UNKNOWN for b, n in zip(best, chars)]
         return pa.RecordBatch.from_arrays(
             [*part.columns, pa.array(pred, pa.string()), pa.array(score), pa.array(np.where(chars > 0, ce, 0.0)),
-             pa.array(chars)], names=[*part.schema.names, *ADDED])
+             pa.array(chars)], names=[*part.schema.names, *added])
     return run
 
 
@@ -315,29 +328,39 @@ def _score(langs: list[str], order: int, text_col: str, group_col: str):
 ADDED = ["lang_pred", "score", "cross_entropy", "scored_chars"]
 
 
-def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with the columns ``ADDED``; a document's own columns of these names are replaced."""
-    docs = docs.drop(*ADDED)
+def score(docs: DataFrame, model: Model | None, text_col: str = "text", added: list[str] = ADDED) -> DataFrame:
+    """``docs`` with the prediction, score, cross-entropy and scored characters in the columns ``added``.
+
+    A document's own columns of these names are replaced.
+    """
+    docs = docs.drop(*added)
     if model is None:
-        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "cross_entropy": F.lit(0.0),
-                                 "scored_chars": F.lit(0).cast("long")})
+        none = (F.lit(UNKNOWN), F.lit(0.0), F.lit(0.0), F.lit(0).cast("long"))
+        return docs.withColumns(dict(zip(added, none)))
     spark = docs.sparkSession
-    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType()),
-                         StructField("cross_entropy", DoubleType()), StructField("scored_chars", LongType())])
-    group = "langid_group"
-    while group in (c.lower() for c in docs.columns):
-        group += "_"
+    kinds = (StringType(), DoubleType(), DoubleType(), LongType())
+    schema = StructType([*docs.schema.fields, *map(StructField, added, kinds)])
+    group = _free("langid_group", docs.columns)
     text = F.col(f"`{text_col}`")
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
     groups = max(chars // GROUP_CHARS + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, (ArrayType, MapType, StructType))]
-    # both uses below share one exchange of the documents
-    dealt = docs.withColumn(group, F.pmod(F.xxhash64(*plain), F.lit(groups))).repartition(group)
-    needed = dealt.mapInArrow(_needed(model.order, text_col, group), "grp long, gram string")
-    given = model.with_logs(needed.groupBy("gram").agg(F.collect_list("grp").alias("grps"))).select(
+    # both uses below share one exchange of the documents; equal rows differ by their place
+    dealt = docs.withColumn(group, F.pmod(F.xxhash64(*plain, F.monotonically_increasing_id()), F.lit(groups))).repartition(group)
+    needed = dealt.sortWithinPartitions(group).mapInArrow(_needed(model.order, text_col, group), "grp long, gram string")
+    listed = needed.groupBy("gram", F.floor(F.col("grp") / GROUPS_OF_A_ROW).alias("some")).agg(
+        F.collect_list("grp").alias("grps")).drop("some")
+    given = model.with_logs(listed).select(
         F.explode("grps").alias("grp"), "gram", *(F.col(f"l{i}").cast("float") for i in range(len(model.langs))))
     return dealt.groupBy(group).cogroup(given.groupBy("grp")).applyInArrow(
-        _score(model.langs, model.order, text_col, group), schema)
+        _score(model.langs, model.order, text_col, group, added), schema)
+
+
+def _free(name: str, taken: list[str]) -> str:
+    """``name``, with underscores until no column has it."""
+    while name.lower() in (c.lower() for c in taken):
+        name += "_"
+    return name
 
 
 def limits(scored: DataFrame) -> dict[str, float]:
@@ -374,8 +397,11 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     lang_col: str = "lang") -> DataFrame:
     """``docs`` without the rows that ``identify`` rejects."""
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    model = train(base.where(~held_out()).select("text", "lang"))
-    known = base.where(~held_out()).select("text")
-    limit = limits(score(known, model).drop("text"))
-    return score(docs, model, text_col).where(~rejected(limit)).select(*docs.columns)
+    known = ~held_out(id_col)
+    model = train(docs.where(known).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")))
+    added = [_free(name, docs.columns) for name in ADDED]
+    found = stored(score(docs, model, text_col, added), "langid-kept")
+    training = found.where(known).select(*(F.col(a).alias(b) for a, b in zip(added, ADDED)))
+    named = found.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                         *(F.col(a).alias(b) for a, b in zip(added, ADDED)))
+    return named.where(~rejected(limits(training))).select("row.*")

@@ -11,13 +11,17 @@ The prefix sum needs no sort of a source: keys fall into ``CELLS`` cells by a
 monotone map, cells are summed (pre-aggregated in each task) and prefix-summed
 per source; only the documents of the one cell where a source's rest ends are
 sorted.  A source with a third of all rows has a third of one cell's rows there.
+Rows that repeat doc_id and text draw the same key and stand in that order as one
+entry with a count; the source's end cuts at most one such entry, whose rows are
+numbered in slices, so a row repeated for a third of the table fills no task.
 
 Defined cases: null and word-less texts have size 0 and are never drawn (their
-taken is 0); a null source is a source of its own, last in order; null or
-missing quality weighs ``UNLABELLED``; rows that repeat doc_id and text draw the same
-key and are taken together; ties of the key are ordered by doc_id and text hash;
-an empty table gives an empty result.  The document on the edge is taken if at
-least half of it fits.
+taken is 0); texts are counted whole at any length; a null source is a source of
+its own, last in order; null or missing quality weighs ``UNLABELLED``; of rows that
+repeat doc_id and text as many are taken as fit; ties of the key are ordered by
+doc_id and text hash; an empty table gives an empty result; only the named columns
+are read, so other columns can have any name.  The document on the edge is taken
+if at least half of it fits.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quitanda.llm.common import same, stored, text_key, word_count
+from quitanda.operators.numbering import number_within
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE, MOST = 1.5, 2.0
@@ -90,7 +95,7 @@ def mix(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
     else:
         base = base.withColumn("label", F.lit(None).cast("double"))
     base = stored(base.withColumn("weight_of", quality_weight(F.col("label"))).select(
-        "doc_id", "text_key", "source", "size", sampling_key().alias("key"),
+        "doc_id", "text_key", "source", "size", sampling_key().alias("key"), F.monotonically_increasing_id().alias("row"),
     ).withColumn("cell", F.floor(F.lit(cells) * (1 - F.exp(-F.col("key")))).cast("int")), "mixing-keys")
 
     plan = targets(base, weights, share, most)
@@ -112,10 +117,24 @@ def mix(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
     # without an edge, rounding has left the rest at the source's end or at 0
     chosen = F.when(F.col("edge").isNull(), F.col("rest") > 0).otherwise(F.col("cell") < F.col("edge"))
     outer = rows.where("edge is null or cell <> edge").withColumn("chosen", chosen)
+    inner = rows.where("cell = edge")
+    # equal rows are one entry of the order: entry i of n is taken if before + i * size - size / 2 <= rest
+    entry = ["source", "key", "doc_id", "text_key", "size"]
     line = Window.partitionBy("source").orderBy("key", "doc_id", "text_key")
-    inner = rows.where("cell = edge").withColumn(
-        "until", F.col("edge_before") + F.sum("size").over(line))
-    inner = inner.withColumn("chosen", F.col("until") - F.col("size") / 2 <= F.col("rest")).drop("until")
+    entries = inner.groupBy(*entry).agg(F.count("*").alias("n"), F.min("rest").alias("rest"), F.min("edge_before").alias("edge_before"))
+    entries = entries.withColumn("before", F.col("edge_before") + F.sum(F.col("n") * F.col("size")).over(line) - F.col("n") * F.col("size"))
+
+    def end_of(i: Column) -> Column:
+        return F.col("before") + i * F.col("size") - F.col("size") / 2
+
+    guess = F.when(F.col("size") > 0, F.floor((F.col("rest") - F.col("before")) / F.col("size") + F.lit(0.5))).otherwise(F.lit(0))
+    fits = guess + (end_of(guess + 1) <= F.col("rest")).cast("long") - (end_of(guess) > F.col("rest")).cast("long")
+    entries = entries.select(*(F.col(c).alias(f"e_{c}") for c in entry), "n", F.greatest(F.lit(0), F.least(F.col("n"), fits)).alias("m"))
+    inner = inner.join(entries, F.expr(" and ".join(f"{c} <=> e_{c}" for c in entry))).drop(*(f"e_{c}" for c in entry))
+    whole = inner.where("m = 0 or m = n").withColumn("chosen", F.col("m") > 0).drop("m", "n")
+    cut = inner.where("m > 0 and m < n")  # one entry of a source at most
+    cut = number_within(cut, "source", ["row"], "place").withColumn("chosen", F.col("place") <= F.col("m")).drop("m", "n", "place")
+    inner = whole.unionByName(cut)
     picked = outer.unionByName(inner)
     copies = F.when(F.col("size") > 0, F.col("epochs") + F.col("chosen").cast("long")).otherwise(0)
     return picked.withColumn("copies", copies.cast("long")).select(
@@ -126,14 +145,19 @@ def mix(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
 def mixed_documents(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
                     source_col: str = "source", **options) -> DataFrame:
     """``docs`` with every row as often as the mix takes it."""
-    # equal rows draw alike, so the copies belong to (doc_id, text, source)
-    taken = mix(docs, labels, id_col, text_col, source_col, **options).where("copies > 0").select(
-        "doc_id", "text_key", "source", "copies").distinct()
+    taken = mix(docs, labels, id_col, text_col, source_col, **options).groupBy("doc_id", "text_key", "source").agg(
+        F.min("copies").alias("copies"), F.max("copies").alias("most"), F.sum("copies").alias("total"), F.count("*").alias("n")).where(
+        "total > 0").withColumn("more", F.col("total") - F.col("copies") * F.col("n"))
     rows = docs.select(F.struct("*").alias("row"))
     joined = rows.join(taken, same(F.col(f"row.{id_col}"), F.col("doc_id"))
                        & (text_key(F.col(f"row.{text_col}")) == F.col("text_key"))
                        & same(F.col(f"row.{source_col}"), F.col("source")))
-    return joined.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
+    # of equal rows that are taken unequally often, the first ``more`` are taken once more
+    even = joined.where("copies = most").select("row", "copies")
+    uneven = joined.where("copies < most").withColumn("at", F.monotonically_increasing_id())
+    uneven = number_within(uneven.withColumn("entry", F.xxhash64("doc_id", "text_key", "source")), "entry", ["at"], "place").select(
+        "row", (F.col("copies") + (F.col("place") <= F.col("more")).cast("long")).alias("copies")).where("copies > 0")
+    return even.unionByName(uneven).select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
 
 
 #: The contract's columns in SQL, with one sort of each source.
@@ -162,7 +186,7 @@ docs AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS n FROM targets
 ), line AS (
   SELECT docs.doc_id, docs.size, e.source_size, e.target, e.n, e.target - e.n * e.source_size AS rest,
-    sum(docs.size) OVER (PARTITION BY docs.source ORDER BY key, docs.doc_id, docs.text) AS until
+    sum(docs.size) OVER (PARTITION BY docs.source ORDER BY key, docs.doc_id, docs.text ROWS UNBOUNDED PRECEDING) AS until
   FROM docs JOIN epochs e ON docs.source IS NOT DISTINCT FROM e.source
 )
 SELECT doc_id, size, source_size, target,

@@ -124,3 +124,31 @@ def test_more_grams_than_slots(spark):
     padded = " " * order + "".join(map(chr, code[1:]))
     expected = [np.log(p(padded[i:i + order])) for i in range(1, len(code))]
     assert len(got) == len(expected) and np.allclose(got, expected, atol=1e-5)
+
+
+def test_columns_named_like_the_results_keep_their_values(spark, awkward):
+    from pyspark.sql import functions as F
+    docs = awkward.withColumns({c: F.lit("mine") for c in (*langid.ADDED, "row", "langid_group", "grp", "gram")})
+    kept = langid.keep_identified(docs)
+    assert kept.columns == docs.columns and kept.count() > 0
+    assert {tuple(r) for r in kept.select(*langid.ADDED, "row", "langid_group", "grp", "gram").collect()} == {("mine",) * 8}
+
+
+def test_equal_texts_spread_over_groups(spark):
+    """50 000 equal rows: no task holds most of them."""
+    from pyspark.sql import functions as F
+    from quitanda.llm.common import workers_find_package
+    workers_find_package(spark)
+    docs = spark.range(50_000, numPartitions=4).select(
+        F.lit(1).cast("long").alias("doc_id"), F.lit("one text that all rows share").alias("text"), F.lit("en").alias("lang"))
+    model = langid.train(docs.limit(50).select("text", "lang"))
+    scored = langid.score(docs, model)
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"  # else so few bytes make one task
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    per = scored.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.max("score"), F.min("cross_entropy"))
+    try:
+        rows = per.collect()
+    finally:
+        spark.conf.set(setting, before)
+    assert sum(r.n for r in rows) == 50_000 and max(r.n for r in rows) < 0.5 * 50_000

@@ -95,3 +95,23 @@ def test_awkward_rows(spark, awkward, clashing, empty_docs):
     got = mixing.mix(clashing, labels)
     assert out.count() == got.groupBy().sum("copies").first()[0]
     assert mixing.mixed_documents(empty_docs).count() == 0
+
+
+def test_a_repeated_row_is_taken_as_often_as_fits(spark):
+    """A row that is 40 percent of a source draws the least key: the source still meets its target within one document."""
+    alone = [(i, "w " * 10, "t") for i in range(1200)] + [(i, "w " * 25, "s") for i in range(5000, 5800)]
+    keyed = mixing.sizes_of(spark.createDataFrame(alone, "doc_id long, text string, source string"), "doc_id", "text", "source")
+    keyed = keyed.withColumn("weight_of", mixing.F.lit(mixing.UNLABELLED)).withColumn("key", mixing.sampling_key())
+    for place in ("key", "key desc"):  # the least key, then the greatest
+        first = keyed.where("source = 't'").orderBy(mixing.F.expr(place.split()[0]).desc() if "desc" in place else "key").first().doc_id
+        docs = spark.createDataFrame(alone + [(first, "w " * 10, "t")] * 800, "doc_id long, text string, source string")
+        for cells in (1, 4096):
+            got = mixing.mix(docs, weights=(3.0, 1.25), cells=cells)
+            rows = got.collect()
+            assert len(rows) == docs.count()
+            for source in "st":
+                own = [r for r in rows if r.source == source]
+                assert abs(sum(r.taken for r in own) - own[0].target) <= max(r.size for r in own)
+            out = mixing.mixed_documents(docs, weights=(3.0, 1.25), cells=cells)
+            assert out.count() == sum(r.copies for r in rows)
+            assert out.where(f"doc_id = {first}").count() == sum(r.copies for r in rows if r.doc_id == first)
