@@ -166,21 +166,21 @@ class Encoder:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder_of(path: str) -> Encoder:
+def encoder_of(path: str, known: int = KNOWN_PIECES) -> Encoder:
     """The worker's encoder: its vocabulary is read, and its table of pieces filled, once for all tasks."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, known) not in _encoders:
+        _encoders[path, known] = Encoder(path, known)
+    return _encoders[path, known]
 
 
-def _pack_shard(path: str, bits: int, block_ids: int, end_id: int):
+def _pack_shard(path: str, bits: int, block_ids: int, end_id: int, known: int):
     from quitanda.llm import kernel as K
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, block = encoder_of(path), TaskContext.get().partitionId(), 0
+        encoder, shard, block = encoder_of(path, known), TaskContext.get().partitionId(), 0
         ids, docs = [], []
         held = 0
 
@@ -206,22 +206,24 @@ def _pack_shard(path: str, bits: int, block_ids: int, end_id: int):
                     held += len(ids[-1])
                     if held >= block_ids:
                         yield close()
+            pa.default_memory_pool().release_unused()  # the worker stays, its spare memory need not
         if ids:
             yield close()
     return run
 
 
 def write_tokens(docs: DataFrame, out: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-                 block_ids: int = BLOCK_IDS, end_id: int = END_ID) -> None:
+                 block_ids: int = BLOCK_IDS, end_id: int = END_ID, known: int = KNOWN_PIECES) -> None:
     """Encode ``docs`` and write their blocks, in ascending doc_id order, to the folder ``out``.
 
-    ``tokenizer`` is a tokenizers JSON file that every worker can open.
+    ``tokenizer`` is a tokenizers JSON file that every worker can open; a worker keeps the ids
+    of ``known`` pieces.
     """
     from tokenizers import Tokenizer
     bits = bits_for(Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True))
     ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange(
         "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    ordered.mapInArrow(_pack_shard(tokenizer, bits, block_ids, end_id), BLOCK_SCHEMA).write.parquet(out)
+    ordered.mapInArrow(_pack_shard(tokenizer, bits, block_ids, end_id, known), BLOCK_SCHEMA).write.parquet(out)
 
 
 def index(blocks: DataFrame) -> DataFrame:
