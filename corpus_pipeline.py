@@ -14,6 +14,10 @@ from quitanda.llm.catalog import tokenizer_path
 from quitanda.llm.common import stored, table, workers_find_package
 
 
+#: Pieces kept by each Python worker of the token stage; the workers of all stages stay alive side by side.
+TOKEN_PIECES = 100_000
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that language identification rejects."""
     workers_find_package(spark)
@@ -41,7 +45,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Write the documents' ids bit-packed; one row per document, read back from the files."""
     workers_find_package(spark)
-    return tokenbin.tokenized(docs, tokenizer_path())
+    return tokenbin.tokenized(docs, tokenizer_path(), known=TOKEN_PIECES)
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
