@@ -69,3 +69,15 @@ def workers_find_package(spark: SparkSession) -> None:
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(rows, "10000") == "10000":
         spark.conf.set(rows, str(BATCH_ROWS))
+
+
+def workers_return_memory(spark: SparkSession) -> None:
+    """Let Python workers give freed arrays of a megabyte and more back at once.
+
+    For jobs whose stages use workers one after another: idle workers live on beside the next
+    stage's, and by default the C library keeps up to 32 MB blocks in each.
+    """
+    env = spark.sparkContext.environment
+    env.setdefault("MALLOC_MMAP_THRESHOLD_", str(1 << 20))
+    env.setdefault("MALLOC_TRIM_THRESHOLD_", str(1 << 20))
+    env.setdefault("MALLOC_ARENA_MAX", "2")
