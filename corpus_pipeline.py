@@ -11,40 +11,45 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quitanda.llm import decontam, langid, mixing, neardup, tokenbin
 from quitanda.llm.catalog import tokenizer_path
-from quitanda.llm.common import stored, table, workers_find_package
+from quitanda.llm.common import stored, table, workers_find_package, workers_return_memory
 
 
 #: Pieces kept by each Python worker of the token stage; the workers of all stages stay alive side by side.
 TOKEN_PIECES = 100_000
 
 
+def _workers(spark: SparkSession) -> None:
+    workers_find_package(spark)
+    workers_return_memory(spark)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that language identification rejects."""
-    workers_find_package(spark)
+    _workers(spark)
     return langid.keep_identified(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates (five-word shingles, similarity 0.8)."""
-    workers_find_package(spark)
+    _workers(spark)
     return neardup.keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a passage of the benchmark."""
-    workers_find_package(spark)
+    _workers(spark)
     return decontam.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or leave out documents so that each source reaches its target."""
-    workers_find_package(spark)
+    _workers(spark)
     return mixing.mixed_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Write the documents' ids bit-packed; one row per document, read back from the files."""
-    workers_find_package(spark)
+    _workers(spark)
     return tokenbin.tokenized(docs, tokenizer_path(), known=TOKEN_PIECES)
 
 
