@@ -11,11 +11,11 @@ project's tests:
 * non_negative       rows whose column is < 0; NULL passes
 * unique_combination key groups seen more than once; NULL keys do count
 
-``check_model`` evaluates all declarations of one model: the row-local
-checks (not_null, non_negative) in one aggregate pass over the table, and
-one grouped job each for the others — accepted_values filters before it
-groups, so only failing rows are shuffled.  All results are
-one-row-per-declaration DataFrames, so the whole suite result is tiny.
+``check_model`` evaluates all declarations of one model in one scan: every
+row gives a (check, key) entry to each check that needs to see it — failing
+rows only for the row-local and value checks — and parent tables add their
+keys, so a single grouped shuffle with map-side combining decides all checks.
+The result is one row per declaration, so the whole suite result is tiny.
 """
 
 from __future__ import annotations
@@ -28,8 +28,6 @@ from pyspark.sql import functions as F
 
 from quitanda.operators.joins import orphans
 
-ROW_LOCAL = ("not_null", "non_negative")
-
 
 @dataclass(frozen=True)
 class Check:
@@ -88,11 +86,52 @@ def unique_combination_violations(df: DataFrame, columns: list[str] | tuple[str,
             .where(F.col("row_count") > 1))
 
 
-def _row_local_count(check: Check) -> Column:
-    c = F.col(check.column)
+def _stacked(df: DataFrame, entries: list[Column]) -> DataFrame:
+    """(check, key) rows: for every row of ``df`` the entries that are not NULL, from one scan."""
+    return (df.select(F.explode(F.array(*entries)).alias("e"))
+            .where(F.col("e").isNotNull()).select("e.check", "e.key"))
+
+
+def _entry(number: int, cond: Column, *key: Column) -> Column:
+    """(check, key) where ``cond`` holds, else NULL; keys are text, NULL parts stay NULL."""
+    parts = F.array(*[k.cast("string") for k in key]) if key else F.array().cast("array<string>")
+    return F.when(cond, F.struct(F.lit(number).alias("check"), parts.alias("key")))
+
+
+def _key(df: DataFrame, column: str) -> Column:
+    """A key column; negative zero is zero, as in grouping."""
+    floating = df.schema[column].dataType.typeName() in ("double", "float")
+    return F.col(column) + F.lit(0.0).cast(df.schema[column].dataType) if floating else F.col(column)
+
+
+def _child_entry(number: int, check: Check, df: DataFrame) -> Column:
+    """What a row of the tested table gives to a check: the failing rows of the row-local and value
+    checks (passing rows never reach the shuffle), the keys of the others."""
+    if check.kind == "unique_combination":
+        return _entry(number, F.lit(True), *[_key(df, c) for c in check.column])
+    c = _key(df, check.column)
     if check.kind == "not_null":
-        return F.count_if(c.isNull())
-    return F.count_if(c < 0)  # non_negative
+        return _entry(number, c.isNull())
+    if check.kind == "non_negative":
+        return _entry(number, c < 0)
+    if check.kind == "accepted_values":
+        return _entry(number, ~c.isin(*[_lit(v) for v in check.values]), c)
+    return _entry(number, c.isNotNull(), c)  # unique, relationships
+
+
+def _group_violations(checks: list[Check]) -> Column:
+    """Violations that one (check, key) group adds, from its ``n`` rows and whether a parent has the key."""
+    n = F.col("n")
+    per_kind = {"unique": (n > 1).cast("bigint"), "unique_combination": (n > 1).cast("bigint"),
+                # one for each distinct failing value, as the test reports them
+                "accepted_values": F.lit(1).cast("bigint"),
+                "relationships": F.when(F.col("has_parent"), F.lit(0).cast("bigint")).otherwise(n)}
+    out = n  # row-local checks count rows
+    for kind, violations in per_kind.items():
+        numbers = [i for i, c in enumerate(checks) if c.kind == kind]
+        if numbers:
+            out = F.when(F.col("check").isin(*numbers), violations).otherwise(out)
+    return out
 
 
 RESULT_COLUMNS = ["model", "test_name", "column_name", "violations"]
@@ -106,33 +145,27 @@ def _result_row(model: str, check: Check, violations: Column) -> list[Column]:
 
 def check_model(model: str, df: DataFrame, checks: list[Check],
                 resolve: Callable[[str], DataFrame]) -> DataFrame | None:
-    """One row per declaration: (model, test_name, column_name, violations)."""
-    parts: list[DataFrame] = []
-    local = [c for c in checks if c.kind in ROW_LOCAL]
-    if local:
-        one_pass = df.agg(*[_row_local_count(c).alias(f"_v{i}") for i, c in enumerate(local)])
-        rows = F.array(*[F.struct(*_result_row(model, c, F.col(f"_v{i}")))
-                         for i, c in enumerate(local)])
-        parts.append(one_pass.select(F.inline(rows)))
-    for c in checks:
-        if c.kind == "unique":
-            v = unique_violations(df, c.column)
-        elif c.kind == "accepted_values":
-            # one row per distinct failing value, as the test reports them
-            v = accepted_values_violations(df, c.column, c.values)
-        elif c.kind == "relationships":
-            v = relationships_violations(df, c.column, resolve(c.to), c.field)
-        elif c.kind == "unique_combination":
-            v = unique_combination_violations(df, list(c.column))
-        else:
-            continue
-        parts.append(v.agg(*_result_row(model, c, F.count(F.lit(1)))))
-    if not parts:
+    """One row per declaration: (model, test_name, column_name, violations).
+
+    One scan of the model and one of each parent; all keys of all checks share one shuffle.
+    """
+    if not checks:
         return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rows = _stacked(df, [_child_entry(i, c, df) for i, c in enumerate(checks)]).withColumn("own", F.lit(True))
+    parents: dict[str, list[Column]] = {}
+    for i, c in enumerate(checks):
+        if c.kind == "relationships":
+            # the key as the child's type, so both sides have the same text
+            key = _key(resolve(c.to), c.field).cast(df.schema[c.column].dataType)
+            parents.setdefault(c.to, []).append(_entry(i, key.isNotNull(), key))
+    for to, entries in parents.items():
+        rows = rows.unionByName(_stacked(resolve(to), entries).withColumn("own", F.lit(False)))
+    groups = rows.groupBy("check", "key").agg(F.count_if("own").alias("n"), F.max(~F.col("own")).alias("has_parent"))
+    groups = groups.where("n > 0").withColumn("violations", _group_violations(checks))
+    totals = groups.agg(*[F.coalesce(F.sum(F.when(F.col("check") == i, F.col("violations"))), F.lit(0)).alias(f"_v{i}")
+                          for i in range(len(checks))])
+    return totals.select(F.inline(F.array(*[F.struct(*_result_row(model, c, F.col(f"_v{i}")))
+                                            for i, c in enumerate(checks)])))
 
 
 def summarize(results: DataFrame) -> DataFrame:

@@ -56,6 +56,36 @@ def test_check_model_single_pass_counts(spark):
                    ("unique", "k"): 1, ("unique_combination", "k,s"): 0}
 
 
+def test_check_model_equals_single_checks(spark):
+    """All kinds at once report what each ``*_violations`` function reports alone, from one scan and one shuffle."""
+    import random
+    rng = random.Random(4)
+    pick = lambda *v: rng.choice((None, *v))
+    rows = [(pick("a", "b", "", "c,d"), pick(1, 2, 30), pick(-1.5, -0.0, 0.0, 2.0), pick(7, 8)) for _ in range(60)]
+    schema = "k string, n long, v double, p long"
+    df = spark.createDataFrame(rows, schema)
+    parents = {"one": spark.createDataFrame([("a",), ("a",), (None,), ("zz",)], "pk string"),
+               "two": spark.createDataFrame([(7,), (9,)], "pk int")}
+    checks = [Check("not_null", "k"), Check("not_null", "v"), Check("non_negative", "v"), Check("unique", "k"),
+              Check("unique", "n"), Check("accepted_values", "n", (1, 2)), Check("accepted_values", "k", ("a", "")),
+              Check("relationships", "k", to="one", field="pk"), Check("relationships", "p", to="two", field="pk"),
+              Check("unique_combination", ("k", "n")), Check("unique_combination", ("n", "v", "p"))]
+
+    def alone(c, table):
+        if c.kind == "relationships":
+            return dq.relationships_violations(table, c.column, parents[c.to], c.field)
+        extra = [c.values] if c.kind == "accepted_values" else []
+        return getattr(dq, f"{c.kind}_violations")(table, c.column, *extra)
+
+    got = dq.check_model("m", df, checks, parents.get)
+    assert [(r.test_name, r.column_name, r.violations) for r in got.collect()] == [
+        (c.kind, c.column_label, alone(c, df).count()) for c in checks]
+    none = dq.check_model("m", df.where("false"), checks, parents.get).collect()
+    assert len(none) == len(checks) and {r.violations for r in none} == {0}
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
 def test_pipeline_gate_stops_on_violation(spark):
     # order 2 has an unknown status: the staging accepted_values test fails
     wh = make_wh(spark, orders=[order("1"), order("2", status="lost")],
