@@ -93,9 +93,15 @@ def _stacked(df: DataFrame, entries: list[Column]) -> DataFrame:
 
 
 def _entry(number: int, cond: Column, *key: Column) -> Column:
-    """(check, key) where ``cond`` holds, else NULL; keys are text, NULL parts stay NULL."""
-    parts = F.array(*[k.cast("string") for k in key]) if key else F.array().cast("array<string>")
-    return F.when(cond, F.struct(F.lit(number).alias("check"), parts.alias("key")))
+    """(check, key) where ``cond`` holds, else NULL.
+
+    One key is its text.  Of several, each is given with its length, so no two combinations are one text; NULL is ``-``.
+    """
+    texts = [k.cast("string") for k in key]
+    if len(texts) > 1:
+        texts = [F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])]
+    one = texts[0] if texts else F.lit("")
+    return F.when(cond, F.struct(F.lit(number).alias("check"), one.alias("key")))
 
 
 def _key(df: DataFrame, column: str) -> Column:
