@@ -1,11 +1,14 @@
 """Operator 2: benchmark decontamination by spaced-seed hashing.
 
-Method: two fixed masks read five tokens each and skip some positions, so a
-substituted token does not break every hash that covers it.  Together they hit
-every window of 13 tokens with up to two substitutions (checked by a test).
+Method: fixed masks read some of the tokens at a place and skip others, so a
+substituted token does not break every hash that covers it.  Two masks of five
+tokens hit every window of 13 tokens with up to two substitutions; items of 5 to
+12 tokens have two masks of three tokens, which hit them with a fifth of their
+tokens substituted; items under five tokens are hashed whole (a test checks all
+cases).  A mask that no item of the benchmark needs is not computed.
 Training and test hashes are joined; around every hit the aligned tokens of
-both sides are compared, and a window of 13 tokens (all of an item of 5 to 12)
-that agrees in at least 80 percent is a verified overlap.
+both sides are compared, and a window of 13 tokens (all of a shorter item) that
+agrees in at least 80 percent is a verified overlap.
 
 Training hashes outnumber test hashes by far, so a Bloom filter of the test
 hashes (``2**bloom_bits`` bits, a fixed size, built with a group-by) drops
@@ -14,10 +17,13 @@ tokens around their position as 32-bit hashes, so verification needs no text
 and no second pass.
 
 Defined cases: tokens are words, A-Z in lower case; null and empty texts have
-none; items under five tokens are too short to be evidence and match nothing;
-items of 5 to 12 tokens are found whole when no more than a fifth of their
-tokens differ and five adjacent ones agree; repeated benchmark rows and
-repeated documents give one row for each (doc_id, text, item_id).
+none; items of 5 to 12 tokens are found when no more than a fifth of their
+tokens differ, items of 3 or 4 when all agree; an item of one or two tokens says
+nothing inside a text and is found only where it is a document's whole text;
+repeated benchmark rows and
+repeated documents give one row for each (doc_id, text, item_id); very long
+texts are read whole, in parts of a batch; an empty table on either side gives
+no rows; only the named columns are read, so others can have any name.
 """
 
 from __future__ import annotations
@@ -32,29 +38,50 @@ from pyspark.sql import functions as F
 from quitanda.llm import kernel as K
 from quitanda.llm.common import arrays, text_key
 
-MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5))
+MASKS = ((0, 1, 2, 3, 5), (0, 1, 3, 4, 5))
+SHORT_MASKS = ((0, 1, 3), (0, 2, 3))
+WHOLE_MASKS = ((0,), (0, 1), (0, 1, 2), (0, 1, 2, 3))
+ALL_MASKS = MASKS + SHORT_MASKS + WHOLE_MASKS
 WINDOW = 13
 AGREE = 80
+#: Items below this size are found only as a whole text.
+INSIDE = 3
 BLOOM_BITS = 24
-_SPAN = max(max(m) for m in MASKS) + 1
+_SPAN = max(max(m) for m in ALL_MASKS) + 1
 #: Tokens carried on each side of a hit's first token.
-BEFORE, AFTER = WINDOW - 5, WINDOW + _SPAN
+BEFORE, AFTER = WINDOW - 4, WINDOW + _SPAN
 
 
-def seed_hashes(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, position of its first word) of every mask at every place inside one text."""
-    last = np.repeat(first[1:], np.diff(first))
+def needed_masks(sizes: np.ndarray) -> np.ndarray:
+    """For each item size, which masks its hashes need."""
+    needs = np.zeros((len(sizes), len(ALL_MASKS)), bool)
+    long, short = len(MASKS), len(MASKS) + len(SHORT_MASKS)
+    needs[:, :long] = (sizes >= WINDOW)[:, None]
+    needs[:, long:short] = ((sizes >= 5) & (sizes < WINDOW))[:, None]
+    for n, _ in enumerate(WHOLE_MASKS):
+        needs[:, short + n] = sizes == n + 1
+    return needs
+
+
+def seed_hashes(words: np.ndarray, first: np.ndarray, use: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, position of its first word, mask) at every place inside one text; ``use``: the masks of each text."""
+    size = np.diff(first)
+    last = np.repeat(first[1:], size)
     at = np.arange(len(words))
-    hashes, places = [], []
-    for number, mask in enumerate(MASKS):
-        fits = at[at + mask[-1] < last]
+    hashes, places, numbers = [], [], []
+    for number in np.flatnonzero(use.any(axis=0)):
+        mask = ALL_MASKS[number]
+        fits = at[(at + mask[-1] < last) & np.repeat(use[:, number], size)]
         h = np.full(len(fits), number + 1, np.uint64)
         for i in mask:
             h = h * K.U64(0xD6E8FEB86659FD93) + words[fits + i]
             h ^= h >> K.U64(29)
         hashes.append(K.mix64(h))
         places.append(fits)
-    return np.concatenate(hashes), np.concatenate(places)
+        numbers.append(np.full(len(fits), number, np.int64))
+    if not hashes:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(places), np.concatenate(numbers)
 
 
 def _around(words: np.ndarray, first: np.ndarray, owner: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -71,8 +98,11 @@ def _bits(hashes: np.ndarray, bloom_bits: int) -> np.ndarray:
     return np.stack([hashes >> K.U64(64 - bloom_bits), (hashes & K.U64((1 << bloom_bits) - 1))], axis=1)
 
 
-def _rows(text_col: str, keep: list[str], bloom, bloom_bits: int):
-    """Seed hashes that pass the filter, with position, length of the text and the tokens around."""
+def _rows(text_col: str, keep: list[str], bloom, bloom_bits: int, used: tuple[int, ...] = ()):
+    """Seed hashes that pass the filter, with position, length of the text and the tokens around.
+
+    Without a filter the texts are items and have the masks of their size, else the ``used`` ones.
+    """
     width = BEFORE + AFTER
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,20 +110,25 @@ def _rows(text_col: str, keep: list[str], bloom, bloom_bits: int):
         for batch in batches:
             for part in K.chunks(batch, text_col):
                 words, first = K.hash_words(part.column(text_col), lower=True)
-                hashes, places = seed_hashes(words, first)
+                size = np.diff(first)
+                if bloom is None:
+                    use = needed_masks(size)
+                else:
+                    use = np.zeros((len(size), len(ALL_MASKS)), bool)
+                    use[:, list(used)] = True
+                hashes, places, numbers = seed_hashes(words, first, use)
                 if held is not None:
                     bit = _bits(hashes, bloom_bits).astype(np.int64)
                     ok = np.flatnonzero(held[bit[:, 0]])
                     ok = ok[held[bit[ok, 1]]]
-                    hashes, places = hashes[ok], places[ok]
+                    hashes, places, numbers = hashes[ok], places[ok], numbers[ok]
                 owner = np.searchsorted(first, places, "right") - 1
-                size = np.diff(first)
                 around = _around(words, first, owner, places)
                 yield pa.RecordBatch.from_arrays([
                     *(part.column(c).take(pa.array(owner)) for c in keep),
-                    pa.array(K.signed(hashes)), pa.array(places - first[owner]), pa.array(size[owner]),
+                    pa.array(K.signed(hashes)), pa.array(places - first[owner]), pa.array(size[owner]), pa.array(numbers),
                     pa.FixedSizeListArray.from_arrays(pa.array(around.reshape(-1)), width).cast(pa.list_(pa.int32())),
-                ], names=[*keep, "h", "at", "size", "around"])
+                ], names=[*keep, "h", "at", "size", "mask", "around"])
     return run
 
 
@@ -154,17 +189,19 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     sc = docs.sparkSession.sparkContext
     tests = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")).distinct()
     kind = tests.schema["item_id"].dataType.simpleString()
-    shape = "h long, at long, size long, around array<int>"
+    shape = "h long, at long, size long, mask long, around array<int>"
     seeds = tests.mapInArrow(_rows("text", ["item_id"], None, bloom_bits), f"item_id {kind}, {shape}").select(
-        "item_id", "h", F.col("at").alias("item_at"), F.col("size").alias("item_size"),
+        "item_id", "h", "mask", F.col("at").alias("item_at"), F.col("size").alias("item_size"),
         F.col("around").alias("item_around"))
+    used = tuple(int(m) for m in arrays(seeds.select("mask").distinct())["mask"])  # at most all masks
     bloom = sc.broadcast(_bloom(seeds.select("h"), bloom_bits))
     base = docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("text_key"),
                        F.col(text_col).alias("text"))
     id_kind = base.schema["doc_id"].dataType.simpleString()
-    hits = base.mapInArrow(_rows("text", ["doc_id", "text_key"], bloom, bloom_bits),
+    hits = base.mapInArrow(_rows("text", ["doc_id", "text_key"], bloom, bloom_bits, used),
                            f"doc_id {id_kind}, text_key long, {shape}")
-    windows = hits.join(seeds, "h").select(
+    found = hits.join(seeds.drop("mask"), "h").where(f"item_size >= {INSIDE} or size = item_size")
+    windows = found.select(
         "doc_id", "text_key", "item_id", "at", "around", "item_at", "item_size", "item_around").mapInArrow(
         _verify, f"doc_id {id_kind}, text_key long, item_id {kind}, doc_start long, doc_end long, item_start long, "
                  "item_end long, agree long")

@@ -10,8 +10,10 @@ whole sets.  A line is removed if an earlier line, by
 
 Equal sets are one class before the join.  The lines of each of a line's two
 rarest words are first paired with the earliest alone, if that is the same for
-both; lines that this removes need no other pair.  Only the lines left over are joined with every earlier line of their
-words, so a group of near copies makes about as many pairs as it has lines.
+both; lines that this removes need no other pair.  Only the lines left over are joined with every earlier line:
+the larger set of two probes with its whole prefix, the smaller is indexed by its rarest ``n - 2 t n / (1 + t) + 1``
+words, and two removed lines never meet.  So a group of near copies makes about as many pairs as it has lines, and
+lines of one template that are less similar than ``t`` meet on none of the words they share.
 
 Rarity counts all words of all lines, added up in ``2**RANK_BITS`` buckets, so
 the order is a fixed-size array at any scale; any fixed order gives the same
@@ -19,7 +21,9 @@ result, rarity only makes postings short.
 
 Defined cases: null text has no line; lines without a word are kept and never
 match; rows that repeat doc_id and text are one document and get the same
-result; null doc_ids come first; an empty table gives no rows.
+result; null doc_ids come first; an empty table gives no rows; very long texts are
+read whole; only ``id_col`` and ``text_col`` are read, so other columns can
+have any name.
 """
 
 from __future__ import annotations
@@ -114,7 +118,32 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Colu
 
 def _postings(classes: DataFrame, prefix: str) -> DataFrame:
     first = F.coalesce(F.col("ref.doc_id"), F.lit(-(1 << 63)))  # null comes first
-    return classes.select("node", first.alias("doc"), "size", "open", F.posexplode(F.expr(prefix)).alias("pos", "word"))
+    return classes.select("node", first.alias("doc"), "size", F.posexplode(F.expr(prefix)).alias("pos", "word"))
+
+
+def _meetings(marked: DataFrame, threshold: int) -> list[tuple[DataFrame, DataFrame]]:
+    """Pairs of probing and indexed postings to join on ``word``; ``marked``: classes with ``open``, whether still kept.
+
+    Every two classes of which one is open meet if they are similar, two removed ones never do.
+    """
+    short = f"cast(size - ceil({2 * threshold} * size / {100 + threshold}d) + 1 as int)"
+
+    def side(is_open: bool, prefix: str) -> DataFrame:
+        return _postings(marked.where(F.col("open") == is_open), prefix)
+    probe, gone_probe = side(True, "prefix"), side(False, "prefix")
+    index, gone_index = (side(o, f"slice(prefix, 1, {short})") for o in (True, False))
+    # equal sides are shuffled once
+    return [(probe, index), (probe, gone_index), (gone_probe, index)]
+
+
+def _sharing(probe: DataFrame, index: DataFrame, threshold: int) -> DataFrame:
+    """(x, c) of a probing and an indexed class that share a word, x as large or larger, past the filters."""
+    need = _need(threshold)
+    return probe.alias("x").join(index.alias("c"), "word").where(
+        f"x.node <> c.node and x.size >= c.size and 100 * c.size >= {threshold} * x.size"
+        f" and least(x.pos, c.pos) + least(x.size - x.pos, c.size - c.pos) >= {need}").select(
+        F.col("x.node").alias("x"), F.col("c.node").alias("c"), F.col("x.size").alias("xs"), F.col("c.size").alias("cs"),
+        F.least(F.expr("x.size - x.pos"), F.expr("c.size - c.pos")).alias("rest"))
 
 
 def later_matches(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -125,27 +154,23 @@ def later_matches(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         F.first("prefix").alias("prefix")), "lines-classes")
 
     # first round: lines that share their two rarest words (the only one of short lines) with the earliest of them
-    rare = _postings(classes.withColumn("open", F.lit(1)), "slice(prefix, 1, 2)")
+    rare = _postings(classes, "slice(prefix, 1, 2)")
     earliest = rare.groupBy("word").agg(F.min(F.struct("doc", "node", "size", "pos")).alias("c")).select("word", "c.*")
     met = rare.alias("x").join(earliest.alias("c"), "word").where(_candidate(threshold)).groupBy(
         F.col("x.node").alias("x"), F.col("c.node").alias("c")).agg(F.count("*").alias("m"), F.max("x.size").alias("size"))
     short = f"size - ceil({threshold} * size / 100d) + 1"
-    pairs = stored(met.where(f"m >= least(2, {short})").select("x", "c"), "lines-first")
+    met = met.where(f"m >= least(2, {short})")
+    pairs = stored(met.select(F.greatest("x", "c").alias("x"), F.least("x", "c").alias("c")), "lines-first")
     gone = stored(_verified(pairs, classes, docs, ranks, threshold), "lines-gone")
 
-    # second round: the lines left, against every earlier line of their prefix words
-    marked = classes.join(gone.withColumn("g", F.lit(1)), "node", "left").withColumn(
-        "open", F.when(F.col("g").isNull(), 1).otherwise(0)).drop("g")
-    every = _postings(marked, "prefix")
-    # the test on open names both sides, so both read one shuffle of the postings
-    shared = every.alias("x").join(every.alias("c"), "word").where(
-        "x.open + 2 * abs(c.open) in (1, 3)").where(_candidate(threshold)).groupBy(
-        F.col("x.node").alias("x"), F.col("c.node").alias("c")).agg(
-        F.count("*").alias("m"), F.max(F.expr("least(x.size - x.pos, c.size - c.pos)")).alias("from_first"),
-        F.max("x.size").alias("xs"), F.max("c.size").alias("cs"))
-    # beyond the shared prefix words, no more can be shared than the longer rest after a prefix
-    rest = shared.where(f"from_first >= {_need(threshold, 'xs', 'cs')}").where(
-        f"m + ceil({threshold} * greatest(xs, cs) / 100d) - 1 >= {_need(threshold, 'xs', 'cs')}").select("x", "c")
+    # second round: the lines left, against every line that they share an indexed word with
+    marked = classes.join(gone.withColumn("g", F.lit(1)), "node", "left").withColumn("open", F.col("g").isNull()).drop("g")
+    met = [_sharing(probe, index, threshold) for probe, index in _meetings(marked, threshold)]
+    shared = met[0].unionByName(met[1]).unionByName(met[2]).groupBy(
+        F.greatest("x", "c").alias("x"), F.least("x", "c").alias("c")).agg(
+        F.max("rest").alias("from_first"), F.max("xs").alias("xs"), F.max("cs").alias("cs"))
+    # the first shared word is both indexed and probed, so no more can be shared than the rests after it
+    rest = shared.where(f"from_first >= {_need(threshold, 'xs', 'cs')}").select("x", "c")
     rest = stored(rest.join(pairs, ["x", "c"], "left_anti"), "lines-rest")
     gone = gone.unionByName(_verified(rest, classes, docs, ranks, threshold)).distinct()
 

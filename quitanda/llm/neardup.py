@@ -10,11 +10,14 @@ confirmed on the full sets.
 
 Exact copies of a set fall into one node before any pairing.  A star can miss
 links between leaves.  So the nodes of buckets that still hold several
-components are joined exactly: shingles ordered by rarity, two similar sets
-share one among their rarest (prefix), and the length and positional filters
-hold; only nodes outside a shingle's largest component are paired.  A copy that
-is too far from all others has only rare shingles in its prefix, so it makes no
-pair although it shares buckets with the whole group.  With 56 bands of 7 rows a
+components are joined exactly: shingles ordered by rarity, the larger set of two
+similar ones is probed by its rarest ``n - t n + 1`` (prefix), the smaller is
+indexed by its rarest ``n - 2 t n / (1 + t) + 1`` only, and the length and
+positional filters hold; only nodes outside a shingle's largest component are
+paired.  Documents of one template that are less similar than ``t`` have more
+shingles of their own than the index takes, so what they share is not indexed
+and they meet nowhere, however many they are.
+With 56 bands of 7 rows a
 pair at similarity 0.85 shares no bucket with probability 5e-10, one at 0.8 with
 2e-6.
 
@@ -22,7 +25,8 @@ Defined cases: null or word-less text has an empty set, is linked with nothing
 and is kept; rows that repeat a doc_id are separate rows; rows with a null
 doc_id take part in linking, their component_id is the smallest doc_id of the
 component (null if there is none).  Only ``id_col`` and ``text_col`` are read,
-so other columns can have any name.  Nodes are 64-bit hashes of whole sets.
+so other columns can have any name.  Very long texts are read whole; an empty
+table gives no rows.  Nodes are 64-bit hashes of whole sets.
 """
 
 from __future__ import annotations
@@ -158,7 +162,10 @@ def _rarity(sets: DataFrame) -> np.ndarray:
 
 
 def _prefixes(rarity, threshold: int):
-    """(node, comp, n, pos, word) of the rarest shingles that two similar sets must share one of."""
+    """(node, comp, n, pos, word, indexed) of the rarest shingles, of which two similar sets share one.
+
+    ``indexed`` marks the first of them, by which a set is found from sets that are as large or larger.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
@@ -173,26 +180,41 @@ def _prefixes(rarity, threshold: int):
                 count = np.array([len(w) for w in words], np.int64)
                 owner = np.repeat(np.arange(len(words)), count)
                 pos = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                index = size - -(-2 * threshold * size // (100 + threshold)) + 1
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node").take(pa.array(owner)), part.column("comp").take(pa.array(owner)),
-                     pa.array(size[owner], pa.int64()), pa.array(pos, pa.int64()), pa.array(np.concatenate(words))],
-                    names=["node", "comp", "n", "pos", "word"])
+                     pa.array(size[owner], pa.int64()), pa.array(pos, pa.int64()), pa.array(np.concatenate(words)),
+                     pa.array(pos < index[owner])],
+                    names=["node", "comp", "n", "pos", "word", "indexed"])
     return run
 
 
+def _meetings(rare: DataFrame, main: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Probing and indexed postings that meet on (word, side), at least one of each two outside ``main``.
+
+    Postings outside the word's largest component probe side 0, which has all indexed ones; those inside probe
+    side 1, which has the indexed ones outside.  So no two of the largest component meet.
+    """
+    marked = rare.join(main, "word").withColumn("outside", F.col("comp") != F.col("main")).drop("main")
+    probe = marked.select("word", F.when(F.col("outside"), 0).otherwise(1).alias("side"), F.col("node").alias("x"),
+                          F.col("comp").alias("xc"), F.col("n").alias("xn"), F.col("pos").alias("xpos"))
+    sides = F.when(F.col("outside"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    index = marked.where("indexed").select("word", F.explode(sides).alias("side"), "node", "comp", "n", "pos")
+    return probe, index
+
+
 def _across(sets: DataFrame, comp: DataFrame, threshold: int) -> DataFrame:
     """Pairs (u, v) of nodes in different components that pass the prefix, length and positional filters."""
     rarity = sets.sparkSession.sparkContext.broadcast(_rarity(sets))
     placed = sets.join(comp, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"), "items")
-    rare = placed.mapInArrow(_prefixes(rarity, threshold), "node long, comp long, n long, pos long, word long")
+    rare = placed.mapInArrow(_prefixes(rarity, threshold),
+                             "node long, comp long, n long, pos long, word long, indexed boolean")
     counts = rare.groupBy("word", "comp").agg(F.count("*").alias("c")).groupBy("word").agg(
         F.max(F.struct("c", "comp")).alias("b"), F.count("*").alias("k")).where("k > 1")
-    main = counts.select("word", F.col("b.comp").alias("main"))
-    outside = rare.join(main, "word").where("comp <> main").select(
-        "word", F.col("node").alias("x"), F.col("comp").alias("xc"), F.col("n").alias("xn"), F.col("pos").alias("xpos"))
+    probe, index = _meetings(rare, counts.select("word", F.col("b.comp").alias("main")))
     need = f"ceil({threshold} * (xn + n) / {100 + threshold}d)"
-    return outside.join(rare, "word").where("xc <> comp").where(
-        f"100L * least(xn, n) >= {threshold}L * greatest(xn, n)").where(
+    return probe.join(index, ["word", "side"]).where("xc <> comp and xn >= n").where(
+        f"100L * n >= {threshold}L * xn").where(
         f"least(xn - xpos, n - pos) >= {need}").select(
         F.greatest("x", "node").alias("u"), F.least("x", "node").alias("v")).distinct()
 

@@ -13,7 +13,9 @@ add up to their places.
 
 Defined cases: null text is empty; null doc_id is an id like others; rows that
 repeat a doc_id are told apart by their text; repeated rows get equal results;
-an empty table gives no rows.
+an empty table gives no rows; very long texts and texts of very many matches are
+scanned whole, in time n log n of their matches; only ``id_col`` and
+``text_col`` are read, so other columns can have any name.
 """
 
 from __future__ import annotations
@@ -127,24 +129,27 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return met.groupBy("doc_id", "text_key").agg(F.collect_set("kind").alias("kinds"))
 
 
+def running_sums(numbers: Column) -> Column:
+    """Sums of an array's first 1, 2, ... longs: each pass adds the value 1, 2, 4, ... places before.
+
+    n values take n log n steps; appending sums one by one would copy the array for each.
+    """
+    passes = F.sequence(F.lit(0), F.ceil(F.log2(F.size(numbers) + 1)).cast("int"))
+    return F.aggregate(passes, numbers, lambda sums, k: F.transform(
+        sums, lambda x, i: x + F.coalesce(F.get(sums, i - F.call_function("shiftleft", F.lit(1), k)), F.lit(0).cast("long"))))
+
+
 def matches(text: Column, rule: Rule, number: int) -> Column:
     """array<struct<start, number, end, kind>> of a rule's spans in a text."""
     pattern = F.lit(rule.regex)
     gaps = F.transform(F.split(text, rule.regex, -1), F.length)
     found = F.regexp_extract_all(text, pattern, F.lit(0))
-    sized = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), F.transform(found, F.length).alias("length"),
-                         F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length).alias("part"))
-    nothing = F.array().cast("array<struct<start:long,number:int,end:long,kind:string,part:int>>")
-    zero = F.struct(F.lit(0).cast("long").alias("at"), nothing.alias("spans"))
-
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + x["gap"]
-        end = start + x["length"]
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(F.struct(
-            start.alias("start"), F.lit(number).alias("number"), end.alias("end"), F.lit(rule.kind).alias("kind"),
-            x["part"].alias("part")))).alias("spans"))
-
-    placed = F.aggregate(sized, zero, step, lambda state: state["spans"])
+    lengths = F.transform(found, F.length)
+    parts = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length)
+    ends = running_sums(F.zip_with(F.slice(gaps, 1, F.size(found)), lengths, lambda gap, n: (gap + n).cast("long")))
+    placed = F.transform(F.arrays_zip(ends.alias("end"), lengths.alias("n"), parts.alias("part")), lambda s: F.struct(
+        (s["end"] - s["n"]).alias("start"), F.lit(number).alias("number"), s["end"].alias("end"),
+        F.lit(rule.kind).alias("kind"), s["part"].alias("part")))
     return F.transform(F.filter(placed, lambda s: s["part"] >= rule.least),
                        lambda s: F.struct(s["start"], s["number"], s["end"], s["kind"]))
 

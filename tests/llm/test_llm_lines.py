@@ -63,6 +63,34 @@ def test_near_copies_match_brute_force(spark, seed, threshold):
     assert found(spark.createDataFrame(rows, "doc_id long, text string"), threshold=threshold) == brute(rows, threshold)
 
 
+def test_template_lines_do_not_meet(spark):
+    """Lines of eight common and two own words are not similar: the join works through few pairs, not all."""
+    from pyspark.sql import functions as F
+    common = " ".join(f"common{i}" for i in range(8))
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(F.lit(common), F.format_string(
+        " own%d other%d", "id", "id")).alias("text")).withColumn("text_key", F.xxhash64("text"))
+    shaped, _ = line_dedup.shaped_lines(docs, 80)
+    classes = shaped.withColumn("ref", F.struct("doc_id")).withColumn("open", F.lit(True))
+    met = [p.join(i, "word").count() for p, i in line_dedup._meetings(classes, 80)]
+    assert met[0] < 8 * 2000 and met[1:] == [0, 0]
+    # removed lines never meet each other, whatever they share
+    gone = classes.withColumn("open", F.lit(False))
+    assert sum(p.join(i, "word").count() for p, i in line_dedup._meetings(gone, 80)) == 0
+    rows = [(r.doc_id, r.text) for r in docs.where("doc_id < 150").collect()]
+    assert found(docs.where("doc_id < 150").select("doc_id", "text")) == brute(rows)
+
+
+@pytest.mark.parametrize("threshold", [50, 80, 95])
+def test_sets_of_different_sizes_match_brute_force(spark, threshold):
+    rng = random.Random(threshold)
+    base = [f"b{i}" for i in range(24)]
+    rows = []
+    for d in range(160):
+        line = rng.sample(base, rng.randint(8, 24)) + [f"x{rng.randrange(6)}" for _ in range(rng.randint(0, 3))]
+        rows.append((d, " ".join(line)))
+    assert found(spark.createDataFrame(rows, "doc_id long, text string"), threshold=threshold) == brute(rows, threshold)
+
+
 def test_awkward_rows(spark, awkward, clashing, empty_docs):
     rows = [(r.doc_id, r.text) for r in awkward.collect() if r.doc_id != 2]
     expected = brute(rows)

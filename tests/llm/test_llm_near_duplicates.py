@@ -80,6 +80,41 @@ def test_chains_and_stars_of_near_copies_match_brute_force(spark, documents):
     assert found(df, shingle=3, threshold=85) == brute(rows, 3, 85)
 
 
+def test_template_documents_do_not_meet(spark):
+    """Documents of one template with similarity 0.83 share what is not indexed: few pairs, not all of them."""
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(9)
+    template, n = rng.integers(0, 1 << 62, 200), 600
+    rows = [(i, i, np.concatenate((template, rng.integers(0, 1 << 62, 20))).tolist()) for i in range(n)]
+    sets = spark.createDataFrame(rows, "node long, comp long, items array<long>")
+    rarity = spark.sparkContext.broadcast(neardup._rarity(sets))
+    rare = sets.mapInArrow(neardup._prefixes(rarity, 85),
+                           "node long, comp long, n long, pos long, word long, indexed boolean")
+    main = rare.select("word").distinct().withColumn("main", F.lit(0).cast("long"))
+    probe, index = neardup._meetings(rare, main)
+    own = rare.where("indexed").count()
+    assert probe.join(index, ["word", "side"]).count() < 3 * own  # all pairs on the template would be 18 n n
+    # no two of a word's largest component meet
+    probe, index = neardup._meetings(rare.withColumn("comp", F.lit(0).cast("long")), main)
+    assert probe.join(index, ["word", "side"]).count() == 0
+    assert neardup._across(sets.select("node", "items"), sets.select("node", "comp"), 85).count() == 0
+
+
+@pytest.mark.parametrize("threshold", [60, 80, 85, 95])
+def test_exact_join_finds_every_similar_pair(spark, threshold):
+    rng = random.Random(threshold)
+    base = list(range(1000, 1060))
+    sets = [set(rng.sample(base, rng.randint(30, 60))) | {rng.randrange(10**6) for _ in range(rng.randint(0, 6))}
+            for _ in range(120)]
+    rows = [(i, sorted(s)) for i, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "node long, items array<long>")
+    none = spark.createDataFrame([], "node long, comp long")
+    got = {(r.u, r.v) for r in neardup._across(df, none, threshold).collect()}
+    similar = {(j, i) for i, j in combinations(range(len(sets)), 2)
+               if 100 * len(sets[i] & sets[j]) >= threshold * len(sets[i] | sets[j])}
+    assert similar and similar <= got
+
+
 def test_awkward_rows(awkward, clashing, empty_docs):
     expected = brute(pairs_of(awkward), 3, 85)
     assert found(awkward, shingle=3, threshold=85) == expected

@@ -78,6 +78,19 @@ def test_trigram_queries():
                 assert any(all(t in text.lower() for t in c) for c in query[rule.kind]), (rule, text, rng)
 
 
+def test_very_many_matches_in_one_text(spark):
+    """40 000 spans of one text are placed in time n log n (each was copied for every later one before)."""
+    text = " ".join(f"é token={i:08d}" for i in range(40_000))
+    check(spark.createDataFrame([(1, text), (2, "token=abcdefgh")], "doc_id long, text string"))
+
+
+def test_running_sums(spark):
+    for n in (0, 1, 2, 3, 7, 8, 9, 100):
+        df = spark.createDataFrame([(list(range(5, 5 + n)),)], "a array<long>")
+        want = [sum(range(5, 5 + i + 1)) for i in range(n)]
+        assert df.select(secrets.running_sums(df["a"]).alias("s")).first().s == want
+
+
 def test_awkward_rows(awkward, clashing, empty_docs):
     check(awkward)
     check(clashing)
