@@ -1,14 +1,14 @@
 """Operator 10: token ids in a bit-packed binary format.
 
 Format: documents in ascending doc_id order form shards, a shard is a sequence
-of blocks, a block is one row of a Parquet table: shard, block, bits, n_ids,
-payload (ids packed at ``bits`` bits each, little-endian bit order, no gaps),
-doc_ids, offsets (first id of each document in the block + total) and
-doc_crc32.  ``bits`` is the least that holds the vocabulary's largest id.  A
+of blocks, a block is one row of a Parquet table: shard, block, bits, first (ids
+before it in its shard), n_ids, payload (ids packed at ``bits`` bits each,
+little-endian bit order, no gaps), doc_ids and offsets (first id of each
+document in the block + total).  ``bits`` is the least that holds the vocabulary's largest id.  A
 block closes at the first document end after ``BLOCK_IDS`` ids, so the ids of a
 document are ``unpack(payload, bits, offsets[i], offsets[i + 1])``: one numpy
-call that touches only their bytes.  ``index`` turns the blocks' totals into
-global positions; Parquet's own commit makes shards appear once even if
+call that touches only their bytes.  ``shard_starts`` turns the shards' totals into
+global positions, so no payload is shuffled to be read; Parquet's own commit makes shards appear once even if
 executors are lost or tasks run twice.
 
 Encoding: a space before another character always begins a new piece of the
@@ -18,8 +18,10 @@ are encoded whole.  Results equal ``Tokenizer.encode`` on the text (tested).
 
 Defined cases: null text is empty; every document ends with id 0; an empty
 document is that one id; rows that repeat a doc_id follow each other in the
-order of their text's hash; null doc_ids come first; an empty table has no
-blocks.
+order of their text's hash; null doc_ids come first; a doc_id or a whole row that
+is repeated for a third of the table is spread over several shards; very long
+texts are encoded whole, each in one block; an empty table has no blocks; only
+``id_col`` and ``text_col`` are read, so other columns can have any name.
 """
 
 from __future__ import annotations
@@ -43,9 +45,11 @@ END_ID = 0
 BLOCK_IDS = 1 << 16
 #: Pieces kept in a task's table.
 KNOWN_PIECES = 300_000
+#: Shards whose starts are broadcast (16 bytes each); more are joined.
+BROADCAST_SHARDS = 1 << 20
 TOKENIZER = "byte_bpe_50k.json"
 
-BLOCK_SCHEMA = ("shard int, block int, bits int, n_ids long, payload binary, doc_ids array<long>, "
+BLOCK_SCHEMA = ("shard int, block int, bits int, first long, n_ids long, payload binary, doc_ids array<long>, "
                 "offsets array<long>")
 
 
@@ -54,8 +58,14 @@ def bits_for(vocabulary: int) -> int:
     return max(1, int(vocabulary - 1).bit_length())
 
 
+#: Widths of whole bytes are plain arrays.
+_WHOLE = {8: "<u1", 16: "<u2", 32: "<u4"}
+
+
 def pack(ids: np.ndarray, bits: int) -> bytes:
     """Ids at ``bits`` bits each, in groups that bound the temporary bit table."""
+    if bits in _WHOLE:
+        return ids.astype(_WHOLE[bits]).tobytes()
     step = 1 << 15  # a multiple of 8 ids ends on a byte
     out = []
     for a in range(0, len(ids), step):
@@ -69,6 +79,8 @@ def unpack(payload: bytes, bits: int, start: int, stop: int) -> np.ndarray:
     """Ids ``start`` to ``stop`` of a block, reading only their bytes."""
     if stop <= start:
         return np.zeros(0, np.uint32)
+    if bits in _WHOLE:
+        return np.frombuffer(payload, _WHOLE[bits], stop - start, start * bits // 8).astype(np.uint32)
     out = []
     step = 1 << 15
     for a in range(start, stop, step):
@@ -104,7 +116,7 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # whole pieces, and pre-tokens inside pieces that are none themselves
+        # pieces without their space, and pre-tokens inside pieces that are none themselves
         self.known, self.pieces, self.words = known, {}, {}
         spec = json.loads(self.tokenizer.to_str())
         split = spec["pre_tokenizer"] or {}
@@ -129,7 +141,7 @@ class Encoder:
             return self._ids(piece)
         out = b""
         for x in _SPLIT.findall(piece):
-            ids = self.pieces.get(x) or self.words.get(x)
+            ids = (self.pieces.get(x[1:]) if x[0] == " " else None) or self.words.get(x)
             if ids is None:
                 ids = self._ids(x)
                 if len(self.words) < self.known:
@@ -147,22 +159,30 @@ class Encoder:
         odd = [i for i, t in enumerate(texts)
                if not self.by_piece or "  " in t or any(s in t for s in self.special)]
         whole = dict(zip(odd, self._whole([texts[i] for i in odd])))
-        split = {}
+        split, new, firsts = {}, set(), set()
         for i, t in enumerate(texts):
             if i not in whole:
                 first, *rest = t.split(" ")  # the first piece has no space before it
-                split[i] = ([first] if first else []) + [" " + w for w in rest]
-        new = set()
-        for pieces in split.values():
-            new.update(pieces)
-        now = self._learn(new.difference(self.pieces))
-        self.pieces.update(now)
-        known = self.pieces.__getitem__
-        out = [whole[i] if i in whole else np.frombuffer(b"".join(map(known, split[i])), np.uint32)
-               for i in range(len(texts))]
-        if len(self.pieces) > self.known:  # keep the earlier ones, which the common words are among
-            for p in now:
-                del self.pieces[p]
+                found = list(map(self.pieces.get, rest))
+                gaps = [(k, rest[k]) for k, ids in enumerate(found) if ids is None] if None in found else []
+                split[i] = first, found, gaps
+                new.update(w for _, w in gaps)
+                firsts.add(first)
+        firsts.discard("")
+        begin = self._learn(firsts)
+        begin[""] = b""
+        now = {p[1:]: ids for p, ids in self._learn({" " + w for w in new}).items()}
+        out = []
+        for i in range(len(texts)):
+            if i in whole:
+                out.append(whole[i])
+                continue
+            first, found, gaps = split[i]
+            for k, w in gaps:
+                found[k] = now[w]
+            out.append(np.frombuffer(begin[first] + b"".join(found), np.uint32))
+        if len(self.pieces) < self.known:  # the earlier ones stay, which the common words are among
+            self.pieces.update(now)
         return out
 
 
@@ -182,17 +202,17 @@ def _pack_shard(path: str, bits: int, block_ids: int, end_id: int, known: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard, block = encoder_of(path, known), TaskContext.get().partitionId(), 0
         ids, docs = [], []
-        held = 0
+        held = first = 0
 
         def close():
-            nonlocal block, held
+            nonlocal block, held, first
             offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids])))
             row = pa.RecordBatch.from_arrays([
                 pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([bits], pa.int32()),
-                pa.array([int(offsets[-1])], pa.int64()), pa.array([pack(np.concatenate(ids), bits)], pa.binary()),
+                pa.array([first], pa.int64()), pa.array([held], pa.int64()), pa.array([pack(np.concatenate(ids), bits)], pa.binary()),
                 pa.array([docs], pa.list_(pa.int64())), pa.array([offsets.tolist()], pa.list_(pa.int64()))],
-                names=["shard", "block", "bits", "n_ids", "payload", "doc_ids", "offsets"])
-            block, held = block + 1, 0
+                names=["shard", "block", "bits", "first", "n_ids", "payload", "doc_ids", "offsets"])
+            block, held, first = block + 1, 0, first + held
             ids.clear()
             docs.clear()
             return row
@@ -221,28 +241,27 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, id_col: str = "doc_i
     """
     from tokenizers import Tokenizer
     bits = bits_for(Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True))
-    ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange(
-        "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # equal rows of different tasks stay apart, so that no repeated row fills a shard
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                        F.xxhash64(text_col).alias("key"), F.spark_partition_id().alias("part"))
+    order = ["doc_id", "key", "part"]
+    ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     ordered.mapInArrow(_pack_shard(tokenizer, bits, block_ids, end_id, known), BLOCK_SCHEMA).write.parquet(out)
 
 
-def index(blocks: DataFrame) -> DataFrame:
-    """(shard, block, first_id): global position of each block's first id.  One row per block."""
-    sizes = blocks.select("shard", "block", "n_ids")
-    shards = sizes.groupBy("shard").agg(F.sum("n_ids").alias("n"))
-    every = Window.orderBy("shard")  # one row per shard, as many as write tasks
-    shards = shards.select("shard", (F.sum("n").over(every) - F.col("n")).alias("shard_first"))
-    inside = Window.partitionBy("shard").orderBy("block")
-    sizes = sizes.withColumn("inside", F.sum("n_ids").over(inside) - F.col("n_ids"))
-    return sizes.join(shards, "shard").select("shard", "block", (F.col("shard_first") + F.col("inside")).alias("first_id"))
+def shard_starts(blocks: DataFrame) -> DataFrame:
+    """(shard, shard_first): ids before each shard.  One row per shard, as many as the write had tasks."""
+    shards = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
+    return shards.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("shard_first"))
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            crcs = [zlib.crc32(unpack(row["payload"], row["bits"], a, b).astype("<u4").tobytes())
-                    for a, b in zip(row["offsets"], row["offsets"][1:])]
             offsets = np.array(row["offsets"], np.int64)
+            raw = memoryview(unpack(row["payload"], row["bits"], 0, row["n_ids"]).astype("<u4", copy=False)).cast("B")
+            cuts = (offsets * 4).tolist()
+            crcs = [zlib.crc32(raw[a:b]) for a, b in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row["doc_ids"], pa.int64()), pa.array(offsets[:-1] + row["first_id"]),
                  pa.array(np.diff(offsets)), pa.array(crcs, pa.int64())],
@@ -251,8 +270,11 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_documents(blocks: DataFrame) -> DataFrame:
     """One row per document, read back from the blocks: doc_id, start, n_tokens, ids_crc32."""
-    placed = blocks.join(index(blocks), ["shard", "block"])
-    return placed.select("bits", "payload", "doc_ids", "offsets", "first_id").mapInArrow(
+    starts = shard_starts(blocks)
+    if blocks.select("shard").distinct().count() <= BROADCAST_SHARDS:
+        starts = F.broadcast(starts)
+    placed = blocks.join(starts, "shard").withColumn("first_id", F.col("shard_first") + F.col("first"))
+    return placed.select("bits", "n_ids", "payload", "doc_ids", "offsets", "first_id").mapInArrow(
         _read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -75,3 +75,26 @@ def test_random_access(spark, documents):
     encoder = tokenbin.Encoder(tokenizer_path())
     ids = tokenbin.unpack(bytes(row.payload), row.bits, row.offsets[i], row.offsets[i + 1])
     assert ids.tolist() == encoder._whole([texts[row.doc_ids[i]]])[0].tolist() + [0]
+
+
+def test_repeated_row_spreads_over_shards(spark):
+    from quitanda.session import scratch_path
+    rows = spark.range(0, 4000, 1, 8).selectExpr("if(id % 2 = 0, 6, id) as doc_id", "if(id % 2 = 0, 'same text', 'own') as text")
+    out, merge = scratch_path(spark, "test-tokens"), "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merge)
+    try:
+        spark.conf.set(merge, "false")  # the table is small
+        tokenbin.write_tokens(rows, out, tokenizer_path(), block_ids=500)
+    finally:
+        spark.conf.set(merge, before)
+    blocks = spark.read.parquet(out)
+    assert len({b.shard for b in blocks.collect() if 6 in b.doc_ids}) > 1
+    got = sorted(map(tuple, tokenbin.read_documents(blocks).collect()), key=lambda r: r[1])
+    pairs = sorted((r.doc_id, r.text) for r in rows.collect())
+    assert sorted(got) == sorted(expected_rows(pairs))
+    limit = tokenbin.BROADCAST_SHARDS
+    try:
+        tokenbin.BROADCAST_SHARDS = 0  # the plain join gives the same
+        assert sorted(map(tuple, tokenbin.read_documents(blocks).collect())) == sorted(got)
+    finally:
+        tokenbin.BROADCAST_SHARDS = limit
