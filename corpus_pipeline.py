@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and works on every row its predecessor
 kept; the caller writes its result as Parquet and reads it back for the next.
 All but the last return the columns of ``documents``.
+
+Defined cases of every stage: extra columns of any name pass through unchanged up
+to the last stage; very long texts are read whole; an empty table gives an empty
+result.  Null, empty and letterless texts go in the language stage; a null doc_id
+is an id like others; repeated rows are copies, of which the near-duplicate stage
+keeps one.  What each operator makes of ties is in its module.
 """
 
 from __future__ import annotations

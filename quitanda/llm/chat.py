@@ -19,9 +19,10 @@ in the formatted string.
 
 Defined cases: null role and null text are empty; turns are ordered by turn
 (null first), role and text, so that repeated turns have one order; rows with a
-null conv_id are one conversation; an empty table gives no rows.  A
-conversation is one output string, so its turns meet in one row; nothing wider
-than a conversation does.
+null conv_id are one conversation; repeated rows are turns of their own; an
+empty table gives no rows; very long texts are rendered whole; only the four named
+columns are read, so others can have any name.  A conversation is one output
+string, so its turns meet in one row; nothing wider than a conversation does.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ directory's answer.
 
 Defined cases: null and empty texts have no licence of their own; null paths
 have no directory and inherit nothing; repeated rows get equal results; an empty
-table gives no rows.
+table gives no rows; very long texts are scanned whole; only the named columns are
+read, so others can have any name.
 """
 
 from __future__ import annotations

@@ -15,7 +15,9 @@ every labelled one.  The forest (at most ``2 * SAMPLE`` nodes a tree) is the onl
 Defined cases: null, empty and word-less texts have statistics 0, fail the base
 rule and are not kept; without any label, the base rules alone decide; labels
 that are null or repeat a doc_id count by their mean, rounded; repeated rows
-score alike.
+score alike; very long texts are counted whole, in parts of a batch; an empty
+table gives no rows; only the id and text columns are read, so others can have any
+name.
 """
 
 from __future__ import annotations
