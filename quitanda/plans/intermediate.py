@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quitanda.functions import (any_value, days_between, distinct_list, exact_avg, exact_sum,
                                 exact_sum_if, flag, latest_by, month_start)
+from quitanda.operators.distinct import aggregate_distinct
 from quitanda.operators.joins import left_join_fill_many
 
 PAYMENT_KINDS = ["credit_card", "boleto", "voucher", "debit_card"]
@@ -31,15 +32,19 @@ def int_geolocation_zip(stg_geolocation: DataFrame) -> DataFrame:
 
 
 def int_order_items_by_order(stg_order_items: DataFrame) -> DataFrame:
-    return (stg_order_items.groupBy("order_id")
-            .agg(F.count(F.lit(1)).alias("item_count"),
-                 F.count_distinct("product_id").alias("unique_product_count"),
-                 F.count_distinct("seller_id").alias("unique_seller_count"),
-                 exact_sum("price").alias("order_item_value"),
-                 exact_sum("freight_value").alias("order_freight_value"),
-                 exact_sum("item_total_value").alias("order_total_value"),
-                 F.min("shipping_limit_date").alias("first_shipping_limit_date"),
-                 F.max("shipping_limit_date").alias("last_shipping_limit_date")))
+    rolled = aggregate_distinct(
+        stg_order_items, "order_id",
+        {"unique_product_count": "product_id", "unique_seller_count": "seller_id"},
+        {"item_count": ("rows", None),
+         "order_item_value": ("exact", F.col("price")),
+         "order_freight_value": ("exact", F.col("freight_value")),
+         "order_total_value": ("exact", F.col("item_total_value")),
+         "first_shipping_limit_date": ("min", F.col("shipping_limit_date")),
+         "last_shipping_limit_date": ("max", F.col("shipping_limit_date"))})
+    money = [F.col(c).cast("double").alias(c)
+             for c in ("order_item_value", "order_freight_value", "order_total_value")]
+    return rolled.select("order_id", "item_count", "unique_product_count", "unique_seller_count", *money,
+                         "first_shipping_limit_date", "last_shipping_limit_date")
 
 
 def int_payments_by_order(stg_order_payments: DataFrame) -> DataFrame:
