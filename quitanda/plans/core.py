@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quitanda.functions import (day_name, days_between, iso_day_of_week, is_weekend,
                                 month_start, quarter_start, region_of, weight_class,
                                 year_month, year_start)
+from quitanda.plans.staging import ITEM_COLUMNS, item_values
 
 FALLBACK_FIRST_DAY = "2016-01-01"
 
@@ -130,7 +131,7 @@ ITEM_ORDER_ATTRS = ["customer_id", "order_status", "order_purchase_timestamp",
 def items_with_context(stg_order_items: DataFrame, fct_orders_df: DataFrame,
                        dim_products_df: DataFrame, dim_sellers_df: DataFrame,
                        more: tuple[str, ...] = ()) -> DataFrame:
-    """Item lines ⟕ seller ⟕ product ⟕ order facts, all on unique right keys.
+    """Item lines ⟕ product ⟕ seller ⟕ order facts, all on unique right keys.
 
     ``more`` names further order attributes to take from the same join.
     """
@@ -138,14 +139,15 @@ def items_with_context(stg_order_items: DataFrame, fct_orders_df: DataFrame,
     p = dim_products_df.select("product_id", "product_category_name",
                                "product_category_name_english", "product_weight_class")
     s = dim_sellers_df.select("seller_id", "seller_city", "seller_state", "seller_region")
-    # Each join re-shuffles the item stream on a new key unless AQE broadcasts
-    # the (runtime-measured) dimension; joining the narrow seller and product
-    # attributes first keeps the earlier shuffles narrow, the wide order
-    # attributes come last.
-    return (stg_order_items
-            .join(s, "seller_id", "left")
-            .join(p, "product_id", "left")
-            .join(o, "order_id", "left"))
+    # Each join re-shuffles the item stream on a new key unless the dimension is
+    # small enough to broadcast, so the stream is kept narrow: only the base
+    # columns of a line go through (its computed values are added behind the
+    # joins), products come first (they are many), the wide order attributes last.
+    joined = (stg_order_items.select(*ITEM_COLUMNS)
+              .join(p, "product_id", "left")
+              .join(s, "seller_id", "left")
+              .join(o, "order_id", "left"))
+    return joined.select("*", *item_values())
 
 
 def fct_order_items(stg_order_items: DataFrame, fct_orders_df: DataFrame,

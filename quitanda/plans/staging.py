@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quitanda.functions import blank_to_null, flag, has_text, norm_lower, norm_upper
@@ -52,16 +52,25 @@ def stg_orders(orders: DataFrame) -> DataFrame:
     )
 
 
+# Columns of an item line that no other of its columns gives.
+ITEM_COLUMNS = ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"]
+
+
 def stg_order_items(order_items: DataFrame) -> DataFrame:
     return order_items.select(
         "order_id", "order_item_id", "product_id", "seller_id",
-        "shipping_limit_date",
+        "shipping_limit_date", *item_values()[:1], "price", "freight_value", *item_values()[1:],
+    )
+
+
+def item_values() -> list[Column]:
+    """What is computed from ``ITEM_COLUMNS``."""
+    return [
         F.to_date("shipping_limit_date").alias("shipping_limit_date_day"),
-        "price", "freight_value",
         F.lit(1).cast("decimal(18,0)").alias("item_quantity"),
         F.col("price").alias("item_revenue"),
         (F.col("price") + F.col("freight_value")).alias("item_total_value"),
-    )
+    ]
 
 
 def stg_order_payments(order_payments: DataFrame) -> DataFrame:

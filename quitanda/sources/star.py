@@ -4,8 +4,8 @@ The reference ships no data besides one seed, so the raw inputs are mapped
 from the driver tables (customer, orders, lineitem, part, supplier, events)
 by fixed, deterministic rules.  Every rule is a built-in column expression;
 the only shuffles are the orders ⟕ customer join (customer attributes per
-order) and the per-order numbering of lines.  Lines are numbered slice by slice
-and written once, and only for what reads the number.
+order) and the per-order numbering of lines, only for what reads the number;
+lines of hot orders are numbered slice by slice and written once.
 """
 
 from __future__ import annotations
@@ -97,13 +97,14 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_order_items(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataFrame:
     """lineitem rows; the item number is the line's rank inside its order.
 
-    Numbering writes the lines once when it is asked for, so an order with a third
-    of all lines is spread over tasks; without it the number is NULL.
+    Numbering first counts lines and writes those of hot orders once, so an order with
+    a third of all lines is spread over tasks; without it the number is NULL.
     """
     li = read_driver(spark, sf_dir, "lineitem")
     number = F.lit(None).cast("bigint")
     if numbered:
-        li = number_within(li.select("l_orderkey", *LINE_ORDER), "l_orderkey", LINE_ORDER, "order_item_id")
+        li = number_within(li.select("l_orderkey", *LINE_ORDER), "l_orderkey", LINE_ORDER, "order_item_id",
+                           hot_only=True)
         number = F.col("order_item_id")
     df = li.select(
         F.col("l_orderkey").cast("string").alias("order_id"),

@@ -87,3 +87,19 @@ def test_models_without_the_number_neither_write_nor_sort_lines(spark, monkeypat
         assert "row_number" not in plan
     with pytest.raises(pytest.fail.Exception):
         wh.model("fct_order_items")
+
+
+def test_lines_of_ordinary_orders_are_not_written(spark, monkeypatch):
+    """Only hot keys are sliced: a table without any is numbered in one shuffle."""
+    import quitanda.operators.numbering as numbering
+    monkeypatch.setattr(numbering, "scratch_path", lambda *a, **k: pytest.fail("lines were written"))
+    df = spark.range(3000).select((F.col("id") % 700).alias("k"), F.xxhash64("id").alias("a"))
+    got = number_within(df, "k", ["a"], "n", hot_only=True)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted(got.collect()) == sorted(plain(df, "k", ["a"]).collect())
+
+
+def test_hot_keys_apart(skewed):
+    for slices in (None, 5):
+        got = number_within(skewed, "k", ["a", "b"], "n", slices=slices, hot_only=True)
+        assert sorted(got.collect(), key=str) == sorted(plain(skewed, "k", ["a", "b"]).collect(), key=str)
