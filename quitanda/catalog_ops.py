@@ -16,6 +16,7 @@ from quitanda.functions import (any_value, avg_if, blank_to_null, day_name, days
                                 exact_sum_if, month_key, month_start, norm_lower, norm_upper,
                                 quarter_start, region_of, safe_divide, weight_class, year_month,
                                 year_start)
+from quitanda.operators.distinct import aggregate_distinct
 from quitanda.operators.joins import attach_scalar, left_join_fill, orphans
 from quitanda.operators.numbering import number_within
 from quitanda.plans.models import Warehouse
@@ -134,10 +135,9 @@ register("agg_distinct_list",
 
 # Exact distinct counts (several in one aggregate)
 register("agg_count_distinct",
-         lambda s, d: _m(s, d, "fct_order_items").groupBy("seller_id")
-         .agg(F.count_distinct("order_id").alias("orders_count"),
-              F.count_distinct("product_id").alias("products_count"),
-              F.count_distinct("customer_id").alias("customers_count")),
+         lambda s, d: aggregate_distinct(
+             Warehouse.from_star(s, d).model("fct_order_items", derived=False), "seller_id",
+             {"orders_count": "order_id", "products_count": "product_id", "customers_count": "customer_id"}),
          _W("SELECT seller_id, count(DISTINCT order_id) AS orders_count, "
             "count(DISTINCT product_id) AS products_count, count(DISTINCT customer_id) AS customers_count "
             "FROM fct_order_items GROUP BY seller_id", ["fct_order_items"]))
@@ -272,10 +272,10 @@ register("fn_month_key",
             "count(*) AS orders FROM fct_orders GROUP BY 1", ["fct_orders"]))
 
 
-# Skew-safe numbering inside a key: rows cut into ordered slices, numbered per slice.
+# Skew-safe numbering inside a key: rows of hot keys cut into ordered slices, numbered per slice.
 def _num_within_order(s: SparkSession, d: str) -> DataFrame:
     li = read_driver(s, d, "lineitem")
-    return number_within(li, "l_orderkey", LINE_ORDER, "line_rank").select(
+    return number_within(li, "l_orderkey", LINE_ORDER, "line_rank", hot_only=True).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "line_rank")
 
 

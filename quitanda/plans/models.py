@@ -177,8 +177,10 @@ class Warehouse:
     def table(self, ref: str) -> DataFrame:
         return self._resolve(ref, True)
 
-    def model(self, name: str) -> DataFrame:
-        derived = any(name in readers for readers in DERIVED_BY.values())
+    def model(self, name: str, derived: bool | None = None) -> DataFrame:
+        """A model's plan; ``derived=False`` leaves the columns of ``DERIVED_BY`` NULL where nothing reads them."""
+        if derived is None:
+            derived = any(name in readers for readers in DERIVED_BY.values())
         return self._resolve(name, derived)
 
     def _resolve(self, ref: str, derived: bool) -> DataFrame:

@@ -63,3 +63,22 @@ def test_hot_month_is_cut_into_sorted_files(spark):
     one = spark.read.parquet(files.where(f"{MONTH_COLUMN} = 202405").first().f)
     got = [r.k for r in one.select("k").collect()]
     assert got == sorted(got)
+
+
+def test_item_stream_stays_narrow(spark):
+    """What a line's own columns give is computed behind the joins, not sent through their shuffles."""
+    wh = Warehouse.from_star(spark, SF_SMALL)
+    for name in ("fct_order_items", "mart_dashboard_sales_detail"):
+        lines = plan_of(wh.model(name)).splitlines()
+        joins = [i for i, line in enumerate(lines) if "Join" in line]
+        assert any("item_total_value" in line for line in lines[:joins[0]]), name
+        assert not any("item_total_value" in line or "item_revenue" in line for line in lines[joins[0]:]
+                       if "Project" in line), name
+
+
+def test_distinct_counts_of_lines_are_not_numbered(spark, monkeypatch):
+    import pytest
+    import quitanda.sources.star as star
+    from quitanda.catalog import QUERIES
+    monkeypatch.setattr(star, "number_within", lambda *a, **k: pytest.fail("lines were numbered"))
+    assert QUERIES["agg_count_distinct"](spark, SF_SMALL).count() > 0
