@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quitanda.functions import (any_value, days_between, exact_avg, exact_sum, month_start,
                                 rfm_segment, safe_divide)
+from quitanda.operators.distinct import aggregate_distinct
 from quitanda.plans.core import items_with_context
 
 ORDER_MEASURE_NAMES = [
@@ -84,24 +85,30 @@ def mart_customer_rfm(fct_orders: DataFrame) -> DataFrame:
                  rfm_segment("total_orders", "monetary_value", "recency_days"))
 
 
-def _item_measures() -> list[Column]:
-    return [
-        F.count(F.lit(1)).alias("item_lines_count"),
-        F.count_distinct("order_id").alias("orders_count"),
-    ]
+def _by_item_key(fct_order_items: DataFrame, key: str, distinct: dict[str, str], averages: dict[str, str]) -> DataFrame:
+    """Numbers of the item lines of a product or seller; ``averages`` names whole-number columns to average."""
+    rolled = aggregate_distinct(
+        fct_order_items, key, {"orders_count": "order_id", **distinct},
+        {"item_lines_count": ("rows", None),
+         "revenue": ("exact", F.col("item_revenue")),
+         "freight_revenue": ("exact", F.col("freight_value")),
+         "gross_revenue": ("exact", F.col("item_total_value")),
+         "_price": ("exact", F.col("price")), "_prices": ("count", F.col("price")),
+         "late_item_lines_count": ("count", F.when(_late(), 1)),
+         **{f"_{name}_sum": ("sum", F.col(c).cast("double")) for name, c in averages.items()},
+         **{f"_{name}_n": ("count", F.col(c)) for name, c in averages.items()}})
+    return rolled.select(
+        key, "item_lines_count", "orders_count", *distinct,
+        *[F.col(c).cast("double").alias(c) for c in ("revenue", "freight_revenue", "gross_revenue")],
+        safe_divide("_price", "_prices").alias("avg_item_price"),
+        *[safe_divide(f"_{name}_sum", f"_{name}_n").alias(name) for name in averages],
+        "late_item_lines_count")
 
 
 def mart_product_performance(fct_order_items: DataFrame, dim_products: DataFrame) -> DataFrame:
     """Numbers per product first; its descriptions are joined to the few rows that are left."""
-    measures = (fct_order_items.groupBy("product_id")
-                .agg(*_item_measures(),
-                     F.count_distinct("seller_id").alias("sellers_count"),
-                     exact_sum("item_revenue").alias("revenue"),
-                     exact_sum("freight_value").alias("freight_revenue"),
-                     exact_sum("item_total_value").alias("gross_revenue"),
-                     exact_avg("price").alias("avg_item_price"),
-                     F.avg("latest_review_score").alias("avg_review_score"),
-                     F.count_if(_late()).alias("late_item_lines_count")))
+    measures = _by_item_key(fct_order_items, "product_id", {"sellers_count": "seller_id"},
+                            {"avg_review_score": "latest_review_score"})
     named = ["product_category_name", "product_category_name_english", "product_weight_class"]
     return (measures.join(dim_products.select("product_id", *named), "product_id", "left")
             .select("product_id", *named, *measures.columns[1:]))
@@ -109,19 +116,13 @@ def mart_product_performance(fct_order_items: DataFrame, dim_products: DataFrame
 
 def mart_seller_performance(fct_order_items: DataFrame, dim_sellers: DataFrame) -> DataFrame:
     """Numbers per seller first; its descriptions are joined to the few rows that are left."""
-    measures = (fct_order_items.groupBy("seller_id")
-                .agg(*_item_measures(),
-                     F.count_distinct("product_id").alias("products_count"),
-                     exact_sum("item_revenue").alias("revenue"),
-                     exact_sum("freight_value").alias("freight_revenue"),
-                     exact_sum("item_total_value").alias("gross_revenue"),
-                     exact_avg("price").alias("avg_item_price"),
-                     F.avg("actual_delivery_days").alias("avg_delivery_days"),
-                     F.count_if(_late()).alias("late_item_lines_count"),
-                     F.avg("latest_review_score").alias("avg_review_score")))
+    measures = _by_item_key(fct_order_items, "seller_id", {"products_count": "product_id"},
+                            {"avg_delivery_days": "actual_delivery_days", "avg_review_score": "latest_review_score"})
     named = ["seller_city", "seller_state", "seller_region"]
     return (measures.join(dim_sellers.select("seller_id", *named), "seller_id", "left")
-            .select("seller_id", *named, *measures.columns[1:]))
+            .select("seller_id", *named, "item_lines_count", "orders_count", "products_count", "revenue",
+                    "freight_revenue", "gross_revenue", "avg_item_price", "avg_delivery_days", "late_item_lines_count",
+                    "avg_review_score"))
 
 
 def mart_delivery_performance(fct_orders: DataFrame) -> DataFrame:

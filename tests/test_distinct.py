@@ -33,7 +33,8 @@ def test_equals_count_distinct(spark):
 def test_rows_are_combined_behind_the_shuffle(spark):
     """The copies of a row go straight into a shuffle; no aggregate runs in the tasks that read them."""
     wh = Warehouse.from_star(spark, SF_SMALL)
-    for name in ("int_order_items_by_order",):
+    for name in ("int_order_items_by_order", "int_orders_enriched", "fct_orders", "mart_product_performance",
+                 "mart_seller_performance"):
         lines = wh.model(name)._jdf.queryExecution().executedPlan().toString().splitlines()
         expand = max(i for i, line in enumerate(lines) if "Expand" in line)
         above = next(line for line in reversed(lines[:expand]) if "Exchange" in line or "Aggregate" in line)
