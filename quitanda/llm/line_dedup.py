@@ -4,8 +4,9 @@ Method: a line is the set of its words (lower case).  Words are ordered by
 rarity, the rarest first.  Two lines with Jaccard ``threshold`` share a word of
 their prefixes, so only prefix words make postings.  The length filter, the
 positional filter (what lies before and after a shared word bounds the overlap)
-and the number of shared prefix words drop pairs, the rest are verified on the
-whole sets.  A line is removed if an earlier line, by
+and a bitmap of each set (bits of the parity of its words: two sets differ in at
+least as many words as bits) drop pairs where they meet, the rest are verified on
+the whole sets.  A line is removed if an earlier line, by
 (doc_id, text, line number), is similar; the first one stays.
 
 Equal sets are one class before the join.  The lines of each of a line's two
@@ -31,15 +32,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quitanda.llm.common import SEPARATOR, same, stored, text_key
+from quitanda.llm.common import same, stored, text_key
 
 THRESHOLD = 80
 RANK_BITS = 16
 
 
+#: Sets of more words have 128 bits, else 64.
+WIDE = 80
+
+
+def split_words(text: Column) -> Column:
+    """Lower-case words of a text and empty strings; splitting on one plain space needs no pattern."""
+    spaced = F.when(text.rlike(r"[\x09-\x0D]"), F.translate(text, "\t\n\x0b\x0c\r", " " * 5)).otherwise(text)
+    return F.split(F.lower(spaced), " ", -1)
+
+
 def word_set(line: Column) -> Column:
     """Distinct word hashes of a line."""
-    return F.array_distinct(F.transform(F.array_remove(F.split(F.lower(line), SEPARATOR), ""), lambda w: F.xxhash64(w)))
+    return F.array_distinct(F.transform(F.array_remove(split_words(line), ""), lambda w: F.xxhash64(w)))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -50,7 +61,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
 def rarity(docs: DataFrame) -> Column:
     """Array literal for each hash bucket: the rank (0 to 126) of how often its words occur, in the upper byte."""
     size = 1 << RANK_BITS
-    words = docs.select(F.explode(F.split(F.lower("text"), SEPARATOR)).alias("w"))
+    words = docs.select(F.explode(split_words(F.col("text"))).alias("w"))
     counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(size - 1)).alias("b")).agg(F.count("*").alias("c"))
     ranks = counts.select(F.col("b").cast("int").alias("b"), F.least(F.lit(126), F.floor(F.log2("c") * 4).cast("int")).alias("r"))
     table = ["0"] * size
@@ -65,18 +76,27 @@ def by_rarity(words: Column, ranks: Column) -> Column:
                                     .bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))))
 
 
+def _parity(words: str, which: str = "") -> str:
+    """64 bits of a set, in SQL: each the parity of how many words (``which`` of them) fall on it."""
+    bit = "shiftleft(1L, cast(w & 63 as int))"
+    return f"aggregate({words}, 0L, (a, w) -> a ^ {f'if({which}, {bit}, 0L)' if which else bit})"
+
+
 def shaped_lines(docs: DataFrame, threshold: int) -> tuple[DataFrame, Column]:
-    """Stored lines with a word (doc_id, text_key, line_no, node, size, prefix), and the rank table.
+    """Stored lines with a word (doc_id, text_key, line_no, node, size, prefix, bits, more), and the rank table.
 
-    ``node`` is the hash of the whole set, ``prefix`` its first words by rarity (32 bits of each).
+    ``node`` is the hash of the whole set, ``prefix`` its first words by rarity (32 bits of each),
+    ``bits`` the parities of its words, ``more`` those of every second hash in sets of over ``WIDE`` words, else 0.
     """
-    lines = lines_of(docs).withColumn("words", word_set(F.col("line"))).where("size(words) > 0")
+    lines = lines_of(docs).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
     ranks = rarity(docs)
-    ordered = lines.select("doc_id", "text_key", "line_no", by_rarity(F.col("words"), ranks).alias("words"))
+    ordered = lines.select("doc_id", "text_key", "line_no", by_rarity(word_set(F.col("line")), ranks).alias("words"))
     return stored(ordered.select(
         "doc_id", "text_key", "line_no", F.xxhash64("words").alias("node"), F.size("words").alias("size"),
         F.expr(f"transform(slice(words, 1, cast(size(words) - ceil({threshold} * size(words) / 100d) + 1 as int)),"
                " w -> cast((w & 4294967295) - 2147483648 as int))").alias("prefix"),
+        F.expr(_parity("words")).alias("bits"),
+        F.expr(f"if(size(words) > {WIDE}, {_parity('words', '(w & 64) <> 0')}, 0L)").alias("more"),
     ), "lines-shaped"), ranks
 
 
@@ -85,21 +105,34 @@ def _need(threshold: int, x: str = "x.size", c: str = "c.size") -> str:
     return f"ceil({threshold} * ({x} + {c}) / {100 + threshold}d)"
 
 
+def _bits_allow(threshold: int) -> str:
+    """Whether the bitmaps of x and c leave the least overlap, in SQL: each differing bit is a word of only one set.
+
+    The 64 bits are the two halves of the 128 folded, so a wide set still meets a small one.
+    """
+    wide = f"x.size > {WIDE} and c.size > {WIDE}"
+    differ = (f"if({wide}, bit_count(x.bits ^ x.more ^ c.bits ^ c.more) + bit_count(x.more ^ c.more),"
+              " bit_count(x.bits ^ c.bits))")
+    return f"x.size + c.size - {differ} >= 2 * {_need(threshold)}"
+
+
 def _candidate(threshold: int) -> str:
     """Filters of a word that x and the earlier c share, in SQL.
 
     At most the words before it, itself and the words after it are shared.
     """
     return (f"x.node <> c.node and c.doc <= x.doc and 100 * least(x.size, c.size) >= {threshold} * greatest(x.size, c.size)"
-            f" and least(x.pos, c.pos) + least(x.size - x.pos, c.size - c.pos) >= {_need(threshold)}")
+            f" and least(x.pos, c.pos) + least(x.size - x.pos, c.size - c.pos) >= {_need(threshold)}"
+            f" and {_bits_allow(threshold)}")
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Column, threshold: int) -> DataFrame:
     """Nodes of the later classes of the pairs (x, c) that are similar; sets are made anew from their first lines."""
     nodes = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("c").alias("node"))).distinct()
-    refs = classes.join(nodes, "node", "left_semi").select("node", "ref.*").groupBy(
+    # stored, so that its size is known and few documents are looked up without a shuffle of all texts
+    refs = stored(classes.join(nodes, "node", "left_semi").select("node", "ref.*").groupBy(
         F.col("doc_id").alias("d"), F.col("text_key").alias("k")).agg(
-        F.collect_list(F.struct("line_no", "node")).alias("wanted"))  # at most the lines of one document
+        F.collect_list(F.struct("line_no", "node")).alias("wanted")), "lines-wanted")  # at most the lines of one document
     found = docs.join(refs, same(F.col("doc_id"), F.col("d")) & (F.col("text_key") == F.col("k")))
     found = found.select(F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("w")).select(
         F.col("w.node").alias("node"), F.element_at("lines", F.col("w.line_no") + 1).alias("line"))
@@ -118,7 +151,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Colu
 
 def _postings(classes: DataFrame, prefix: str) -> DataFrame:
     first = F.coalesce(F.col("ref.doc_id"), F.lit(-(1 << 63)))  # null comes first
-    return classes.select("node", first.alias("doc"), "size", F.posexplode(F.expr(prefix)).alias("pos", "word"))
+    return classes.select("node", first.alias("doc"), "size", "bits", "more", F.posexplode(F.expr(prefix)).alias("pos", "word"))
 
 
 def _meetings(marked: DataFrame, threshold: int) -> list[tuple[DataFrame, DataFrame]]:
@@ -141,7 +174,7 @@ def _sharing(probe: DataFrame, index: DataFrame, threshold: int) -> DataFrame:
     need = _need(threshold)
     return probe.alias("x").join(index.alias("c"), "word").where(
         f"x.node <> c.node and x.size >= c.size and 100 * c.size >= {threshold} * x.size"
-        f" and least(x.pos, c.pos) + least(x.size - x.pos, c.size - c.pos) >= {need}").select(
+        f" and least(x.pos, c.pos) + least(x.size - x.pos, c.size - c.pos) >= {need} and {_bits_allow(threshold)}").select(
         F.col("x.node").alias("x"), F.col("c.node").alias("c"), F.col("x.size").alias("xs"), F.col("c.size").alias("cs"),
         F.least(F.expr("x.size - x.pos"), F.expr("c.size - c.pos")).alias("rest"))
 
@@ -149,13 +182,16 @@ def _sharing(probe: DataFrame, index: DataFrame, threshold: int) -> DataFrame:
 def later_matches(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, text_key, line_no, removed) of every line with a word; ``docs``: doc_id (long), text_key, text."""
     shaped, ranks = shaped_lines(docs, threshold)
-    classes = stored(shaped.groupBy("node").agg(
+    # behind here ``node`` is a number given when the classes are written: postings of it take less than of a hash
+    classes = stored(shaped.groupBy(F.col("node").alias("hash")).agg(
         F.min(F.struct("doc_id", "text_key", "line_no")).alias("ref"), F.first("size").alias("size"),
-        F.first("prefix").alias("prefix")), "lines-classes")
+        *[F.first(c).alias(c) for c in ("prefix", "bits", "more")])
+        .withColumn("node", F.monotonically_increasing_id()), "lines-classes")
 
     # first round: lines that share their two rarest words (the only one of short lines) with the earliest of them
     rare = _postings(classes, "slice(prefix, 1, 2)")
-    earliest = rare.groupBy("word").agg(F.min(F.struct("doc", "node", "size", "pos")).alias("c")).select("word", "c.*")
+    earliest = rare.groupBy("word").agg(
+        F.min(F.struct("doc", "node", "size", "pos", "bits", "more")).alias("c")).select("word", "c.*")
     met = rare.alias("x").join(earliest.alias("c"), "word").where(_candidate(threshold)).groupBy(
         F.col("x.node").alias("x"), F.col("c.node").alias("c")).agg(F.count("*").alias("m"), F.max("x.size").alias("size"))
     short = f"size - ceil({threshold} * size / 100d) + 1"
@@ -174,8 +210,8 @@ def later_matches(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     rest = stored(rest.join(pairs, ["x", "c"], "left_anti"), "lines-rest")
     gone = gone.unionByName(_verified(rest, classes, docs, ranks, threshold)).distinct()
 
-    firsts = classes.join(gone.withColumn("g", F.lit(1)), "node", "left").select("node", "ref", "g")
-    return shaped.select("doc_id", "text_key", "line_no", "node").join(firsts, "node").select(
+    firsts = classes.join(gone.withColumn("g", F.lit(1)), "node", "left").select("hash", "ref", "g")
+    return shaped.select("doc_id", "text_key", "line_no", F.col("node").alias("hash")).join(firsts, "hash").select(
         "doc_id", "text_key", "line_no",
         (F.col("g").isNotNull() | (F.struct("doc_id", "text_key", "line_no") != F.col("ref"))).alias("removed"))
 
@@ -186,7 +222,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(F.col(text_col)).alias("text_key"),
                        F.col(text_col).cast("string").alias("text"))
     lines = later_matches(base, threshold).groupBy("doc_id", "text_key").agg(
-        F.countDistinct("line_no").alias("n_lines"), F.collect_set(F.when(F.col("removed"), F.col("line_no"))).alias("removed"))
+        F.size(F.collect_set("line_no")).alias("n_lines"), F.collect_set(F.when(F.col("removed"), F.col("line_no"))).alias("removed"))
     every = base.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"))
     found = every.join(lines, same(F.col("doc_id"), F.col("d")) & (F.col("text_key") == F.col("k")), "left")
     removed = F.coalesce(F.sort_array("removed"), F.array().cast("array<int>"))

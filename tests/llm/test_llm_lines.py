@@ -103,3 +103,29 @@ def test_awkward_rows(spark, awkward, clashing, empty_docs):
     got = {(r.doc_id, r.text) for r in texts.collect()}
     assert (8, "Ein kurzer Satz über Äpfel\n") in got and (3, None) in got and (4, "") in got
     assert sum("fox" in (t or "") for _, t in got) == 1
+
+
+@pytest.mark.parametrize("size,vocabulary", [(36, 120), (120, 500)])
+def test_lines_that_only_share_rare_words_are_dropped_where_they_meet(spark, size, vocabulary):
+    """Their bitmaps tell that too many words differ, so no pair of them is shuffled or looked up."""
+    from pyspark.sql import functions as F
+    rng = random.Random(size)
+    rows = [(d, " ".join([f"rare{d % 6}", f"seldom{d % 6}"] + rng.sample([f"v{i}" for i in range(vocabulary)], size - 2)))
+            for d in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    shaped, _ = line_dedup.shaped_lines(docs.withColumn("text_key", F.xxhash64("text")), 80)
+    classes = shaped.withColumn("ref", F.struct("doc_id")).withColumn("open", F.lit(True))
+    pairs = sum(line_dedup._sharing(p, i, 80).count() for p, i in line_dedup._meetings(classes, 80))
+    assert pairs < 120  # each meets the 19 others of its two rare words
+    assert found(docs) == brute(rows)
+
+
+@pytest.mark.parametrize("threshold", [60, 80])
+def test_lines_around_the_wide_size_match_brute_force(spark, threshold):
+    rng = random.Random(threshold)
+    base = [f"b{i}" for i in range(110)]
+    rows = []
+    for d in range(100):
+        line = rng.sample(base, rng.randint(line_dedup.WIDE - 15, 110)) + [f"x{rng.randrange(6)}" for _ in range(3)]
+        rows.append((d, rng.choice(["\t", "\x0b", "  "]).join(line)))
+    assert found(spark.createDataFrame(rows, "doc_id long, text string"), threshold=threshold) == brute(rows, threshold)
