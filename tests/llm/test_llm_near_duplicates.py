@@ -135,6 +135,14 @@ def test_keep_first_keeps_one_row_of_each_group(awkward, empty_docs, documents):
     assert sorted(r.doc_id for r in neardup.keep_first(documents).collect()) == sorted({c for _, _, c in sizes})
 
 
+def test_keep_first_shuffles_whole_rows_once(spark, documents):
+    kept = neardup.keep_first(documents)
+    plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(kept._jdf.queryExecution(), "formatted")
+    whole = [cols for cols in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan) if re.search(r"\b(row|first)#", cols)]
+    assert len(whole) == 1
+    assert len(re.findall(r"\) MapInArrow\n", plan)) == 1  # sets of the rows are made once for both kinds of row
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(3)
     a = np.unique(rng.integers(0, 1 << 63, 400, dtype=np.uint64))
