@@ -9,11 +9,11 @@ least as many words as bits) drop pairs where they meet, the rest are verified o
 the whole sets.  A line is removed if an earlier line, by
 (doc_id, text, line number), is similar; the first one stays.
 
-Equal sets are one class before the join.  The lines of each of a line's two
-rarest words are first paired with the earliest alone, if that is the same for
-both; lines that this removes need no other pair.  Only the lines left over are joined with every earlier line:
+Equal sets are one class before the join.  Each line is first paired with one earlier line alone: of the
+earliest lines of its ``FIRST_WORDS`` rarest words the one that most of them name (two at least); lines that
+this removes need no other pair.  Only the lines left over are joined with every earlier line:
 the larger set of two probes with its whole prefix, the smaller is indexed by its rarest ``n - 2 t n / (1 + t) + 1``
-words, and two removed lines never meet.  So a group of near copies makes about as many pairs as it has lines, and
+words, two removed lines never meet, nor a line left over and a later removed one.  So a group of near copies makes about as many pairs as it has lines, and
 lines of one template that are less similar than ``t`` meet on none of the words they share.
 
 Rarity counts all words of all lines, added up in ``2**RANK_BITS`` buckets, so
@@ -38,6 +38,10 @@ THRESHOLD = 80
 RANK_BITS = 16
 
 
+#: Rarest words of a line that name its partner of the first round.  Words of its own name none, so a near copy
+#: with a few of them still meets the first line of its group.
+FIRST_WORDS = 6
+
 #: Sets of more words have 128 bits, else 64.
 WIDE = 80
 
@@ -59,21 +63,26 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def rarity(docs: DataFrame) -> Column:
-    """Array literal for each hash bucket: the rank (0 to 126) of how often its words occur, in the upper byte."""
+    """Array literal for each hash bucket: the rank (0 to 126) of how often its words occur.
+
+    Plans print it, so its numbers are short.
+    """
     size = 1 << RANK_BITS
     words = docs.select(F.explode(split_words(F.col("text"))).alias("w"))
     counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(size - 1)).alias("b")).agg(F.count("*").alias("c"))
     ranks = counts.select(F.col("b").cast("int").alias("b"), F.least(F.lit(126), F.floor(F.log2("c") * 4).cast("int")).alias("r"))
     table = ["0"] * size
     for row in ranks.toLocalIterator():  # at most ``size`` rows
-        table[row.b] = str(row.r << 56)
+        table[row.b] = str(row.r)
     return F.split(F.lit(",".join(table)), ",").cast("array<long>")
 
 
 def by_rarity(words: Column, ranks: Column) -> Column:
     """Words as longs that sort by rank, then by hash (its lower 56 bits)."""
-    return F.sort_array(F.transform(words, lambda h: F.get(ranks, h.bitwiseAND(F.lit((1 << RANK_BITS) - 1)).cast("int"))
-                                    .bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))))
+    def placed(h: Column) -> Column:
+        rank = F.get(ranks, h.bitwiseAND(F.lit((1 << RANK_BITS) - 1)).cast("int"))
+        return F.shiftleft(rank, 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
+    return F.sort_array(F.transform(words, placed))
 
 
 def _parity(words: str, which: str = "") -> str:
@@ -169,16 +178,33 @@ def _meetings(marked: DataFrame, threshold: int) -> list[tuple[DataFrame, DataFr
     return [(probe, index), (probe, gone_index), (gone_probe, index)]
 
 
-def _sharing(probe: DataFrame, index: DataFrame, threshold: int) -> DataFrame:
+#: For each of ``_meetings``: whether the later class is open, in SQL; if it is not, the pair decides nothing.
+LATER_OPEN = ("true", "c.doc <= x.doc", "x.doc <= c.doc")
+
+
+def _sharing(probe: DataFrame, index: DataFrame, threshold: int, later_open: str = "true") -> DataFrame:
     """(x, c) of a probing and an indexed class that share a word, x as large or larger, past the filters."""
     need = _need(threshold)
     return probe.alias("x").join(index.alias("c"), "word").where(
-        f"x.node <> c.node and x.size >= c.size and 100 * c.size >= {threshold} * x.size"
+        f"x.node <> c.node and {later_open} and x.size >= c.size and 100 * c.size >= {threshold} * x.size"
         f" and least(x.pos, c.pos) + least(x.size - x.pos, c.size - c.pos) >= {need} and {_bits_allow(threshold)}").select(
         F.col("x.node").alias("x"), F.col("c.node").alias("c"), F.col("x.size").alias("xs"), F.col("c.size").alias("cs"),
         F.least(F.expr("x.size - x.pos"), F.expr("c.size - c.pos")).alias("rest"))
 
 
+def _first_pairs(classes: DataFrame, threshold: int) -> DataFrame:
+    """(x, c): at most one pair for each class, with the earlier one that most of its rarest words name."""
+    rare = _postings(classes, f"slice(prefix, 1, {FIRST_WORDS})")
+    earliest = rare.groupBy("word").agg(
+        F.min(F.struct("doc", "node", "size", "pos", "bits", "more")).alias("c"), F.count("*").alias("n")).where(
+        "n > 1").select("word", "c.*")
+    met = rare.alias("x").join(earliest.alias("c"), "word").where(_candidate(threshold)).groupBy(
+        F.col("x.node").alias("x"), F.col("c.node").alias("c")).agg(F.count("*").alias("m"), F.max("x.size").alias("size"))
+    short = f"size - ceil({threshold} * size / 100d) + 1"
+    met = met.where(f"m >= least(2, {short})").groupBy("x").agg(F.max(F.struct("m", "c")).alias("b")).select("x", "b.c")
+    return met.select(F.greatest("x", "c").alias("x"), F.least("x", "c").alias("c")).distinct()
+
+
 def later_matches(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, text_key, line_no, removed) of every line with a word; ``docs``: doc_id (long), text_key, text."""
     shaped, ranks = shaped_lines(docs, threshold)
@@ -188,20 +214,13 @@ def later_matches(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         *[F.first(c).alias(c) for c in ("prefix", "bits", "more")])
         .withColumn("node", F.monotonically_increasing_id()), "lines-classes")
 
-    # first round: lines that share their two rarest words (the only one of short lines) with the earliest of them
-    rare = _postings(classes, "slice(prefix, 1, 2)")
-    earliest = rare.groupBy("word").agg(
-        F.min(F.struct("doc", "node", "size", "pos", "bits", "more")).alias("c")).select("word", "c.*")
-    met = rare.alias("x").join(earliest.alias("c"), "word").where(_candidate(threshold)).groupBy(
-        F.col("x.node").alias("x"), F.col("c.node").alias("c")).agg(F.count("*").alias("m"), F.max("x.size").alias("size"))
-    short = f"size - ceil({threshold} * size / 100d) + 1"
-    met = met.where(f"m >= least(2, {short})")
-    pairs = stored(met.select(F.greatest("x", "c").alias("x"), F.least("x", "c").alias("c")), "lines-first")
+    pairs = stored(_first_pairs(classes, threshold), "lines-first")
     gone = stored(_verified(pairs, classes, docs, ranks, threshold), "lines-gone")
 
     # second round: the lines left, against every line that they share an indexed word with
     marked = classes.join(gone.withColumn("g", F.lit(1)), "node", "left").withColumn("open", F.col("g").isNull()).drop("g")
-    met = [_sharing(probe, index, threshold) for probe, index in _meetings(marked, threshold)]
+    met = [_sharing(probe, index, threshold, later_open)
+           for (probe, index), later_open in zip(_meetings(marked, threshold), LATER_OPEN)]
     shared = met[0].unionByName(met[1]).unionByName(met[2]).groupBy(
         F.greatest("x", "c").alias("x"), F.least("x", "c").alias("c")).agg(
         F.max("rest").alias("from_first"), F.max("xs").alias("xs"), F.max("cs").alias("cs"))

@@ -129,3 +129,37 @@ def test_lines_around_the_wide_size_match_brute_force(spark, threshold):
         line = rng.sample(base, rng.randint(line_dedup.WIDE - 15, 110)) + [f"x{rng.randrange(6)}" for _ in range(3)]
         rows.append((d, rng.choice(["\t", "\x0b", "  "]).join(line)))
     assert found(spark.createDataFrame(rows, "doc_id long, text string"), threshold=threshold) == brute(rows, threshold)
+
+
+def test_near_copies_with_own_words_make_few_pairs(spark, monkeypatch):
+    """Each copy is similar to the first line and to few others; its rarest words are its own and name no line."""
+    rng = random.Random(8)
+    base = [f"base{i}" for i in range(40)]
+    rows = [(0, " ".join(base))]
+    for d in range(1, 160):
+        line = list(base)
+        for i, at in enumerate(rng.sample(range(40), 3)):
+            line[at] = f"own{d}x{i}"
+        rows.append((d, " ".join(line)))
+    counts = {}
+
+    def counted(df, name, keep=line_dedup.stored):
+        out = keep(df, name)
+        counts[name] = out.count()
+        return out
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    assert counts["lines-first"] + counts["lines-rest"] < 2 * len(rows)
+
+
+def test_removed_and_later_lines_make_no_pair(spark):
+    """A line left over meets the removed lines before it only: what comes later can't remove it."""
+    from pyspark.sql import functions as F
+    rows = [(d, " ".join([f"w{i}" for i in range(20)] + [f"own{d}"])) for d in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_key", F.xxhash64("text"))
+    shaped, _ = line_dedup.shaped_lines(docs, 80)
+    classes = shaped.withColumn("ref", F.struct("doc_id")).withColumn("open", F.col("doc_id") == 20)
+    meetings = zip(line_dedup._meetings(classes, 80), line_dedup.LATER_OPEN)
+    met = [line_dedup._sharing(p, i, 80, later).select("x", "c").distinct() for (p, i), later in meetings]
+    pairs = met[0].unionByName(met[1]).unionByName(met[2]).select(F.least("x", "c"), F.greatest("x", "c")).distinct()
+    assert pairs.count() == 20
