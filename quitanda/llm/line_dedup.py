@@ -39,8 +39,8 @@ RANK_BITS = 16
 
 
 #: Rarest words of a line that name its partner of the first round.  Words of its own name none, so a near copy
-#: with a few of them still meets the first line of its group.
-FIRST_WORDS = 6
+#: with one of them still meets the first line of its group.
+FIRST_WORDS = 3
 
 #: Sets of more words have 128 bits, else 64.
 WIDE = 80
@@ -125,16 +125,6 @@ def _bits_allow(threshold: int) -> str:
     return f"x.size + c.size - {differ} >= 2 * {_need(threshold)}"
 
 
-def _candidate(threshold: int) -> str:
-    """Filters of a word that x and the earlier c share, in SQL.
-
-    At most the words before it, itself and the words after it are shared.
-    """
-    return (f"x.node <> c.node and c.doc <= x.doc and 100 * least(x.size, c.size) >= {threshold} * greatest(x.size, c.size)"
-            f" and least(x.pos, c.pos) + least(x.size - x.pos, c.size - c.pos) >= {_need(threshold)}"
-            f" and {_bits_allow(threshold)}")
-
-
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Column, threshold: int) -> DataFrame:
     """Nodes of the later classes of the pairs (x, c) that are similar; sets are made anew from their first lines."""
     nodes = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("c").alias("node"))).distinct()
@@ -194,15 +184,20 @@ def _sharing(probe: DataFrame, index: DataFrame, threshold: int, later_open: str
 
 def _first_pairs(classes: DataFrame, threshold: int) -> DataFrame:
     """(x, c): at most one pair for each class, with the earlier one that most of its rarest words name."""
-    rare = _postings(classes, f"slice(prefix, 1, {FIRST_WORDS})")
-    earliest = rare.groupBy("word").agg(
-        F.min(F.struct("doc", "node", "size", "pos", "bits", "more")).alias("c"), F.count("*").alias("n")).where(
+    # only what orders and sizes tell goes with every word; the bitmaps are looked up for the pairs
+    rare = _postings(classes, f"slice(prefix, 1, {FIRST_WORDS})").select("word", "node", "doc", "size")
+    earliest = rare.groupBy("word").agg(F.min(F.struct("doc", "node", "size")).alias("c"), F.count("*").alias("n")).where(
         "n > 1").select("word", "c.*")
-    met = rare.alias("x").join(earliest.alias("c"), "word").where(_candidate(threshold)).groupBy(
+    met = rare.alias("x").join(earliest.alias("c"), "word").where(
+        f"x.node <> c.node and 100 * least(x.size, c.size) >= {threshold} * greatest(x.size, c.size)").groupBy(
         F.col("x.node").alias("x"), F.col("c.node").alias("c")).agg(F.count("*").alias("m"), F.max("x.size").alias("size"))
     short = f"size - ceil({threshold} * size / 100d) + 1"
-    met = met.where(f"m >= least(2, {short})").groupBy("x").agg(F.max(F.struct("m", "c")).alias("b")).select("x", "b.c")
-    return met.select(F.greatest("x", "c").alias("x"), F.least("x", "c").alias("c")).distinct()
+    met = met.where(f"m >= least(2, {short})").groupBy("x").agg(F.max(F.struct("m", "c")).alias("b")).select(
+        F.col("x").alias("xn"), F.col("b.c").alias("cn"))
+    shape = classes.select("node", "size", "bits", "more")
+    both = met.join(shape.alias("x"), F.col("xn") == F.col("x.node")).join(shape.alias("c"), F.col("cn") == F.col("c.node"))
+    return both.where(_bits_allow(threshold)).select(
+        F.greatest("xn", "cn").alias("x"), F.least("xn", "cn").alias("c")).distinct()
 
 
 def later_matches(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
