@@ -4,14 +4,22 @@ Strategy is left to Catalyst + AQE: a side is broadcast only when its
 *runtime* size is under ``spark.sql.autoBroadcastJoinThreshold`` (AQE's
 checked conversion) and otherwise joined sort-merge; a hot key on the
 preserved side of a left join is split by AQE's skew-join handling.  We add no
-unconditional broadcast hints for tables whose size grows with the data.
+unconditional broadcast hints for tables whose size grows with the data (the
+codes of ``coded_attributes`` are a bounded number of rows).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quitanda.session import scratch_path
+
+# Most combinations of attributes that are sent as a code; their table is a few hundred kB then.
+CODED_COMBINATIONS = 10_000
+
 
 def left_join_fill(left: DataFrame, right: DataFrame, on: str | list[str],
                    fills: dict[str, Column | None], drop_other: bool = True) -> DataFrame:
@@ -49,6 +57,34 @@ def left_join_fill_many(left: DataFrame, on: str | list[str],
     return joined.select(*out)
 
 
+def coded_attributes(dim: DataFrame, key: str, attributes: list[str],
+                     code: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``dim`` with a number in place of its ``attributes``, and the join that gives a table its attributes back.
+
+    For a long table that is joined with ``dim`` and shuffled again: texts that few combinations share
+    need not go through those shuffles.  The combinations and the narrow table are written when this is
+    called, so Spark knows their sizes; if there are more combinations than ``CODED_COMBINATIONS``, the
+    attributes themselves stay in ``dim``.  Every row of ``dim`` keeps its own row, and a key that misses has
+    NULL in all attributes, as in a plain left join.
+    """
+    spark = dim.sparkSession
+    path = scratch_path(spark, "codes")
+    narrow = dim.select(key, *attributes)
+    codes = _written(narrow.select(*attributes).distinct().withColumn(code, F.monotonically_increasing_id()),
+                     f"{path}/combinations")
+    if codes.count() > CODED_COMBINATIONS:
+        return narrow, lambda df: df
+    same = [narrow[a].eqNullSafe(codes[a]) for a in attributes]
+    coded = _written(narrow.join(codes, same).select(narrow[key], codes[code]), f"{path}/coded")
+    # a broadcast of CODED_COMBINATIONS rows at most
+    return coded, lambda df: df.join(F.broadcast(codes), code, "left").drop(code)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows whose non-NULL key has no parent (``left_anti``).
 

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from quitanda.functions import (day_name, days_between, iso_day_of_week, is_weekend,
                                 month_start, quarter_start, region_of, weight_class,
                                 year_month, year_start)
+from quitanda.operators.joins import coded_attributes
+from quitanda.operators.numbering import hot_buckets, key_bucket
+from quitanda.plans.intermediate import int_orders_enriched
 from quitanda.plans.staging import ITEM_COLUMNS, item_values
 
 FALLBACK_FIRST_DAY = "2016-01-01"
@@ -106,12 +109,27 @@ FCT_ORDERS_COLUMNS = [
 ]
 
 
+CUSTOMER_ATTRS = ("customer_unique_id", "customer_city", "customer_state", "customer_region")
+
+
 def fct_orders(orders_enriched: DataFrame, dim_customers_df: DataFrame) -> DataFrame:
-    c = dim_customers_df.select("customer_id", "customer_unique_id", "customer_city",
-                                "customer_state", "customer_region")
+    c = dim_customers_df.select("customer_id", *CUSTOMER_ATTRS)
     return orders_enriched.join(c, "customer_id", "left").select(*FCT_ORDERS_COLUMNS)
 
 
+def fct_orders_from_rollups(stg_orders: DataFrame, items_by_order: DataFrame, payments_by_order: DataFrame,
+                            reviews_by_order: DataFrame, dim_customers_df: DataFrame) -> DataFrame:
+    """The same rows where no enriched orders are written yet.
+
+    Customers join the still narrow orders; the joins on ``order_id`` come last, so the wide rows are
+    not shuffled for the customers, and what joins them on ``order_id`` finds them dealt by it.
+    """
+    c = dim_customers_df.select("customer_id", *CUSTOMER_ATTRS)
+    orders = stg_orders.join(c, "customer_id", "left")
+    return int_orders_enriched(orders, items_by_order, payments_by_order, reviews_by_order,
+                               CUSTOMER_ATTRS).select(*FCT_ORDERS_COLUMNS)
+
+
 # The fact's columns, in their order.
 FCT_ORDER_ITEMS_COLUMNS = [
     "order_id", "order_item_id", "product_id", "seller_id", "customer_id", "order_status",
@@ -136,18 +154,23 @@ def items_with_context(stg_order_items: DataFrame, fct_orders_df: DataFrame,
     ``more`` names further order attributes to take from the same join.
     """
     o = fct_orders_df.select("order_id", *ITEM_ORDER_ATTRS, *more)
-    p = dim_products_df.select("product_id", "product_category_name",
-                               "product_category_name_english", "product_weight_class")
-    s = dim_sellers_df.select("seller_id", "seller_city", "seller_state", "seller_region")
+    p, with_product = coded_attributes(dim_products_df, "product_id",
+                                       ["product_category_name", "product_category_name_english",
+                                        "product_weight_class"], "_product")
+    s, with_seller = coded_attributes(dim_sellers_df, "seller_id", ["seller_city", "seller_state", "seller_region"],
+                                      "_seller")
+    lines = stg_order_items.select(*ITEM_COLUMNS)
+    if hot_buckets(lines, key_bucket("order_id")):
+        # Orders may come dealt by order_id.  Lines of a hot order are cut apart by AQE only if both sides
+        # are shuffled for this join, and a computed key has them shuffled.
+        o = o.withColumn("order_id", F.concat(F.col("order_id"), F.lit("")))
     # Each join re-shuffles the item stream on a new key unless the dimension is
     # small enough to broadcast, so the stream is kept narrow: only the base
-    # columns of a line go through (its computed values are added behind the
-    # joins), products come first (they are many), the wide order attributes last.
-    joined = (stg_order_items.select(*ITEM_COLUMNS)
-              .join(p, "product_id", "left")
-              .join(s, "seller_id", "left")
-              .join(o, "order_id", "left"))
-    return joined.select("*", *item_values())
+    # columns of a line and codes of the dimensions' texts go through (texts and
+    # computed values are added behind the joins), products come first (they are
+    # many), the wide order attributes last.
+    joined = lines.join(p, "product_id", "left").join(s, "seller_id", "left").join(o, "order_id", "left")
+    return with_seller(with_product(joined)).select("*", *item_values())
 
 
 def fct_order_items(stg_order_items: DataFrame, fct_orders_df: DataFrame,

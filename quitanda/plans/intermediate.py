@@ -79,7 +79,9 @@ def int_reviews_by_order(stg_order_reviews: DataFrame) -> DataFrame:
 
 
 def int_orders_enriched(stg_orders: DataFrame, items_by_order: DataFrame,
-                        payments_by_order: DataFrame, reviews_by_order: DataFrame) -> DataFrame:
+                        payments_by_order: DataFrame, reviews_by_order: DataFrame,
+                        more: tuple[str, ...] = ()) -> DataFrame:
+    """Orders ⟕ the three roll-ups; ``more`` names further columns of the orders to keep."""
     delivered, estimated = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
     purchase = F.col("order_purchase_timestamp")
     spine = stg_orders.select(
@@ -97,6 +99,7 @@ def int_orders_enriched(stg_orders: DataFrame, items_by_order: DataFrame,
         # a timestamp later on the estimated *day* is late (the date means midnight)
         flag(delivered.isNotNull() & estimated.isNotNull() & (delivered > estimated))
          .alias("is_late_delivery"),
+        *more,
     )
     zero_bigint, zero_money = F.lit(0).cast("bigint"), F.lit(0.0)
     return left_join_fill_many(spine, "order_id", [

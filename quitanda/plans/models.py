@@ -69,7 +69,10 @@ MODELS: dict[str, ModelSpec] = {s.name: s for s in [
     _spec("dim_date", "core", core.dim_date, ["stg_orders", "stg_order_reviews"],
           sort_by=["date_day"]),
     _spec("fct_orders", "core", core.fct_orders, ["int_orders_enriched", "dim_customers"],
-          sort_by=["order_purchase_date", "order_id"], month_of="order_purchase_date"),
+          sort_by=["order_purchase_date", "order_id"], month_of="order_purchase_date",
+          inline=(core.fct_orders_from_rollups,
+                  ("stg_orders", "int_order_items_by_order", "int_payments_by_order", "int_reviews_by_order",
+                   "dim_customers"))),
     _spec("fct_order_items", "core", core.fct_order_items,
           ["stg_order_items", "fct_orders", "dim_products", "dim_sellers"],
           sort_by=["order_purchase_date", "order_id", "order_item_id"],
