@@ -39,3 +39,16 @@ def test_rows_are_combined_behind_the_shuffle(spark):
         expand = max(i for i, line in enumerate(lines) if "Expand" in line)
         above = next(line for line in reversed(lines[:expand]) if "Exchange" in line or "Aggregate" in line)
         assert "REPARTITION_BY_COL" in above, (name, above)
+
+
+def test_spread_of_hot_keys_only(spark):
+    """Without a hot key there is one shuffle; with one, entries are spread by value as ever. Rows are the same."""
+    for keys, exchanges in ((400, 1), (2, 2)):
+        df = spark.range(2000).select((F.col("id") % keys).cast("string").alias("k"), (F.col("id") % 7).cast("string").alias("a"),
+                                      F.when(F.col("id") % 3 > 0, F.col("id").cast("double")).alias("x"))
+        df = df.unionByName(df.limit(5).withColumn("k", F.lit(None).cast("string")))
+        measures = {"rows": ("rows", None), "x": ("exact", F.col("x")), "least": ("min", F.col("x"))}
+        got = aggregate_distinct(df, "k", {"as": "a"}, measures, spread_hot_only=True)
+        assert sorted(got.collect(), key=str) == sorted(aggregate_distinct(df, "k", {"as": "a"}, measures).collect(), key=str)
+        plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("Exchange hashpartitioning(k") == exchanges, plan

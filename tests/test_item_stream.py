@@ -88,3 +88,39 @@ def test_items_with_context_with_and_without_a_hot_order(spark, n):
     assert rows(got) == rows(plain.select(*core.FCT_ORDER_ITEMS_COLUMNS))
     # with a hot order both sides are shuffled for the join, so that it can be cut apart
     assert ("concat(order_id" in plan_of(got)) == (n == 400)
+
+
+TEXTS = {"product_category_name", "product_category_name_english", "product_weight_class", "seller_city", "seller_state",
+         "seller_region", "customer_city", "customer_state", "customer_region"}
+
+
+@pytest.mark.parametrize("most", [0, 10_000])
+def test_streams_write_the_rows_of_the_models(spark, monkeypatch, most):
+    """Written from narrow streams, the item tables hold the models' own rows, sorted within their files."""
+    from quitanda.operators.quality import Declarations
+    from quitanda.plans import analytics
+    from quitanda.plans.pipeline import run_pipeline
+    from quitanda.session import SHUFFLE_CLEANUP, scratch_path
+    import quitanda.plans.pipeline as pipeline
+    monkeypatch.setattr(joins, "CODED_COMBINATIONS", most)
+    written, cleanup, real = {}, set(), pipeline.materialize
+
+    def seen(spark, spec, df, *rest):
+        written[spec.name] = rest[-1]
+        cleanup.add(spark.conf.get(SHUFFLE_CLEANUP))
+        return real(spark, spec, df, *rest)
+    monkeypatch.setattr(pipeline, "materialize", seen)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    wh = make_wh(spark, orders=ORDERS, customers=CUSTOMERS, order_items=items(30),
+                 products=[("p0", "a", *SIZES), ("p1", None, *SIZES), ("p1", "b", *SIZES)],
+                 sellers=[("s0", 1, "x", "sp"), ("s1", 2, None, None)])
+    tables = run_pipeline(spark, wh, scratch_path(spark, "streams"), gate=False, suite=Declarations({})).tables
+    assert cleanup == {"true"} and spark.conf.get(SHUFFLE_CLEANUP) == before
+    for name in ("fct_order_items", "mart_dashboard_sales_detail"):
+        assert TEXTS.isdisjoint(written[name].rows.columns) == (most > 0), name
+    got = tables["fct_order_items"]
+    assert rows(got) == rows(core.fct_order_items(tables["stg_order_items"], tables["fct_orders"], tables["dim_products"],
+                                                  tables["dim_sellers"]))
+    dashboard = analytics.mart_dashboard_sales_detail(got, tables["fct_orders"])
+    assert tables["mart_dashboard_sales_detail"].columns == dashboard.columns
+    assert rows(tables["mart_dashboard_sales_detail"]) == rows(dashboard)
